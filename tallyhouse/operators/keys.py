@@ -1,28 +1,34 @@
-"""Dense surrogate keys without a single-task global window.
-
-``row_number() OVER (ORDER BY ...)`` with no partition pulls every row into
-one task.  Instead the rows are range-partitioned on the order, sorted
-inside each partition and pinned with a reliable checkpoint (range bounds
-come from sampling, so partition membership must not be recomputed).  Each
-row then gets ``start + offset(partition) + position in partition``, where
-the offsets are the running sum of the per-partition counts - a list with
-one entry per partition, broadcast to the tasks.
+"""Dense surrogate keys without an unbounded single-task global window.
+
+The rows to number are first pinned with a reliable checkpoint (one
+computation of the upstream plan; the checkpoint lives in the shared
+``spark.checkpoint.dir`` and survives executor loss).  Their count decides
+the path:
+
+* at most ``SMALL_ROWS`` rows (a checked bound): ``row_number()`` over the
+  global order in one task;
+* more: range-partition on the order, sort inside each partition, pin that
+  layout with a second checkpoint (range bounds come from sampling and must
+  not be recomputed), then ``start + offset(partition) + position``, where
+  the offsets are the running sum of per-partition counts - one small row
+  per partition, broadcast to the tasks.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.session import ensure_checkpoint_dir
 
+SMALL_ROWS = 2_000_000
 _ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row
 
 
 def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence, start: int = 1,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following ``order_cols``.
 
     ``order_cols`` should be a total order for a reproducible numbering.
@@ -30,24 +36,27 @@ def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence, start: int =
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(max(1, n), *order)
+    pinned = df.checkpoint(eager=True)
+    n_rows = pinned.count()
+    if n_rows <= small_rows:
+        w = Window.orderBy(*order)
+        return pinned.withColumn(key_col, (F.lit(start - 1) + F.row_number().over(w)).cast("long"))
+    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = (pinned.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .checkpoint(eager=True))
-    ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
-    with_pid = (ranged.withColumn("__pid", F.shiftright(F.col("__mid"), _ROW_BITS))
+    with_pos = (ranged.withColumn("__mid", F.monotonically_increasing_id())
+                .withColumn("__pid", F.shiftright(F.col("__mid"), _ROW_BITS))
                 .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
     # one small row per partition: bounded by the partition count
-    counts = sorted((r["__pid"], r["n"]) for r in
-                    with_pid.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    counts = sorted((int(r["__pid"]), int(r["n"])) for r in
+                    with_pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, acc = [], 0
     for pid, cnt in counts:
-        offsets.append((int(pid), acc))
-        acc += int(cnt)
-    if not offsets:
-        return df.withColumn(key_col, F.lit(None).cast("long")).limit(0)
+        offsets.append((pid, acc))
+        acc += cnt
     off_df = spark.createDataFrame(offsets, "__pid long, __off long")
-    return (with_pid.join(F.broadcast(off_df), "__pid")
+    return (with_pos.join(F.broadcast(off_df), "__pid")
             .withColumn(key_col, (F.lit(start) + F.col("__off") + F.col("__pos")).cast("long"))
             .drop("__mid", "__pid", "__pos", "__off"))
 
@@ -56,3 +65,9 @@ def max_key(df: DataFrame, key_col: str, default: int = 0) -> int:
     """Largest existing key (a one-row aggregate)."""
     row = df.agg(F.max(key_col).alias("m")).first()
     return int(row["m"]) if row and row["m"] is not None else default
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Pin a finished table version (reliable checkpoint in the shared folder)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -13,14 +13,14 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.keys import assign_keys, max_key
+from tallyhouse.operators.keys import assign_keys, materialize, max_key
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
 
 
-def scd2_apply(dim: DataFrame, incoming: DataFrame, sk: str, key: str,
+def scd2_apply(dim: DataFrame | None, incoming: DataFrame, sk: str, key: str,
                tracked: Sequence[str], attrs: Sequence[str], run_date: str,
                base_date: str, require: Sequence[str] = ()) -> DataFrame:
     """Next version of an SCD2 dimension.
@@ -39,6 +39,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, sk: str, key: str,
     untracked attributes are never refreshed on unchanged keys.
     """
     payload = list(dict.fromkeys(list(attrs) + list(require)))
+    if dim is None:
+        return _scd2_initial(incoming, sk, key, attrs, base_date, require)
     inc = incoming.select(F.col(key).alias("__k"), F.lit(1).alias("__in_row"),
                           *[F.col(a).alias(f"__in_{a}") for a in payload])
     known = dim.select(F.col(key).alias("__k")).distinct().withColumn("__known", F.lit(True))
@@ -83,11 +85,24 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, sk: str, key: str,
                    VALID_FROM, VALID_TO, IS_CURRENT, "__phase"))
     start = max_key(dim, sk) + 1
     ins = assign_keys(ins, sk, ["__phase", key], start=start).drop("__phase")
-    return hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols))
+    # the next version is a table in its own right: pin it, so facts joining it
+    # do not re-run the comparison with staging
+    return materialize(hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols)))
 
 
-def empty_dim(spark, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def _scd2_initial(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str], base_date: str,
+                  require: Sequence[str]) -> DataFrame:
+    """First load: every incoming key is new (valid from ``base_date``)."""
+    ok = F.lit(True)
+    for r in require:
+        ok = ok & F.col(r).isNotNull()
+    cols = [key] + [a for a in attrs if a != key] + [r for r in require if r not in attrs]
+    ins = (incoming.where(ok).select(*cols)
+           .withColumn(VALID_FROM, F.lit(base_date).cast("date"))
+           .withColumn(VALID_TO, F.lit(None).cast("date"))
+           .withColumn(IS_CURRENT, F.lit(True)))
+    out = assign_keys(ins, sk, [key], start=1)
+    return materialize(out.select(sk, *cols, VALID_FROM, VALID_TO, IS_CURRENT))
 
 
 def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,

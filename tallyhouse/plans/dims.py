@@ -148,9 +148,6 @@ def customer_scd2(dim: DataFrame | None, validated: DataFrame, geo: DataFrame, r
     """Customers, history on (city, region, segment).  Incoming rows
     need a geography row for (city, region); without it no version is
     inserted (and a changed current version is left open)."""
-    spark = validated.sparkSession
-    if dim is None:
-        dim = spark.createDataFrame([], CUSTOMER_SCHEMA)
     inc = valid(validated).select(
         "customer_id", "first_name", "last_name",
         concat_blank("first_name", "last_name").alias("full_name"),
@@ -166,9 +163,6 @@ def product_scd2(dim: DataFrame | None, validated: DataFrame, run_date: str,
                  base_date: str) -> DataFrame:
     """Products, history on (sale price, cost price, category name),
     with gross margin and margin % (rounded once to 2 decimals)."""
-    spark = validated.sparkSession
-    if dim is None:
-        dim = spark.createDataFrame([], PRODUCT_SCHEMA)
     margin = F.col("sale_price") - F.col("cost_price")
     inc = valid(validated).select(
         "product_id", "code", "name", "description", "category_id", "category_name",

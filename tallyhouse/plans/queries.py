@@ -165,3 +165,432 @@ def salesperson_dim(spark, sf_dir):
 @query("insert_only_dim")
 def insert_only_dim(spark, sf_dir):
     return _w(spark, sf_dir).dim_channel
+
+
+# --- reports ------------------------------------------------------------------------
+def _stg_tables(w: Warehouse) -> dict:
+    return {"stg_sales": w.stg_sales, "stg_products": w.stg_products,
+            "stg_customers": w.stg_customers, "stg_inventory": w.stg_inventory,
+            "stg_returns": w.stg_returns, "stg_purchases": w.stg_purchases,
+            "stg_goals": w.stg_goals, "stg_adjustments": w.stg_adjustments}
+
+
+@query("quality_summary")
+def quality_summary(spark, sf_dir):
+    from tallyhouse.plans.quality import quality_summary as qs
+    return qs(_stg_tables(_w(spark, sf_dir)))
+
+
+@query("quality_reasons")
+def quality_reasons(spark, sf_dir):
+    from tallyhouse.plans.quality import quality_reasons as qr
+    return qr(_stg_tables(_w(spark, sf_dir)))
+
+
+@query("validation_status_counts")
+def validation_status_counts(spark, sf_dir):
+    from tallyhouse.plans.quality import status_counts
+    return status_counts(_stg_tables(_w(spark, sf_dir)))
+
+
+@query("fact_counts")
+def fact_counts(spark, sf_dir):
+    from tallyhouse.plans.quality import row_counts
+    w = _w(spark, sf_dir)
+    return row_counts({"fact_sales": w.fact_sales, "fact_inventory": w.fact_inventory,
+                       "fact_goals": w.fact_goals, "fact_returns": w.fact_returns,
+                       "fact_purchases": w.fact_purchases,
+                       "fact_profitability": w.fact_profitability})
+
+
+@query("load_reconciliation")
+def load_reconciliation(spark, sf_dir):
+    from tallyhouse.operators.rules import valid
+    from tallyhouse.plans.quality import load_reconciliation as lr
+    w = _w(spark, sf_dir)
+    one = F.lit(1).alias("x")
+    inv_read = valid(w.stg_inventory).select(one).unionByName(valid(w.stg_adjustments).select(one))
+    return lr({"fact_sales": (valid(w.stg_sales), w.fact_sales),
+               "fact_inventory": (inv_read, w.fact_inventory),
+               "fact_goals": (valid(w.stg_goals), w.fact_goals),
+               "fact_returns": (valid(w.stg_returns), w.fact_returns),
+               "fact_purchases": (valid(w.stg_purchases), w.fact_purchases),
+               "fact_profitability": (w.fact_sales, w.fact_profitability)})
+
+
+# --- measures -----------------------------------------------------------------------
+@query("goal_attainment")
+def goal_attainment(spark, sf_dir):
+    from tallyhouse.plans.measures import goal_attainment as ga
+    w = _w(spark, sf_dir)
+    return ga(w.fact_sales, w.fact_goals, w.dim_product, w.dim_date)
+
+
+@query("return_rate")
+def return_rate(spark, sf_dir):
+    from tallyhouse.plans.measures import return_rate as rr
+    w = _w(spark, sf_dir)
+    return rr(w.fact_sales, w.fact_returns)
+
+
+@query("cost_variation")
+def cost_variation(spark, sf_dir):
+    from tallyhouse.plans.measures import cost_variation as cv
+    w = _w(spark, sf_dir)
+    return cv(w.fact_purchases, w.dim_product)
+
+
+@query("closing_stock")
+def closing_stock(spark, sf_dir):
+    from tallyhouse.plans.measures import closing_stock as cs
+    return cs(_w(spark, sf_dir).fact_inventory)
+
+
+@query("sales_by_calendar")
+def sales_by_calendar(spark, sf_dir):
+    from tallyhouse.plans.measures import sales_by_calendar as sc
+    w = _w(spark, sf_dir)
+    return sc(w.fact_sales, w.dim_date)
+
+
+# --- extracts -----------------------------------------------------------------------
+def _no_ts(df: DataFrame) -> DataFrame:
+    return df.drop("stg_loaded_at")
+
+
+@query("extract_sales_lines")
+def extract_sales_lines(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    w = _w(spark, sf_dir)
+    return _no_ts(E.extract_sales(w.src.sales(), w.src.sale_lines(), w.loaded_at))
+
+
+@query("extract_products")
+def extract_products(spark, sf_dir):
+    return _no_ts(_w(spark, sf_dir).stg_products_raw(2))
+
+
+@query("extract_customers")
+def extract_customers(spark, sf_dir):
+    return _no_ts(_w(spark, sf_dir).stg_customers_raw(2))
+
+
+@query("extract_inventory")
+def extract_inventory(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    w = _w(spark, sf_dir)
+    return _no_ts(E.extract_inventory(w.src.daily_inventory(), w.loaded_at))
+
+
+@query("extract_returns")
+def extract_returns(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    w = _w(spark, sf_dir)
+    return _no_ts(E.extract_returns(w.src.returns(), w.src.sales(), w.loaded_at))
+
+
+@query("extract_purchases")
+def extract_purchases(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    w = _w(spark, sf_dir)
+    s = w.src
+    return _no_ts(E.extract_purchases(s.purchases(), s.purchase_lines(), s.suppliers(), w.loaded_at))
+
+
+# --- joins, keys, ordering ------------------------------------------------------------
+@query("asof_product")
+def asof_product(spark, sf_dir):
+    from tallyhouse.functions.dates import parse_date
+    from tallyhouse.operators.rules import valid
+    from tallyhouse.operators.scd2 import as_of_join
+    w = _w(spark, sf_dir)
+    s = valid(w.stg_sales).withColumn("sale_day", parse_date("sale_date"))
+    out = as_of_join(s, w.dim_product, "product_id", "product_id", "sale_day",
+                     {"product_key": "product_key", "sale_price": "list_price",
+                      "valid_from": "version_from"})
+    return out.select("sale_line_id", "product_id", "sale_day", "product_key", "list_price",
+                      "version_from")
+
+
+@query("campaign_on_date")
+def campaign_on_date(spark, sf_dir):
+    """The campaign active on each sale date (lowest id when several are).
+
+    Campaign intervals are expanded to days and reduced to one row per day
+    (bounded by the calendar span), so the sales side joins on equality -
+    no range or nested-loop join over the large table."""
+    w = _w(spark, sf_dir)
+    days = (w.src.campaigns()
+            .select("campaign_id", F.explode(F.sequence("start_date", "end_date")).alias("day"))
+            .groupBy("day").agg(F.min("campaign_id").alias("campaign_id")))
+    s = w.src.sales().select("sale_id", "sale_date")
+    return s.join(days, s.sale_date == days.day, "left").select(
+        "sale_id", "sale_date", F.col("campaign_id").alias("active_campaign_id"))
+
+
+def _day_store_product(w: Warehouse) -> DataFrame:
+    s, li = w.src.sales(), w.src.sale_lines()
+    return (li.join(s.select("sale_id", "sale_date"), "sale_id")
+            .select("sale_date", "store_id", "product_id").distinct())
+
+
+@query("distinct_day_store_product")
+def distinct_day_store_product(spark, sf_dir):
+    return _day_store_product(_w(spark, sf_dir))
+
+
+@query("dense_keys")
+def dense_keys(spark, sf_dir):
+    """Dense keys over the distinct (day, store, product) triples with the
+    range-partitioned path (the one used at scale)."""
+    from tallyhouse.operators.keys import assign_keys
+    return assign_keys(_day_store_product(_w(spark, sf_dir)), "movement_key",
+                       ["sale_date", "store_id", "product_id"], small_rows=0)
+
+
+SAMPLE_N = 2500
+
+
+@query("sample_top_n")
+def sample_top_n(spark, sf_dir):
+    """A reproducible sample of N sales: order by a fixed arithmetic hash of
+    the key (identical in any engine) and keep the first N."""
+    from tallyhouse.operators.aggregate import top_n
+    s = _w(spark, sf_dir).src.sales().select(
+        "sale_id", "sale_date", (F.col("sale_id") * 7919 % 10007).alias("sample_key"))
+    return top_n(s, SAMPLE_N, ["sample_key", "sale_id"])
+
+
+@query("first_per_key")
+def first_per_key(spark, sf_dir):
+    """First sale of each customer (by date, then id).  A min over a struct
+    is an aggregate: partial results are combined before the shuffle, so a
+    customer with a third of all sales is no hot task."""
+    s = _w(spark, sf_dir).src.sales()
+    g = s.groupBy("customer_id").agg(F.min(F.struct("sale_date", "sale_id")).alias("f"))
+    return g.select("customer_id", F.col("f.sale_date").alias("first_sale_date"),
+                    F.col("f.sale_id").alias("first_sale_id"))
+
+
+@query("lateral_movements")
+def lateral_movements(spark, sf_dir):
+    """Row-wise expansion of each valid inventory day into its in and out
+    movements (a lateral VALUES list; planned as Expand, no join)."""
+    from tallyhouse.operators.rules import valid
+    inv = valid(_w(spark, sf_dir).stg_inventory)
+    return inv.unpivot(["inventory_id"], ["units_in", "units_out"], "movement", "units")
+
+
+@query("adjustments_by_month")
+def adjustments_by_month(spark, sf_dir):
+    from tallyhouse.functions.dates import date_key, first_of_month
+    from tallyhouse.operators.rules import valid
+    a = valid(_w(spark, sf_dir).stg_adjustments)
+    m = date_key(first_of_month(F.col("year").try_cast("int"), F.col("month").try_cast("int")))
+    return (a.groupBy(m.alias("month_key"), "product_id", "store_id")
+            .agg(F.sum("adjustment").cast("long").alias("total_adjustment"),
+                 F.count(F.lit(1)).cast("long").alias("adjustments")))
+
+
+@query("predicate_mix")
+def predicate_mix(spark, sf_dir):
+    """Projections and predicates over valid sale lines: ranges, IN / NOT IN,
+    NULL tests, strict date parsing, date arithmetic, NULL-safe defaults,
+    integer division and modulo.  All filters are plain column predicates,
+    so they stay inside whole-stage code generation."""
+    from tallyhouse.functions.dates import parse_date, seconds_between
+    from tallyhouse.operators.rules import valid
+    w = _w(spark, sf_dir)
+    cost = w.src.products().select("product_id", "cost_price")
+    d = parse_date("sale_date")
+    s = (valid(w.stg_sales).join(cost, "product_id", "left")
+         .where(F.col("quantity").between(5, 45))
+         .where(F.col("sale_state").isin("Completa", "Pendiente"))
+         .where(~F.col("store_id").isin(3, 7))
+         .where(F.col("campaign_id").isNotNull() | F.col("customer_id").isNull())
+         .where(d.isNotNull() & (d <= F.lit(w.run_date).cast("date")))
+         .where(F.col("unit_price") != F.col("sale_line_id")))
+    margin = F.col("unit_price") - F.col("cost_price")
+    return s.select(
+        "sale_line_id",
+        margin.cast("decimal(14,2)").alias("unit_margin"),
+        (F.round(margin.cast("double") / F.nullif(F.col("unit_price").cast("double"), F.lit(0.0)) * 100, 2))
+        .alias("margin_pct"),
+        F.add_months(d, 1).alias("due_date"), F.date_add(d, 7).alias("week_after"),
+        seconds_between(d.cast("timestamp"), F.lit(w.run_date).cast("timestamp")).alias("seconds_to_run"),
+        F.floor(F.col("quantity") / 10).cast("int").alias("quantity_tens"),
+        (F.col("quantity") % 7).alias("quantity_mod7"),
+        F.coalesce(F.col("campaign_id"), F.lit(-1)).alias("campaign_or_none"),
+        F.nullif(F.col("quantity") - 10, F.lit(0)).alias("quantity_minus_ten"))
+
+
+# --- write patterns, reruns -------------------------------------------------------
+@query("scd2_rerun_noop")
+def scd2_rerun_noop(spark, sf_dir):
+    """Applying the same staging again on the same day changes nothing."""
+    from tallyhouse.plans import dims
+    from tallyhouse.plans.standin import SCD_BASE_DATE, SCD_CHANGE_DATE
+    w = _w(spark, sf_dir)
+    return dims.customer_scd2(w.dim_customer, w.stg_customers, w.dim_geography,
+                              SCD_CHANGE_DATE, SCD_BASE_DATE)
+
+
+@query("refresh_readback")
+def refresh_readback(spark, sf_dir):
+    """Full refresh as versioned overwrite: write two versions of the
+    customer extract, read back the committed one."""
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.sinks import overwrite, read_current
+    w = _w(spark, sf_dir)
+    base = scratch_path(spark, "stg_customers")
+    overwrite(_no_ts(w.stg_customers_raw(1)), base)
+    overwrite(_no_ts(w.stg_customers_raw(2)), base)
+    return read_current(spark, base)
+
+
+@query("upsert_readback")
+def upsert_readback(spark, sf_dir):
+    """SCD2 load against a stored dimension version: read the committed
+    version, compute the next one, write it as a new version, read back."""
+    from tallyhouse.plans import dims
+    from tallyhouse.plans.standin import SCD_BASE_DATE, SCD_CHANGE_DATE
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.sinks import overwrite, read_current
+    w = _w(spark, sf_dir)
+    base = scratch_path(spark, "dim_customer")
+    overwrite(w.dim_customer_v1, base)
+    stored = read_current(spark, base)
+    nxt = dims.customer_scd2(stored, w.stg_customers, w.dim_geography, SCD_CHANGE_DATE,
+                             SCD_BASE_DATE)
+    overwrite(nxt, base)
+    return read_current(spark, base)
+
+
+def _csv_roundtrip(spark, df: DataFrame, name: str, schema) -> DataFrame:
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.csv import read_csv, write_csv
+    path = write_csv(df, scratch_path(spark, name))
+    return read_csv(spark, path, schema)
+
+
+@query("csv_adjustments")
+def csv_adjustments(spark, sf_dir):
+    """Adjustment feed through a real CSV file (header, comma, UTF-8, declared
+    schema), then staging rules and reason classification."""
+    from tallyhouse.plans.extracts import ADJUSTMENTS_CSV_SCHEMA
+    w = _w(spark, sf_dir)
+    rows = _csv_roundtrip(spark, w.src.adjustments_csv_rows(), "ajustes_csv", ADJUSTMENTS_CSV_SCHEMA)
+    return w.stg_adjustments_from(rows).select(
+        "year", "month", "store_id", "product_id", "adjustment", "reason", "adjustment_type",
+        "reason_class", "stg_source", *STG_OUT)
+
+
+@query("csv_goals")
+def csv_goals(spark, sf_dir):
+    """Monthly goal feed through a real CSV file, then resolution and rules."""
+    from tallyhouse.plans.extracts import GOALS_CSV_SCHEMA
+    w = _w(spark, sf_dir)
+    rows = _csv_roundtrip(spark, w.src.goals_csv_rows(), "metas_csv", GOALS_CSV_SCHEMA)
+    return w.stg_goals_from(rows).select(
+        "year", "month", "store_id", "category_name", "goal_value", "store_id_resolved",
+        "category_id_resolved", "stg_source", *STG_OUT)
+
+
+# --- audit checks -------------------------------------------------------------------
+@query("audit_not_null")
+def audit_not_null(spark, sf_dir):
+    from tallyhouse.operators.aggregate import union_all
+    from tallyhouse.operators.audit import NotNull, audit
+    s = _w(spark, sf_dir).src
+    return union_all([
+        audit(s.sales(), [NotNull("sale_date_nn", "sale_date"), NotNull("customer_nn", "customer_id"),
+                          NotNull("channel_nn", "channel_id"), NotNull("state_nn", "state")], "sales"),
+        audit(s.products(), [NotNull("code_nn", "code"), NotNull("cost_nn", "cost_price"),
+                             NotNull("category_nn", "category_id")], "products"),
+        audit(s.sale_lines(), [NotNull("quantity_nn", "quantity")], "sale_lines"),
+        audit(s.customers(), [NotNull("first_name_nn", "first_name")], "customers"),
+    ])
+
+
+@query("audit_check")
+def audit_check(spark, sf_dir):
+    from tallyhouse import constants as C
+    from tallyhouse.operators.aggregate import union_all
+    from tallyhouse.operators.audit import Check, Domain, audit
+    w = _w(spark, sf_dir)
+    s = w.src
+    col = F.col
+    return union_all([
+        audit(s.products(), [Check("price_positive", col("sale_price") > 0),
+                             Check("cost_positive", col("cost_price") > 0),
+                             Check("price_ge_cost", col("sale_price") >= col("cost_price"))], "products"),
+        audit(s.sale_lines(), [Check("quantity_positive", col("quantity") > 0),
+                               Check("price_positive", col("unit_price") > 0)], "sale_lines"),
+        audit(s.daily_inventory(), [
+            Check("stock_non_negative", (col("opening") >= 0) & (col("closing") >= 0)),
+            Check("balance", col("closing") == col("opening") + col("units_in") - col("units_out"))],
+            "inventory"),
+        audit(s.sales(), [Domain("state_domain", "state", C.SALE_STATES),
+                          Check("not_future", col("sale_date") <= F.lit(w.run_date).cast("date"))],
+              "sales"),
+        audit(s.customers(), [Domain("doc_type_domain", "doc_type", C.DOCUMENT_TYPES),
+                              Domain("segment_domain", "segment", C.SEGMENTS)], "customers"),
+        audit(s.returns(), [Domain("return_type_domain", "return_type", C.RETURN_TYPES)], "returns"),
+        audit(s.campaigns(), [Check("dates_ordered", col("end_date") >= col("start_date"))], "campaigns"),
+    ])
+
+
+@query("audit_unique")
+def audit_unique(spark, sf_dir):
+    from tallyhouse.operators.aggregate import union_all
+    from tallyhouse.operators.audit import Unique, audit
+    s = _w(spark, sf_dir).src
+    return union_all([
+        audit(s.customers(), [Unique("document_unique", ["doc_type", "doc_number"])], "customers"),
+        audit(s.products(), [Unique("code_unique", ["code"])], "products"),
+        audit(s.daily_inventory(), [Unique("day_product_store_unique",
+                                           ["inv_date", "product_id", "store_id"])], "inventory"),
+        audit(s.sale_lines(), [Unique("line_id_unique", ["sale_line_id"])], "sale_lines"),
+    ])
+
+
+@query("audit_fk")
+def audit_fk(spark, sf_dir):
+    from tallyhouse.operators.aggregate import union_all
+    from tallyhouse.operators.audit import ForeignKey, audit
+    s = _w(spark, sf_dir).src
+    return union_all([
+        audit(s.sale_lines(), [ForeignKey("line_product_fk", ["product_id"], s.products()),
+                               ForeignKey("line_sale_fk", ["sale_id"], s.sales())], "sale_lines"),
+        audit(s.sales(), [ForeignKey("sale_customer_fk", ["customer_id"], s.customers())], "sales"),
+        audit(s.returns(), [ForeignKey("return_sale_fk", ["sale_id"], s.sales())], "returns"),
+        audit(s.purchases(), [ForeignKey("purchase_supplier_fk", ["supplier_id"], s.suppliers())],
+              "purchases"),
+    ])
+
+
+# --- opt-in rules -------------------------------------------------------------------
+PROJECT_START = "1995-03-01"
+
+
+@query("optional_rules_sales")
+def optional_rules_sales(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    from tallyhouse.plans import validate as V
+    w = _w(spark, sf_dir)
+    s = w.src
+    raw = E.extract_sales(s.sales(), s.sale_lines(), w.loaded_at)
+    flagged, extra = V.optional_sales_rules(s.stores(), s.salespeople(), raw, PROJECT_START)
+    out = V.validate_sales(flagged, s.customers(), s.products(), w.run_date, extra_rules=extra)
+    return out.select("sale_line_id", "sale_id", "product_id", *STG_OUT)
+
+
+@query("optional_rules_returns")
+def optional_rules_returns(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    from tallyhouse.plans import validate as V
+    w = _w(spark, sf_dir)
+    s = w.src
+    raw = E.extract_returns(s.returns(), s.sales(), w.loaded_at)
+    out = V.validate_returns_strict(raw, s.sale_lines())
+    return out.select("return_id", "sale_id", "product_id", *STG_OUT)
