@@ -1,17 +1,16 @@
 """Dense surrogate keys without an unbounded single-task global window.
 
-The rows to number are first pinned with a reliable checkpoint (one
-computation of the upstream plan; the checkpoint lives in the shared
-``spark.checkpoint.dir`` and survives executor loss).  Their count decides
-the path:
+The rows to number are counted first; the count decides the path:
 
 * at most ``SMALL_ROWS`` rows (a checked bound): ``row_number()`` over the
-  global order in one task;
-* more: range-partition on the order, sort inside each partition, pin that
-  layout with a second checkpoint (range bounds come from sampling and must
-  not be recomputed), then ``start + offset(partition) + position``, where
-  the offsets are the running sum of per-partition counts - one small row
-  per partition, broadcast to the tasks.
+  global order in one task.  A total order makes this deterministic, so a
+  recomputation gives the same keys;
+* more: range-partition on the order, sort inside each partition and pin
+  that layout with a reliable checkpoint in the shared
+  ``spark.checkpoint.dir`` (range bounds come from sampling and must not be
+  recomputed), then ``start + offset(partition) + position``, where the
+  offsets are the running sum of per-partition counts - one small row per
+  partition, broadcast to the tasks.
 """
 
 from __future__ import annotations
@@ -36,13 +35,12 @@ def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence, start: int =
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    pinned = df.checkpoint(eager=True)
-    n_rows = pinned.count()
+    n_rows = df.count()
     if n_rows <= small_rows:
         w = Window.orderBy(*order)
-        return pinned.withColumn(key_col, (F.lit(start - 1) + F.row_number().over(w)).cast("long"))
+        return df.withColumn(key_col, (F.lit(start - 1) + F.row_number().over(w)).cast("long"))
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = (pinned.repartitionByRange(n, *order)
+    ranged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .checkpoint(eager=True))
     with_pos = (ranged.withColumn("__mid", F.monotonically_increasing_id())
@@ -67,7 +65,7 @@ def max_key(df: DataFrame, key_col: str, default: int = 0) -> int:
     return int(row["m"]) if row and row["m"] is not None else default
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Pin a finished table version (reliable checkpoint in the shared folder)."""
+def pin(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

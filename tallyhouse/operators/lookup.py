@@ -21,13 +21,15 @@ def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], take: Mapping[str
     """
     left, right = on
     d = dim.select(F.col(right).alias("__lk"), *[F.col(c).alias(f"__l_{c}") for c in take])
-    out = df.join(d, df[left] == d["__lk"], how).drop("__lk")
+    out = df.join(d, df[left] == d["__lk"], how)
+    taken = []
     for c, name in take.items():
         col = F.col(f"__l_{c}")
         if default is not None:
             col = F.coalesce(col, F.lit(default))
-        out = out.withColumn(name, col).drop(f"__l_{c}")
-    return out
+        taken.append(col.alias(name))
+    keep = [F.col(c) for c in df.columns if c not in take.values()]
+    return out.select(*keep, *taken)
 
 
 def resolve(df: DataFrame, ref: DataFrame, on: tuple, ref_value: str, out_col: str) -> DataFrame:
@@ -40,7 +42,7 @@ def resolve(df: DataFrame, ref: DataFrame, on: tuple, ref_value: str, out_col: s
     left_col = F.col(left) if isinstance(left, str) else left
     r = ref.select(F.col(right).alias("__rk"), F.col(ref_value).alias("__rv")).distinct()
     return (df.join(r, left_col == r["__rk"], "left")
-            .withColumn(out_col, F.col("__rv")).drop("__rk", "__rv"))
+            .select(*[F.col(c) for c in df.columns if c != out_col], F.col("__rv").alias(out_col)))
 
 
 def insert_new(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] | str,
@@ -87,6 +89,5 @@ def pre_agg_join(df: DataFrame, other: DataFrame, left_keys: Sequence, right_key
         c = lc == pre[f"__pk{i}"]
         cond = c if cond is None else cond & c
     out = df.join(pre, cond, "left")
-    for name in aggs:
-        out = out.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
-    return out.drop(*[f"__pk{i}" for i in range(len(right_keys))])
+    return out.select(*[F.col(c) for c in df.columns],
+                      *[F.coalesce(F.col(name), F.lit(default)).alias(name) for name in aggs])

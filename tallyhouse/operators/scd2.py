@@ -13,7 +13,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.keys import assign_keys, materialize, max_key
+from tallyhouse.operators.keys import assign_keys, max_key, pin
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -85,9 +85,10 @@ def scd2_apply(dim: DataFrame | None, incoming: DataFrame, sk: str, key: str,
                    VALID_FROM, VALID_TO, IS_CURRENT, "__phase"))
     start = max_key(dim, sk) + 1
     ins = assign_keys(ins, sk, ["__phase", key], start=start).drop("__phase")
-    # the next version is a table in its own right: pin it, so facts joining it
-    # do not re-run the comparison with staging
-    return materialize(hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols)))
+    # the next version is a table in its own right: pin it (reliable checkpoint),
+    # so facts joining it neither re-run the comparison with staging nor carry
+    # its lineage
+    return pin(hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols)))
 
 
 def _scd2_initial(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str], base_date: str,
@@ -102,7 +103,7 @@ def _scd2_initial(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str],
            .withColumn(VALID_TO, F.lit(None).cast("date"))
            .withColumn(IS_CURRENT, F.lit(True)))
     out = assign_keys(ins, sk, [key], start=1)
-    return materialize(out.select(sk, *cols, VALID_FROM, VALID_TO, IS_CURRENT))
+    return pin(out.select(sk, *cols, VALID_FROM, VALID_TO, IS_CURRENT))
 
 
 def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,
@@ -123,6 +124,5 @@ def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,
     cond = ((df[left_key] == d["__dk"]) & (at_col >= d["__ds"]) &
             (d["__de"].isNull() | (at_col <= d["__de"])))
     out = df.join(d, cond, how)
-    for c, name in take.items():
-        out = out.withColumnRenamed(f"__d_{c}", name)
-    return out.drop("__dk", "__ds", "__de")
+    return out.select(*[F.col(c) for c in df.columns if c not in take.values()],
+                      *[F.col(f"__d_{c}").alias(name) for c, name in take.items()])

@@ -25,7 +25,7 @@ def query(name: str):
 
 
 def _w(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    return Warehouse.shared(spark, sf_dir)
 
 
 STG_OUT = ["stg_status", "stg_message"]

@@ -2,7 +2,9 @@
 
 ``Warehouse(spark, sf_dir)`` exposes every staging table, dimension and
 fact as a lazily built DataFrame (memoised per instance, so a plan that
-needs the same dimension twice builds it once).  Two loads are modelled for
+needs the same dimension twice builds it once).  Finished dimensions are
+pinned with a reliable checkpoint - they are the warehouse's tables - so
+fact plans read them instead of re-deriving them.  Two loads are modelled for
 the SCD2 dimensions: the first at ``SCD_BASE_DATE`` from the earlier
 snapshot, the second at ``SCD_CHANGE_DATE`` from the current one.
 """
@@ -13,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.operators.keys import pin
 from tallyhouse.plans import dims, extracts, facts, validate
 from tallyhouse.plans.standin import (
     CALENDAR_END, CALENDAR_START, GOAL_CATEGORY_MAP, RUN_DATE, RUN_TS, SCD_BASE_DATE,
@@ -21,6 +24,19 @@ from tallyhouse.plans.standin import (
 
 
 class Warehouse:
+    _shared: dict = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """One warehouse per session and input folder: dimensions are built
+        (and pinned) once per run and reused by every later query, as a
+        pipeline loads dimensions once before the facts."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        w = cls._shared.get(key)
+        if w is None:
+            w = cls._shared[key] = cls(spark, sf_dir)
+        return w
+
     def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE,
                  loaded_at: str = RUN_TS):
         self.spark = spark
@@ -100,27 +116,27 @@ class Warehouse:
     @cached_property
     def dim_geography(self) -> DataFrame:
         s = self.src
-        return dims.geography(s.customers(), s.stores(), s.suppliers())
+        return pin(dims.geography(s.customers(), s.stores(), s.suppliers()))
 
     @cached_property
     def dim_promotion(self) -> DataFrame:
-        return dims.promotion(self.src.campaigns())
+        return pin(dims.promotion(self.src.campaigns()))
 
     @cached_property
     def dim_channel(self) -> DataFrame:
-        return dims.channel(self.src.channels())
+        return pin(dims.channel(self.src.channels()))
 
     @cached_property
     def dim_supplier(self) -> DataFrame:
-        return dims.supplier(self.src.suppliers(), self.dim_geography)
+        return pin(dims.supplier(self.src.suppliers(), self.dim_geography))
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return dims.store(self.src.stores(), self.dim_geography)
+        return pin(dims.store(self.src.stores(), self.dim_geography))
 
     @cached_property
     def dim_salesperson(self) -> DataFrame:
-        return dims.salesperson(self.src.salespeople(), self.dim_store)
+        return pin(dims.salesperson(self.src.salespeople(), self.dim_store))
 
     @cached_property
     def dim_customer_v1(self) -> DataFrame:
