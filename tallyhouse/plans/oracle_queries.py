@@ -299,3 +299,16 @@ LEFT JOIN (SELECT DISTINCT sale_id FROM src_sale_lines) hs ON r.sale_id = hs.sal
 LEFT JOIN (SELECT DISTINCT sale_id, product_id FROM src_sale_lines) hp
   ON r.sale_id = hp.sale_id AND r.product_id = hp.product_id) a) b) x""",
                                        "src_returns", "src_sales", "src_sale_lines")
+
+# --- pipeline log: one row per step with the rows it wrote -------------------------
+from tallyhouse.plans.pipeline import STEPS  # noqa: E402
+
+_COUNT_SRC = {"fact_inventory": "(SELECT * FROM fact_inventory_base UNION ALL SELECT * FROM fact_inventory_orphans)",
+              "quality_summary": "(SELECT DISTINCT table_name FROM (" + _TAGGED + ") t)"}
+_needs = [s.name for s in STEPS if s.name not in _COUNT_SRC] + ["fact_inventory_base",
+                                                                  "fact_inventory_orphans", *STG]
+ORACLE["pipeline_log"] = sql(" UNION ALL ".join(
+    f"SELECT {i} AS log_id, {q(s.name)} AS step, {q(s.phase)} AS phase, {q(C.SUCCEEDED)} AS status, "
+    f"CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(NULL AS VARCHAR) AS message "
+    f"FROM {_COUNT_SRC.get(s.name, s.name)} x"
+    for i, s in enumerate(STEPS, start=1)), *_needs)

@@ -594,3 +594,16 @@ def optional_rules_returns(spark, sf_dir):
     raw = E.extract_returns(s.returns(), s.sales(), w.loaded_at)
     out = V.validate_returns_strict(raw, s.sale_lines())
     return out.select("return_id", "sale_id", "product_id", *STG_OUT)
+
+
+# --- pipeline ---------------------------------------------------------------------
+@query("pipeline_log")
+def pipeline_log(spark, sf_dir):
+    """Full logged build into a fresh folder under the shared checkpoint
+    directory; returns the run log read back (deterministic columns only)."""
+    from tallyhouse.plans.pipeline import run_pipeline
+    from tallyhouse.session import scratch_path
+    base = scratch_path(spark, "warehouse")
+    run_pipeline(spark, sf_dir, base, warehouse=_w(spark, sf_dir))
+    return spark.read.parquet(f"{base}/_log").select(
+        "log_id", "step", "phase", "status", "rows_written", "message")
