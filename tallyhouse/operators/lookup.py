@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys, max_key
+from tallyhouse.operators.sizing import bounded_broadcast
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], take: Mapping[str, str],
@@ -16,11 +17,12 @@ def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], take: Mapping[str
 
     ``how='inner'`` drops misses; ``how='left'`` with ``default`` maps both
     a NULL id and an unknown id to ``default`` (e.g. -1).
-    The dimension is reduced to the needed columns; the join strategy is
-    chosen by the optimiser/AQE from the measured dimension size.
+    The dimension is reduced to the needed columns and broadcast when its
+    row count is checked to be small; otherwise a shuffle join.
     """
     left, right = on
     d = dim.select(F.col(right).alias("__lk"), *[F.col(c).alias(f"__l_{c}") for c in take])
+    d = bounded_broadcast(dim, d)
     out = df.join(d, df[left] == d["__lk"], how)
     taken = []
     for c, name in take.items():

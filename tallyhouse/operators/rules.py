@@ -2,10 +2,11 @@
 
 A rule list is evaluated in one pass per table: every predicate becomes a
 branch of one ``coalesce`` column, so a rejected row is never tested again.
-Only duplicate rules need a shuffle (a window on the duplicate key over the
-rows still pending); reference-existence rules use a left join to the
-distinct reference ids, never ``NOT IN`` inside a CASE (which would plan a
-broadcast nested-loop join).
+Only duplicate rules need a shuffle (the first row per duplicate key among
+the rows still pending, found by aggregation and joined back);
+reference-existence rules use a left join to the distinct reference ids,
+never ``NOT IN`` inside a CASE (which would plan a broadcast nested-loop
+join).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
@@ -68,15 +69,7 @@ def apply_rules(df: DataFrame, rules: Sequence, status_col: str = STATUS,
             msg = F.coalesce(msg, F.when(r.predicate, F.lit(r.message)))
         elif isinstance(r, Dedup):
             out = out.withColumn(_PENDING_MSG, msg)
-            rn = f"__rn{i}"
-            order = [F.col(o) if isinstance(o, str) else o for o in r.order_by] or \
-                [F.col(k) for k in r.keys]
-            w = Window.partitionBy(_pending(), *[F.col(k) for k in r.keys]).orderBy(*order)
-            out = out.withColumn(rn, F.row_number().over(w))
-            out = out.withColumn(
-                _PENDING_MSG,
-                F.when(_pending() & (F.col(rn) > 1), F.lit(r.message))
-                .otherwise(F.col(_PENDING_MSG))).drop(rn)
+            out = _dedup(out, r, i)
             msg = F.col(_PENDING_MSG)
         elif isinstance(r, Derive):
             out = out.withColumn(_PENDING_MSG, msg)
@@ -93,6 +86,33 @@ def apply_rules(df: DataFrame, rules: Sequence, status_col: str = STATUS,
             .drop(_PENDING_MSG))
 
 
+def _dedup(out: DataFrame, r: Dedup, i: int) -> DataFrame:
+    """Mark every pending row but the first per key as duplicate.
+
+    The first row per key is found with ``min(struct(order))`` - an aggregate,
+    combined partially before the shuffle - and joined back on the key with
+    NULL-safe equality (NULL keys group together).  Unlike a window, neither
+    step puts a hot key (a third of all rows) into one task: the join's big
+    side is split by AQE's skew handling.  ``order_by`` must be a total order.
+    """
+    order = [F.col(o) if isinstance(o, str) else o for o in r.order_by] or \
+        [F.col(k) for k in r.keys]
+    okey = f"__ord{i}"
+    out = out.withColumn(okey, F.struct(*order))
+    firsts = (out.where(_pending())
+              .groupBy(*[F.col(k).alias(f"__dk{i}_{j}") for j, k in enumerate(r.keys)])
+              .agg(F.min(okey).alias(f"__first{i}")))
+    cond = None
+    for j, k in enumerate(r.keys):
+        c = out[k].eqNullSafe(firsts[f"__dk{i}_{j}"])
+        cond = c if cond is None else cond & c
+    joined = out.join(firsts, cond & _pending(), "left")
+    dup = _pending() & ~F.col(okey).eqNullSafe(F.col(f"__first{i}"))
+    cols = [F.when(dup, F.lit(r.message)).otherwise(F.col(_PENDING_MSG)).alias(_PENDING_MSG)
+            if c == _PENDING_MSG else F.col(c) for c in out.columns if c != okey]
+    return joined.select(*cols)
+
+
 def ref_flag(df: DataFrame, ref: DataFrame, col: str, ref_col: str, flag: str) -> DataFrame:
     """Add boolean ``flag``: true when ``col`` is NULL or exists in ``ref``.
 

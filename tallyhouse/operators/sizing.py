@@ -1,0 +1,34 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when its row count is known to be at most
+``BROADCAST_ROWS`` (counted once per DataFrame object, cheap for pinned
+dimension tables); otherwise the join stays a shuffle join and AQE may still
+switch strategy from measured sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 500_000
+_ATTR = "_tallyhouse_rows"
+
+
+def row_count(df: DataFrame, cap: int) -> int:
+    """Exact count up to ``cap + 1`` (stops reading beyond that), memoised."""
+    n = getattr(df, _ATTR, None)
+    if n is None:
+        n = df.limit(cap + 1).count()
+        try:
+            setattr(df, _ATTR, n)
+        except AttributeError:
+            pass
+    return n
+
+
+def bounded_broadcast(df: DataFrame, narrow: DataFrame | None = None,
+                      max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(narrow or df)`` if ``df`` has at most ``max_rows`` rows."""
+    target = narrow if narrow is not None else df
+    return F.broadcast(target) if row_count(df, max_rows) <= max_rows else target
