@@ -312,3 +312,91 @@ ORACLE["pipeline_log"] = sql(" UNION ALL ".join(
     f"CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(NULL AS VARCHAR) AS message "
     f"FROM {_COUNT_SRC.get(s.name, s.name)} x"
     for i, s in enumerate(STEPS, start=1)), *_needs)
+
+# --- opt-in rules X2-X5, X7 ------------------------------------------------------------
+from tallyhouse.plans import standin as _S  # noqa: E402
+from tallyhouse.plans import validate as _V  # noqa: E402
+from tallyhouse.plans.oracle import case_map  # noqa: E402
+
+
+def _status(msg: str = "msg") -> str:
+    return f"CASE WHEN {msg} IS NULL THEN {_VALID} ELSE {_REJ} END AS stg_status, {msg} AS stg_message"
+
+
+ORACLE["optional_rules_products"] = sql(f"""SELECT product_id, code, min_stock, {_status()} FROM (
+SELECT *, CASE WHEN m1 IS NOT NULL THEN m1 WHEN rn > 1 THEN {q(C.MSG_PRODUCT_CODE_DUP)}
+               WHEN min_stock < 0 THEN {q(_V.MSG_X_MIN_STOCK)}
+               WHEN category_name IS NOT NULL AND NOT category_known THEN {q(_V.MSG_X_CATEGORY)} END AS msg FROM (
+SELECT *, row_number() OVER (PARTITION BY (m1 IS NULL), code ORDER BY product_id) AS rn FROM (
+SELECT p.product_id, p.code, p.min_stock, c.name AS category_name,
+       c.name IN (SELECT name FROM src_categories) AS category_known,
+       CASE WHEN p.sale_price IS NULL OR p.cost_price IS NULL OR p.sale_price <= p.cost_price
+              THEN {q(C.MSG_PRODUCT_PRICE)}
+            WHEN p.code IS NULL THEN {q(C.MSG_PRODUCT_CODE_NULL)} END AS m1
+FROM src_products p JOIN src_categories c ON p.category_id = c.category_id) a) b) x""",
+                                        "src_products", "src_categories")
+
+def _initcap(x: str) -> str:
+    # upper-case the first letter of each space-separated word, lower-case the rest
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')")
+
+
+ORACLE["optional_rules_customers"] = sql(f"""SELECT customer_id,
+       CASE WHEN msg IS NULL THEN {_initcap('trim(city)')} ELSE city END AS city,
+       CASE WHEN msg IS NULL THEN {_initcap('trim(region)')} ELSE region END AS region, {_status()} FROM (
+SELECT *, CASE WHEN m1 IS NULL AND rn > 1 THEN {q(C.MSG_CUSTOMER_DUP)} ELSE m1 END AS msg FROM (
+SELECT *, row_number() OVER (PARTITION BY (m1 IS NULL), doc_type, doc_number ORDER BY customer_id) AS rn FROM (
+SELECT customer_id, doc_type, doc_number, city, region,
+       CASE WHEN first_name IS NULL OR last_name IS NULL OR doc_number IS NULL THEN {q(C.MSG_CUSTOMER_REQUIRED)}
+            WHEN doc_type NOT IN ({qlist(C.DOCUMENT_TYPES)}) THEN {q(C.MSG_CUSTOMER_DOC_TYPE)}
+            WHEN segment NOT IN ({qlist(C.SEGMENTS)}) THEN {q(C.MSG_CUSTOMER_SEGMENT)} END AS m1
+FROM src_customers) a) b) x""", "src_customers")
+
+_id = parse("i.inv_date")
+ORACLE["optional_rules_inventory"] = sql(f"""SELECT inventory_id, inv_date, product_id, store_id, {_status()} FROM (
+SELECT i.*, CASE
+  WHEN i.closing <> i.balance THEN {q(C.MSG_INVENTORY_BALANCE)}
+  WHEN i.opening < 0 OR i.closing < 0 THEN {q(C.MSG_INVENTORY_NEGATIVE)}
+  WHEN {_id} IS NULL OR NOT ({_id} BETWEEN DATE {q(_S.CALENDAR_START)} AND DATE {q(RUN_DATE)}) THEN {q(_V.MSG_X_INV_RANGE)}
+  WHEN i.product_id IS NOT NULL AND p.product_id IS NULL THEN {q(_V.MSG_X_INV_PRODUCT)}
+  WHEN i.store_id IS NOT NULL AND st.store_id IS NULL THEN {q(_V.MSG_X_INV_STORE)} END AS msg
+FROM (SELECT inventory_id, strftime(inv_date, '%Y-%m-%d') AS inv_date, product_id, store_id, opening, closing,
+             opening + units_in - units_out AS balance FROM src_inventory) i
+LEFT JOIN (SELECT DISTINCT product_id FROM src_products) p ON i.product_id = p.product_id
+LEFT JOIN (SELECT DISTINCT store_id FROM src_stores) st ON i.store_id = st.store_id) x""",
+                                         "src_inventory", "src_products", "src_stores")
+
+_gv = "TRY_CAST(goal_value AS DECIMAL(15,2))"
+_gy, _gm = "TRY_CAST(year AS INTEGER)", "TRY_CAST(month AS INTEGER)"
+ORACLE["optional_rules_goals"] = sql(f"""SELECT year, month, store_id, category_name, goal_value, {_status()} FROM (
+SELECT *, CASE WHEN m1 IS NULL AND rn > 1 THEN {q(_V.MSG_X_GOAL_DUP)} ELSE m1 END AS msg FROM (
+SELECT *, row_number() OVER (PARTITION BY (m1 IS NULL), year, month, store_id_resolved, category_id_resolved
+                             ORDER BY store_id, category_name, goal_value) AS rn FROM (
+SELECT *, CASE WHEN store_id_resolved IS NULL THEN {q(C.MSG_GOAL_STORE)}
+               WHEN category_id_resolved IS NULL THEN {q(C.MSG_GOAL_CATEGORY)}
+               WHEN {_gv} IS NULL OR {_gv} <= 0 THEN {q(C.MSG_GOAL_VALUE)}
+               WHEN {_gy} IS NULL OR {_gm} IS NULL OR NOT ({_gy} BETWEEN 1995 AND 2001)
+                    OR NOT ({_gm} BETWEEN 1 AND 12) THEN {q(_V.MSG_X_GOAL_PERIOD)} END AS m1 FROM (
+SELECT g.*, st.store_id AS store_id_resolved, c.category_id AS category_id_resolved
+FROM src_goals_csv g
+LEFT JOIN (SELECT DISTINCT store_id FROM src_stores) st ON g.store_id = st.store_id
+LEFT JOIN (SELECT DISTINCT name, category_id FROM src_categories) c
+  ON {case_map('g.category_name', _S.GOAL_CATEGORY_MAP, 'g.category_name')} = c.name) r) a) b) x""",
+                                     "src_goals_csv", "src_stores", "src_categories")
+
+_pd = parse("p.purchase_date")
+ORACLE["optional_rules_purchases"] = sql(f"""SELECT purchase_line_id, product_id, unit_price, {_status()} FROM (
+SELECT p.purchase_line_id, p.product_id, p.unit_price, CASE
+  WHEN p.quantity <= 0 OR p.unit_price <= 0 THEN {q(C.MSG_QTY_PRICE)}
+  WHEN p.supplier_id IS NOT NULL AND k.supplier_id IS NULL THEN {q(C.MSG_PURCHASE_SUPPLIER)}
+  WHEN p.store_id IS NOT NULL AND st.store_id IS NULL THEN {q(_V.MSG_X_STORE)}
+  WHEN p.unit_price <> pr.cost_price THEN {q(_V.MSG_X_PRICE_COST)}
+  WHEN {_pd} IS NULL OR {_pd} < DATE {q(PROJECT_START)} OR {_pd} > DATE {q(RUN_DATE)} THEN {q(_V.MSG_X_PURCHASE_DATE)}
+END AS msg
+FROM (SELECT purchase_line_id, purchase_date, supplier_id, store_id, product_id, quantity, unit_price
+      FROM stg_purchases) p
+LEFT JOIN (SELECT DISTINCT supplier_id FROM src_suppliers) k ON p.supplier_id = k.supplier_id
+LEFT JOIN (SELECT DISTINCT store_id FROM src_stores) st ON p.store_id = st.store_id
+LEFT JOIN src_products pr ON pr.product_id = p.product_id) x""",
+                                         "stg_purchases", "src_suppliers", "src_stores", "src_products")

@@ -607,3 +607,54 @@ def pipeline_log(spark, sf_dir):
     run_pipeline(spark, sf_dir, base, warehouse=_w(spark, sf_dir))
     return spark.read.parquet(f"{base}/_log").select(
         "log_id", "step", "phase", "status", "rows_written", "message")
+
+
+@query("optional_rules_products")
+def optional_rules_products(spark, sf_dir):
+    from tallyhouse.plans import validate as V
+    w = _w(spark, sf_dir)
+    out = V.validate_products_strict(w.stg_products_raw(2), w.src.categories())
+    return out.select("product_id", "code", "min_stock", *STG_OUT)
+
+
+@query("optional_rules_customers")
+def optional_rules_customers(spark, sf_dir):
+    from tallyhouse.plans import validate as V
+    w = _w(spark, sf_dir)
+    out = V.validate_customers_strict(w.stg_customers_raw(2))
+    return out.select("customer_id", "city", "region", *STG_OUT)
+
+
+@query("optional_rules_inventory")
+def optional_rules_inventory(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    from tallyhouse.plans import validate as V
+    from tallyhouse.plans.standin import CALENDAR_START
+    w = _w(spark, sf_dir)
+    raw = E.extract_inventory(w.src.daily_inventory(), w.loaded_at)
+    out = V.validate_inventory_strict(raw, w.src.products(), w.src.stores(), CALENDAR_START, w.run_date)
+    return out.select("inventory_id", "inv_date", "product_id", "store_id", *STG_OUT)
+
+
+@query("optional_rules_goals")
+def optional_rules_goals(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    from tallyhouse.plans import validate as V
+    from tallyhouse.plans.standin import GOAL_CATEGORY_MAP
+    w = _w(spark, sf_dir)
+    raw = E.extract_goals(w.src.goals_csv_rows(), w.loaded_at)
+    out = V.validate_goals_strict(raw, w.src.stores(), w.src.categories(), GOAL_CATEGORY_MAP,
+                                  1995, 2001, ["store_id", "category_name", "goal_value"])
+    return out.select("year", "month", "store_id", "category_name", "goal_value", *STG_OUT)
+
+
+@query("optional_rules_purchases")
+def optional_rules_purchases(spark, sf_dir):
+    from tallyhouse.plans import extracts as E
+    from tallyhouse.plans import validate as V
+    w = _w(spark, sf_dir)
+    s = w.src
+    raw = E.extract_purchases(s.purchases(), s.purchase_lines(), s.suppliers(), w.loaded_at)
+    out = V.validate_purchases_strict(raw, s.suppliers(), s.stores(), s.products(), PROJECT_START,
+                                      w.run_date)
+    return out.select("purchase_line_id", "product_id", "unit_price", *STG_OUT)

@@ -17,6 +17,7 @@ from tallyhouse.functions.dates import parse_date
 from tallyhouse.functions.text import classify_contains, clean_trim, map_values
 from tallyhouse.operators.lookup import resolve
 from tallyhouse.operators.rules import Dedup, Derive, Rule, apply_rules, missing_ref, ref_flag
+from tallyhouse.operators.sizing import bounded_broadcast
 
 
 def _not_in(col: str, values: Sequence) -> F.Column:
@@ -175,3 +176,105 @@ def validate_returns_strict(stg: DataFrame, sale_lines: DataFrame,
         Rule(C.MSG_RETURN_DATE, d.isNull()),
     ]
     return apply_rules(df, rules).drop("__sale_ok", "__pair_ok")
+
+
+MSG_X_MIN_STOCK = "StockMinimo negativo"
+MSG_X_CATEGORY = "Categoría no existe en catálogo"
+MSG_X_INV_RANGE = "Fecha fuera del rango del proyecto"
+MSG_X_INV_PRODUCT = "IdProducto no existe en OLTP"
+MSG_X_INV_STORE = "IdTienda no existe en OLTP"
+MSG_X_GOAL_PERIOD = "Año o Mes no válido"
+MSG_X_GOAL_DUP = "Meta duplicada por Año, Mes, Tienda y Categoría"
+MSG_X_PRICE_COST = "PrecioUnidad distinto del costo de catálogo"
+MSG_X_PURCHASE_DATE = "FechaCompra futura, fuera de rango o no válida"
+
+
+def validate_products_strict(stg: DataFrame, categories: DataFrame,
+                             order_by: Sequence = ("product_id",)) -> DataFrame:
+    """Default product rules, then negative minimum stock and a category
+    name that is not in the catalogue."""
+    df = ref_flag(stg, categories, "category_name", "name", "__cat_ok")
+    rules = [
+        Rule(C.MSG_PRODUCT_PRICE, F.col("sale_price").isNull() | F.col("cost_price").isNull() |
+             (F.col("sale_price") <= F.col("cost_price"))),
+        Rule(C.MSG_PRODUCT_CODE_NULL, F.col("code").isNull()),
+        Dedup(C.MSG_PRODUCT_CODE_DUP, ["code"], list(order_by)),
+        Rule(MSG_X_MIN_STOCK, F.col("min_stock") < 0),
+        Rule(MSG_X_CATEGORY, missing_ref("__cat_ok")),
+    ]
+    return apply_rules(df, rules).drop("__cat_ok")
+
+
+def validate_customers_strict(stg: DataFrame, order_by: Sequence = ("customer_id",)) -> DataFrame:
+    """Default customer rules; surviving city and region are trimmed and
+    capitalised."""
+    rules = [
+        Rule(C.MSG_CUSTOMER_REQUIRED, F.col("first_name").isNull() | F.col("last_name").isNull() |
+             F.col("doc_number").isNull()),
+        Rule(C.MSG_CUSTOMER_DOC_TYPE, _not_in("doc_type", C.DOCUMENT_TYPES)),
+        Rule(C.MSG_CUSTOMER_SEGMENT, _not_in("segment", C.SEGMENTS)),
+        Dedup(C.MSG_CUSTOMER_DUP, ["doc_type", "doc_number"], list(order_by)),
+        Derive("city", F.initcap(clean_trim("city"))),
+        Derive("region", F.initcap(clean_trim("region"))),
+    ]
+    return apply_rules(stg, rules)
+
+
+def validate_inventory_strict(stg: DataFrame, products: DataFrame, stores: DataFrame,
+                              start: str, end: str) -> DataFrame:
+    """Default inventory rules, then the date must lie in [start, end]
+    and product and store must exist."""
+    df = ref_flag(stg, products, "product_id", "product_id", "__prod_ok")
+    df = ref_flag(df, stores, "store_id", "store_id", "__store_ok")
+    d = parse_date("inv_date")
+    rules = [
+        Rule(C.MSG_INVENTORY_BALANCE, F.col("closing") != F.col("balance")),
+        Rule(C.MSG_INVENTORY_NEGATIVE, (F.col("opening") < 0) | (F.col("closing") < 0)),
+        Rule(MSG_X_INV_RANGE, d.isNull() | ~d.between(F.lit(start).cast("date"), F.lit(end).cast("date"))),
+        Rule(MSG_X_INV_PRODUCT, missing_ref("__prod_ok")),
+        Rule(MSG_X_INV_STORE, missing_ref("__store_ok")),
+    ]
+    return apply_rules(df, rules).drop("__prod_ok", "__store_ok")
+
+
+def validate_goals_strict(stg: DataFrame, stores: DataFrame, categories: DataFrame,
+                          category_map: Mapping[str, str], first_year: int, last_year: int,
+                          order_by: Sequence) -> DataFrame:
+    """Default goal rules, then a valid year/month and one goal per
+    (year, month, store, resolved category)."""
+    df = resolve(stg, stores, ("store_id", "store_id"), "store_id", "store_id_resolved")
+    df = resolve(df, categories, (map_values("category_name", dict(category_map)), "name"),
+                 "category_id", "category_id_resolved")
+    v = F.col("goal_value").try_cast("decimal(15,2)")
+    y, m = F.col("year").try_cast("int"), F.col("month").try_cast("int")
+    rules = [
+        Rule(C.MSG_GOAL_STORE, F.col("store_id_resolved").isNull()),
+        Rule(C.MSG_GOAL_CATEGORY, F.col("category_id_resolved").isNull()),
+        Rule(C.MSG_GOAL_VALUE, v.isNull() | (v <= 0)),
+        Rule(MSG_X_GOAL_PERIOD, y.isNull() | m.isNull() | ~y.between(first_year, last_year) |
+             ~m.between(1, 12)),
+        Dedup(MSG_X_GOAL_DUP, ["year", "month", "store_id_resolved", "category_id_resolved"],
+              list(order_by)),
+    ]
+    return apply_rules(df, rules)
+
+
+def validate_purchases_strict(stg: DataFrame, suppliers: DataFrame, stores: DataFrame,
+                              products: DataFrame, start: str, run_date: str) -> DataFrame:
+    """Default purchase rules, then the store must exist, the unit price
+    must equal the catalogue cost, and the date must parse and lie in
+    [start, run_date]."""
+    df = ref_flag(stg, suppliers, "supplier_id", "supplier_id", "__sup_ok")
+    df = ref_flag(df, stores, "store_id", "store_id", "__store_ok")
+    cost = products.select(F.col("product_id").alias("__pid"), F.col("cost_price").alias("__cost"))
+    df = df.join(bounded_broadcast(products, cost), df["product_id"] == F.col("__pid"), "left").drop("__pid")
+    d = parse_date("purchase_date")
+    rules = [
+        Rule(C.MSG_QTY_PRICE, (F.col("quantity") <= 0) | (F.col("unit_price") <= 0)),
+        Rule(C.MSG_PURCHASE_SUPPLIER, missing_ref("__sup_ok")),
+        Rule(MSG_X_STORE, missing_ref("__store_ok")),
+        Rule(MSG_X_PRICE_COST, F.col("unit_price") != F.col("__cost")),
+        Rule(MSG_X_PURCHASE_DATE, d.isNull() | (d < F.lit(start).cast("date")) |
+             (d > F.lit(run_date).cast("date"))),
+    ]
+    return apply_rules(df, rules).drop("__sup_ok", "__store_ok", "__cost")
