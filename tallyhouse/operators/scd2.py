@@ -86,10 +86,10 @@ def scd2_apply(dim: DataFrame | None, incoming: DataFrame, sk: str, key: str,
                    VALID_FROM, VALID_TO, IS_CURRENT, "__phase"))
     start = max_key(dim, sk) + 1
     ins = assign_keys(ins, sk, ["__phase", key], start=start).drop("__phase")
-    # the next version is a table in its own right: pin it (reliable checkpoint),
-    # so facts joining it neither re-run the comparison with staging nor carry
-    # its lineage
-    return pin(hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols)))
+    # the next version is a table in its own right: pin it (written to the
+    # shared folder), so facts joining it neither re-run the comparison with
+    # staging nor carry its lineage
+    return pin(hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols)), "scd2")
 
 
 def _scd2_initial(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str], base_date: str,
@@ -104,7 +104,7 @@ def _scd2_initial(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str],
            .withColumn(VALID_TO, F.lit(None).cast("date"))
            .withColumn(IS_CURRENT, F.lit(True)))
     out = assign_keys(ins, sk, [key], start=1)
-    return pin(out.select(sk, *cols, VALID_FROM, VALID_TO, IS_CURRENT))
+    return pin(out.select(sk, *cols, VALID_FROM, VALID_TO, IS_CURRENT), "scd2")
 
 
 def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,

@@ -2,9 +2,10 @@
 
 ``Warehouse(spark, sf_dir)`` exposes every staging table, dimension and
 fact as a lazily built DataFrame (memoised per instance, so a plan that
-needs the same dimension twice builds it once).  Finished dimensions are
-pinned with a reliable checkpoint - they are the warehouse's tables - so
-fact plans read them instead of re-deriving them.  Two loads are modelled for
+needs the same dimension twice builds it once).  Every finished table -
+validated staging, dimensions, facts - is pinned (written to the shared
+checkpoint folder and read back), as the source system writes each step's
+table once and later steps read it.  Two loads are modelled for
 the SCD2 dimensions: the first at ``SCD_BASE_DATE`` from the earlier
 snapshot, the second at ``SCD_CHANGE_DATE`` from the current one.
 """
@@ -23,6 +24,17 @@ from tallyhouse.plans.standin import (
 )
 
 
+def table(fn):
+    """A warehouse table: built once per instance and pinned (written to the
+    shared checkpoint folder and read back), so later steps read a table
+    instead of re-running its plan."""
+    def build(self):
+        return pin(fn(self), fn.__name__)
+    build.__name__ = fn.__name__
+    build.__doc__ = fn.__doc__
+    return cached_property(build)
+
+
 class Warehouse:
     _shared: dict = {}
 
@@ -45,7 +57,7 @@ class Warehouse:
         self.loaded_at = loaded_at
 
     # --- staging (extract + validate) ---------------------------------------------
-    @cached_property
+    @table
     def stg_sales(self) -> DataFrame:
         s = self.src
         raw = extracts.extract_sales(s.sales(), s.sale_lines(), self.loaded_at)
@@ -58,33 +70,33 @@ class Warehouse:
     def stg_customers_raw(self, snapshot: int = 2) -> DataFrame:
         return extracts.extract_customers(self.src.customers(snapshot), self.loaded_at)
 
-    @cached_property
+    @table
     def stg_products(self) -> DataFrame:
         return validate.validate_products(self.stg_products_raw(2))
 
-    @cached_property
+    @table
     def stg_products_v1(self) -> DataFrame:
         return validate.validate_products(self.stg_products_raw(1))
 
-    @cached_property
+    @table
     def stg_customers(self) -> DataFrame:
         return validate.validate_customers(self.stg_customers_raw(2))
 
-    @cached_property
+    @table
     def stg_customers_v1(self) -> DataFrame:
         return validate.validate_customers(self.stg_customers_raw(1))
 
-    @cached_property
+    @table
     def stg_inventory(self) -> DataFrame:
         return validate.validate_inventory(
             extracts.extract_inventory(self.src.daily_inventory(), self.loaded_at))
 
-    @cached_property
+    @table
     def stg_returns(self) -> DataFrame:
         return validate.validate_returns(
             extracts.extract_returns(self.src.returns(), self.src.sales(), self.loaded_at))
 
-    @cached_property
+    @table
     def stg_purchases(self) -> DataFrame:
         s = self.src
         raw = extracts.extract_purchases(s.purchases(), s.purchase_lines(), s.suppliers(),
@@ -100,11 +112,11 @@ class Warehouse:
         raw = extracts.extract_adjustments(csv_rows, self.loaded_at)
         return validate.validate_adjustments(raw, self.src.stores(), self.src.products())
 
-    @cached_property
+    @table
     def stg_goals(self) -> DataFrame:
         return self.stg_goals_from(self.src.goals_csv_rows())
 
-    @cached_property
+    @table
     def stg_adjustments(self) -> DataFrame:
         return self.stg_adjustments_from(self.src.adjustments_csv_rows())
 
@@ -158,18 +170,18 @@ class Warehouse:
                                  SCD_BASE_DATE)
 
     # --- facts -----------------------------------------------------------------------
-    @cached_property
+    @table
     def fact_sales(self) -> DataFrame:
         return facts.sales_fact(self.stg_sales, self.dim_customer, self.dim_product,
                                 self.dim_store, self.dim_salesperson, self.dim_channel,
                                 self.dim_promotion)
 
-    @cached_property
+    @table
     def fact_inventory_base(self) -> DataFrame:
         return facts.inventory_base(self.stg_inventory, self.stg_adjustments, self.dim_product,
                                     self.dim_store)
 
-    @cached_property
+    @table
     def fact_inventory_orphans(self) -> DataFrame:
         return facts.inventory_orphans(self.stg_inventory, self.stg_adjustments, self.dim_product,
                                        self.dim_store)
@@ -178,19 +190,19 @@ class Warehouse:
     def fact_inventory(self) -> DataFrame:
         return self.fact_inventory_base.unionByName(self.fact_inventory_orphans)
 
-    @cached_property
+    @table
     def fact_goals(self) -> DataFrame:
         return facts.goals_fact(self.stg_goals, self.dim_store, self.dim_date)
 
-    @cached_property
+    @table
     def fact_returns(self) -> DataFrame:
         return facts.returns_fact(self.stg_returns, self.dim_product, self.fact_sales)
 
-    @cached_property
+    @table
     def fact_purchases(self) -> DataFrame:
         return facts.purchases_fact(self.stg_purchases, self.dim_product, self.dim_supplier,
                                     self.dim_store)
 
-    @cached_property
+    @table
     def fact_profitability(self) -> DataFrame:
         return facts.profitability_fact(self.fact_sales, self.dim_date)
