@@ -5,15 +5,22 @@ from __future__ import annotations
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
-    """Keep the first row per key under a total order (one shuffle on key)."""
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Keep the first row per key under a total order.
+
+    ``min(struct(order..., row...))`` per key is an aggregate: each task
+    reduces its rows before the shuffle, so a key holding a third of all rows
+    never lands whole in one task (a window would)."""
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
+                      *[F.col(c) for c in rest])
+    g = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
+    return g.select(*keys, *[F.col(f"__first.__o{i}").alias(c) for i, c in enumerate(order_by)],
+                    *[F.col(f"__first.{c}") for c in rest]).select(*df.columns)
 
 
 def top_n(df: DataFrame, n: int, order_by: Sequence) -> DataFrame:

@@ -143,10 +143,15 @@ def run_step(spark: SparkSession, sf_dir: str, out_base: str, name: str) -> Data
     return run_pipeline(spark, sf_dir, out_base, steps=[step])
 
 
+def latest_first(log: DataFrame) -> DataFrame:
+    """The log as read by an operator: latest rows first."""
+    return log.orderBy(F.desc("log_id"))
+
+
 def elapsed(log: DataFrame) -> DataFrame:
     """Per step duration in seconds (the reference's run duration)."""
     return log.select("log_id", "step", (F.col("finished_at").cast("double")
                                          - F.col("started_at").cast("double")).alias("seconds"))
 
 
-__all__ = ["Step", "STEPS", "run_pipeline", "run_step", "elapsed", "StepFailed"]
+__all__ = ["Step", "STEPS", "run_pipeline", "run_step", "latest_first", "elapsed", "StepFailed"]

@@ -44,3 +44,19 @@ def test_versioned_overwrite_reads_committed(spark):
     overwrite(spark.range(7), base)
     assert first.count() == 4            # old version still readable
     assert read_current(spark, base).count() == 7
+
+
+def test_run_step_rebuilds_one_table(spark):
+    from tallyhouse.plans.pipeline import run_step
+    base = scratch_path(spark, "rerun")
+    log = run_step(spark, "/root/testdata/sf0.001", base, "dim_store").collect()
+    assert [(r["step"], r["status"]) for r in log] == [("dim_store", C.SUCCEEDED)]
+    assert read_current(spark, f"{base}/dim_store").count() == log[0]["rows_written"] > 0
+
+
+def test_dedup_first_keeps_first_row(spark):
+    from tallyhouse.operators.aggregate import dedup_first
+    df = spark.createDataFrame([(1, 3, "c"), (1, 2, "b"), (2, 9, "z"), (None, 1, "n"), (None, 0, "m")],
+                               "k int, o int, v string")
+    got = sorted(map(tuple, dedup_first(df, ["k"], ["o"]).collect()), key=str)
+    assert got == sorted([(1, 2, "b"), (2, 9, "z"), (None, 0, "m")], key=str)
