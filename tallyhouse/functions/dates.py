@@ -64,4 +64,7 @@ def weekday_name(d) -> Column:
 
 
 def seconds_between(start, end) -> Column:
-    return (F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))).cast("long")
+    """Whole seconds from ``start`` to ``end`` on wall-clock values (no time
+    zone, so a daylight-saving session zone cannot shift the result)."""
+    return F.timestamp_diff("SECOND", _c(start).cast("timestamp_ntz"),
+                            _c(end).cast("timestamp_ntz")).cast("long")

@@ -417,7 +417,7 @@ def predicate_mix(spark, sf_dir):
         (F.round(margin.cast("double") / F.nullif(F.col("unit_price").cast("double"), F.lit(0.0)) * 100, 2))
         .alias("margin_pct"),
         F.add_months(d, 1).alias("due_date"), F.date_add(d, 7).alias("week_after"),
-        seconds_between(d.cast("timestamp"), F.lit(w.run_date).cast("timestamp")).alias("seconds_to_run"),
+        seconds_between(d, F.lit(w.run_date).cast("date")).alias("seconds_to_run"),
         F.floor(F.col("quantity") / 10).cast("int").alias("quantity_tens"),
         (F.col("quantity") % 7).alias("quantity_mod7"),
         F.coalesce(F.col("campaign_id"), F.lit(-1)).alias("campaign_or_none"),

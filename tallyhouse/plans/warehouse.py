@@ -17,6 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.keys import pin
+from tallyhouse.session import session_key
 from tallyhouse.plans import dims, extracts, facts, validate
 from tallyhouse.plans.standin import (
     CALENDAR_END, CALENDAR_START, GOAL_CATEGORY_MAP, RUN_DATE, RUN_TS, SCD_BASE_DATE,
@@ -43,7 +44,7 @@ class Warehouse:
         """One warehouse per session and input folder: dimensions are built
         (and pinned) once per run and reused by every later query, as a
         pipeline loads dimensions once before the facts."""
-        key = (id(spark), sf_dir.rstrip("/"))
+        key = (session_key(spark), sf_dir.rstrip("/"))
         w = cls._shared.get(key)
         if w is None:
             w = cls._shared[key] = cls(spark, sf_dir)

@@ -67,3 +67,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session (a stopped and recreated session differs)."""
+    return (id(spark), spark.sparkContext.applicationId)

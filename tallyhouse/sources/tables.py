@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.session import session_key
+
 
 _SCANS: dict = {}
 
@@ -16,7 +18,7 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     The DataFrame is reused within a session (file listing and footer reads
     happen once); it is immutable, so sharing it is safe."""
     path = f"{base.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     df = _SCANS.get(key)
     if df is None:
         df = _SCANS[key] = spark.read.parquet(path)
