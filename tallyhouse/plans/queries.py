@@ -323,6 +323,8 @@ def campaign_on_date(spark, sf_dir):
     days = (w.src.campaigns()
             .select("campaign_id", F.explode(F.sequence("start_date", "end_date")).alias("day"))
             .groupBy("day").agg(F.min("campaign_id").alias("campaign_id")))
+    from tallyhouse.operators.sizing import bounded_broadcast
+    days = bounded_broadcast(days)
     s = w.src.sales().select("sale_id", "sale_date")
     return s.join(days, s.sale_date == days.day, "left").select(
         "sale_id", "sale_date", F.col("campaign_id").alias("active_campaign_id"))
