@@ -61,6 +61,13 @@ class ForeignKey:
     ref_columns: Sequence[str] = ()
 
 
+def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:
+    """DEFAULT constraints: a NULL in a column with a declared default takes
+    the default (``coalesce``), as an insert that omitted the column would."""
+    return df.select(*[F.coalesce(F.col(c), F.lit(defaults[c]).cast(df.schema[c].dataType)).alias(c)
+                       if c in defaults else F.col(c) for c in df.columns])
+
+
 def violations(df: DataFrame, check) -> DataFrame:
     """Rows (or duplicate keys) violating one check."""
     if isinstance(check, (NotNull, Check, Domain)):

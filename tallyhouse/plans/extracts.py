@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tallyhouse.operators.audit import apply_defaults
 from tallyhouse.sources.tables import stamp
 
 
@@ -34,7 +35,8 @@ def extract_products(products: DataFrame, categories: DataFrame, loaded_at: str)
     out = products.join(cat, "category_id").select(
         "product_id", "code", "name", "description", "category_id", "category_name",
         "sale_price", "cost_price", "unit", "min_stock")
-    return stamp(out, "products", loaded_at)
+    # declared source default: minimum stock 0
+    return stamp(apply_defaults(out, {"min_stock": 0}), "products", loaded_at)
 
 
 def extract_customers(customers: DataFrame, loaded_at: str) -> DataFrame:

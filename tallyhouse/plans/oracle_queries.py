@@ -126,7 +126,7 @@ FROM fact_sales f JOIN dim_date d ON d.date_key = f.date_key GROUP BY 1, 2, 3, 4
     # --- extracts
     "extract_sales_lines": sql("SELECT *, 'sales' AS stg_source FROM stg_sales_raw", "stg_sales_raw"),
     "extract_products": sql("""SELECT p.product_id, p.code, p.name, p.description, p.category_id, c.name AS category_name,
-       p.sale_price, p.cost_price, p.unit, p.min_stock, 'products' AS stg_source
+       p.sale_price, p.cost_price, p.unit, coalesce(p.min_stock, 0) AS min_stock, 'products' AS stg_source
 FROM src_products p JOIN src_categories c ON p.category_id = c.category_id""", "src_products", "src_categories"),
     "extract_customers": sql("""SELECT customer_id, first_name, last_name, doc_type, doc_number, city, region, segment,
        strftime(registered, '%Y-%m-%d') AS registered, 'customers' AS stg_source FROM src_customers""",

@@ -163,3 +163,10 @@ def test_derive_only_on_pending(spark):
                            Dedup("dup", ["id"], ["id"])])
     got = {r["id"]: (r["w"], r["stg_status"]) for r in out.collect()}
     assert got == {1: (10, C.VALID), 2: (None, C.REJECTED)}
+
+
+def test_defaults_fill_nulls_only(spark):
+    from tallyhouse.operators.audit import apply_defaults
+    df = spark.createDataFrame([(1, None, "a"), (2, 5, None)], "id int, stock int, state string")
+    out = apply_defaults(df, {"stock": 0, "state": "Pendiente"}).collect()
+    assert [tuple(r) for r in out] == [(1, 0, "a"), (2, 5, "Pendiente")]
