@@ -1,9 +1,12 @@
 """Size-checked broadcast.
 
-A side is broadcast only when its row count is known to be at most
-``BROADCAST_ROWS`` (counted once per DataFrame object, cheap for pinned
-dimension tables); otherwise the join stays a shuffle join and AQE may still
-switch strategy from measured sizes.
+A side is broadcast only when it is known to be small.  The optimiser's
+size estimate (an upper bound; for pinned Parquet tables it is the file size,
+the same statistic Spark's own broadcast threshold uses) settles clear cases
+without running anything; in between, the row count is checked (counted
+once per DataFrame object, stopping after ``max_rows + 1``).  Otherwise the
+join stays a shuffle join and AQE may still switch strategy from measured
+sizes.
 """
 
 from __future__ import annotations
@@ -12,9 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
+SURE_SMALL_BYTES = 16 * 1024 * 1024
+SURE_LARGE_BYTES = 1024 * 1024 * 1024
 _ATTR = "_tallyhouse_rows"
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Optimiser size estimate of ``df`` (upper bound), or None if unknown."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # pragma: no cover - estimate not available
+        return None
+
+
 def row_count(df: DataFrame, cap: int) -> int:
     """Exact count up to ``cap + 1`` (stops reading beyond that), memoised."""
     n = getattr(df, _ATTR, None)
@@ -31,4 +44,9 @@ def bounded_broadcast(df: DataFrame, narrow: DataFrame | None = None,
                       max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``broadcast(narrow or df)`` if ``df`` has at most ``max_rows`` rows."""
     target = narrow if narrow is not None else df
+    est = estimated_bytes(df)
+    if est is not None and est <= SURE_SMALL_BYTES:
+        return F.broadcast(target)
+    if est is not None and est >= SURE_LARGE_BYTES:
+        return target
     return F.broadcast(target) if row_count(df, max_rows) <= max_rows else target
