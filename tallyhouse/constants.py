@@ -89,8 +89,8 @@ WEEKDAY_NAMES = ["Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado"
 UNKNOWN_KEY = -1
 COUNTRY = "Colombia"
 SUPPLIER_REGION = "Colombia"
-REFERENCE_CALENDAR = ("2024-01-01", "2026-12-31")
-REFERENCE_SCD_BASE_DATE = "2024-01-01"
+DEFAULT_CALENDAR_RANGE = ("2024-01-01", "2026-12-31")
+DEFAULT_SCD_BASE_DATE = "2024-01-01"
 
 # --- run log states -------------------------------------------------------------
 RUNNING = "EN EJECUCION"

@@ -185,7 +185,8 @@ WHERE s.stg_status = {_VALID} AND s.quantity BETWEEN 5 AND 45 AND s.sale_state I
        strftime(registered, '%Y-%m-%d') AS registered, 'customers' AS stg_source FROM src_customers""",
                             "src_customers"),
     "upsert_readback": sql("SELECT * FROM dim_customer", "dim_customer"),
-    "csv_adjustments": sql("""SELECT year, month, store_id, product_id, adjustment, reason, adjustment_type, reason_class,
+    "csv_adjustments": sql("""SELECT year, month, store_id, CAST(product_id AS INTEGER) AS product_id, adjustment,
+       reason, adjustment_type, reason_class,
        'ajustes_csv' AS stg_source, stg_status, stg_message FROM stg_adjustments""", "stg_adjustments"),
     "csv_goals": sql("""SELECT year, month, store_id, category_name, goal_value, store_id_resolved, category_id_resolved,
        'metas_csv' AS stg_source, stg_status, stg_message FROM stg_goals""", "stg_goals"),

@@ -149,7 +149,7 @@ def latest_first(log: DataFrame) -> DataFrame:
 
 
 def elapsed(log: DataFrame) -> DataFrame:
-    """Per step duration in seconds (the reference's run duration)."""
+    """Per step duration in seconds (the run duration the log reports)."""
     return log.select("log_id", "step", (F.col("finished_at").cast("double")
                                          - F.col("started_at").cast("double")).alias("seconds"))
 

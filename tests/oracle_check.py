@@ -40,6 +40,25 @@ def digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "double": "DOUBLE",
+                 "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP", "tinyint": "TINYINT"}
+
+
+def type_mismatches(df, description):
+    spark_t = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = []
+    for d in description:
+        name, dtype = d[0], str(d[1])
+        st = spark_t.get(name)
+        if st is None:
+            continue
+        want = SPARK_TO_DUCK.get(st, st.upper().replace(" ", ""))
+        if want.replace(" ", "") != dtype.replace(" ", ""):
+            out.append(f"{name}: spark {st} / duckdb {dtype}")
+    return out
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -77,8 +96,9 @@ def main(argv):
         ho, lo = digest(ocols, orows)
         ok = hs == ho and sorted(scols) == sorted(ocols) and len(srows) == len(orows)
         bad += not ok
+        tm = type_mismatches(df, cur.description)
         print(f"{name:32s} spark={len(srows):7d} oracle={len(orows):7d} {'OK ' if ok else 'BAD'} "
-              f"{ts:5.1f}s/{to:4.1f}s")
+              f"{ts:5.1f}s/{to:4.1f}s" + (f"  types: {tm}" if tm else ""))
         if not ok:
             if sorted(scols) != sorted(ocols):
                 print("   cols spark:", sorted(scols), "\n   cols oracle:", sorted(ocols))

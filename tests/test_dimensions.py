@@ -12,7 +12,7 @@ from tallyhouse.plans import dims
 D = dt.date
 
 
-def test_calendar_reference_range(spark):
+def test_calendar_default_range(spark):
     cal = dims.calendar(spark, "2024-01-01", "2026-12-31")
     rows = cal.collect()
     assert len(rows) == 1096
