@@ -62,10 +62,11 @@ def pct(num: str, den: str) -> str:
 ORACLE.update({
     "quality_summary": sql(f"""SELECT table_name, total_rows, valid_rows, rejected_rows,
        {pct('rejected_rows', 'total_rows')} AS reject_pct FROM (
-SELECT table_name, CAST(COUNT(stg_status) AS BIGINT) AS total_rows,
-       CAST(SUM(CASE WHEN stg_status = {_VALID} THEN 1 ELSE 0 END) AS BIGINT) AS valid_rows,
-       CAST(SUM(CASE WHEN stg_status = {_REJ} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_rows
-FROM ({_TAGGED}) t GROUP BY table_name) g""", *STG),
+SELECT n.table_name, CAST(COUNT(t.stg_status) AS BIGINT) AS total_rows,
+       CAST(SUM(CASE WHEN t.stg_status = {_VALID} THEN 1 WHEN t.stg_status IS NOT NULL THEN 0 END) AS BIGINT) AS valid_rows,
+       CAST(SUM(CASE WHEN t.stg_status = {_REJ} THEN 1 WHEN t.stg_status IS NOT NULL THEN 0 END) AS BIGINT) AS rejected_rows
+FROM (VALUES {", ".join(f"({q(x)})" for x in STG)}) n(table_name)
+LEFT JOIN ({_TAGGED}) t ON t.table_name = n.table_name GROUP BY n.table_name) g""", *STG),
     "quality_reasons": sql(f"""SELECT table_name, stg_message AS message, CAST(COUNT(*) AS BIGINT) AS rejected_rows
 FROM ({_TAGGED}) t WHERE stg_status = {_REJ} GROUP BY table_name, stg_message""", *STG),
     "validation_status_counts": sql(f"""SELECT table_name, stg_status, CAST(COUNT(*) AS BIGINT) AS rows

@@ -24,12 +24,19 @@ def _tagged(tables: Mapping[str, DataFrame], *cols: str) -> DataFrame:
 
 def quality_summary(stg_tables: Mapping[str, DataFrame]) -> DataFrame:
     """Panel 1: per staging table total / valid / rejected / reject %.
-    An empty table gives NULL sums and a NULL rate."""
-    t = _tagged(stg_tables, STATUS)
+
+    One seed row per table (with a NULL status, which no measure counts)
+    keeps an empty table in the panel with total 0, NULL sums and a NULL
+    rate, as a per-table aggregate over no rows gives."""
+    spark = next(iter(stg_tables.values())).sparkSession
+    seeds = spark.createDataFrame([(n, None) for n in stg_tables],
+                                  f"table_name string, {STATUS} string")
+    t = _tagged(stg_tables, STATUS).unionByName(seeds)
+    status = F.col(STATUS)
     g = t.groupBy("table_name").agg(
-        F.count(F.col(STATUS)).cast("long").alias("total_rows"),
-        F.sum(F.when(F.col(STATUS) == C.VALID, 1).otherwise(0)).cast("long").alias("valid_rows"),
-        F.sum(F.when(F.col(STATUS) == C.REJECTED, 1).otherwise(0)).cast("long").alias("rejected_rows"))
+        F.count(status).cast("long").alias("total_rows"),
+        F.sum(F.when(status == C.VALID, 1).when(status.isNotNull(), 0)).cast("long").alias("valid_rows"),
+        F.sum(F.when(status == C.REJECTED, 1).when(status.isNotNull(), 0)).cast("long").alias("rejected_rows"))
     return (g.withColumn("reject_pct", pct("rejected_rows", "total_rows"))
             .orderBy(F.desc_nulls_last("reject_pct"), "table_name"))
 

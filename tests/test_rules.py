@@ -170,3 +170,11 @@ def test_defaults_fill_nulls_only(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, 5, None)], "id int, stock int, state string")
     out = apply_defaults(df, {"stock": 0, "state": "Pendiente"}).collect()
     assert [tuple(r) for r in out] == [(1, 0, "a"), (2, 5, "Pendiente")]
+
+
+def test_quality_summary_keeps_empty_tables(spark):
+    from tallyhouse.plans.quality import quality_summary
+    full = spark.createDataFrame([(C.VALID,), (C.REJECTED,), (C.REJECTED,), (C.VALID,)], "stg_status string")
+    empty = spark.createDataFrame([], "stg_status string")
+    got = {r["table_name"]: tuple(r)[1:] for r in quality_summary({"a": full, "b": empty}).collect()}
+    assert got == {"a": (4, 2, 2, 50.0), "b": (0, None, None, None)}
