@@ -48,14 +48,20 @@ def resolve(df: DataFrame, ref: DataFrame, on: tuple, ref_value: str, out_col: s
 
 
 def insert_new(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] | str,
-               sk: str, order_by: Sequence[str] | None = None) -> DataFrame:
+               sk: str, order_by: Sequence[str] | None = None, mode: str = "insert") -> DataFrame:
     """Insert-only load: append incoming business keys not yet in ``dim``.
 
     Idempotent: rerunning with the same input adds nothing.  New rows get
     keys after the current maximum, numbered by ``order_by`` (default: the
-    business key).
+    business key).  ``mode='upsert'`` also overwrites the attributes of
+    existing keys with the incoming values (type-1 change), keeping their
+    surrogate keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if mode == "upsert" and dim is not None:
+        return _upsert(dim, incoming, keys, sk, order_by)
+    if mode not in ("insert", "upsert"):
+        raise ValueError(f"mode must be 'insert' or 'upsert', not {mode!r}")
     if dim is None:
         new = incoming
         start = 1
@@ -68,6 +74,22 @@ def insert_new(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
     return dim.unionByName(new.select(*dim.columns))
 
 
+def _upsert(dim: DataFrame, incoming: DataFrame, keys: list[str], sk: str,
+            order_by: Sequence[str] | None) -> DataFrame:
+    """Type-1 merge: one shuffle join on the business key; matched rows take
+    the incoming attributes, unmatched dimension rows stay, new keys are
+    appended with fresh surrogate keys."""
+    attrs = [c for c in dim.columns if c != sk and c not in keys]
+    inc = incoming.select(*keys, *[F.col(a).alias(f"__in_{a}") for a in attrs],
+                          F.lit(True).alias("__in"))
+    j = dim.join(inc, keys, "left")
+    updated = j.select(sk, *keys, *[F.when(F.col("__in"), F.col(f"__in_{a}")).otherwise(F.col(a)).alias(a)
+                                    for a in attrs])
+    new = incoming.join(dim.select(*keys), keys, "left_anti")
+    new = assign_keys(new, sk, order_by or keys, start=max_key(dim, sk) + 1)
+    return updated.select(*dim.columns).unionByName(new.select(*dim.columns))
+
+
 def with_unknown(dim: DataFrame, row: Mapping) -> DataFrame:
     """Union the literal unknown-member row (e.g. key -1) into a dimension."""
     spark = dim.sparkSession

@@ -1,12 +1,11 @@
 """Fact builds (FA1-FA7).
 
-Large inputs (sales lines, inventory days, purchases) join small
-dimensions (store, salesperson, channel, promotion, calendar); those joins
-are left to the optimiser, which broadcasts a side only when its measured
-size is under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run
-time).  SCD2 dimensions are joined as-of the event date: equality on the
-business key plus an interval residual, shuffled on the key when the
-dimension is large, and AQE splits a hot key's partition.
+Large inputs (sales lines, inventory days, purchases) join dimensions
+through ``lookup`` / ``as_of_join``, which broadcast a dimension only after a
+size check (``operators.sizing``) and otherwise plan a shuffle join.  SCD2
+dimensions are joined as-of the event date: equality on the business key
+plus an interval residual; when such a dimension is large the events are
+shuffled on the key and AQE splits a hot key's partition.
 """
 
 from __future__ import annotations
@@ -124,14 +123,23 @@ def goals_fact(stg_goals: DataFrame, dim_store: DataFrame, dim_date: DataFrame)
         F.col("goal_value").try_cast("decimal(15,2)").alias("goal_value"))
 
 
-def returns_fact(stg_returns: DataFrame, dim_product: DataFrame, fact_sales: DataFrame) -> DataFrame:
+def returns_fact(stg_returns: DataFrame, dim_product: DataFrame, fact_sales: DataFrame,
+                 dedup: str = "all") -> DataFrame:
     """FA5: valid returns; product version as of the original sale date,
     then matched to the sales fact on (sale id, product key) for store,
     customer, sale date and the real unit price.  A product sold on two lines
-    of one sale matches both (kept, as in the source system)."""
+    of one sale matches both (``dedup='all'``, as in the source system);
+    ``dedup='first'`` matches only the sale's first line of that product."""
     r = valid(stg_returns).withColumn("__d", parse_date("return_date"))
     r = as_of_join(r, dim_product, "product_id", "product_id", "sale_date",
                    {"product_key": "product_key"})
+    if dedup == "first":
+        from tallyhouse.operators.aggregate import dedup_first
+        fact_sales = dedup_first(fact_sales.select("sale_id", "product_key", "sale_line_id", "date_key",
+                                                   "store_key", "customer_key", "unit_price"),
+                                 ["sale_id", "product_key"], ["sale_line_id"])
+    elif dedup != "all":
+        raise ValueError(f"dedup must be 'all' or 'first', not {dedup!r}")
     fs = fact_sales.select(F.col("sale_id").alias("__sid"), F.col("product_key").alias("__pk"),
                            F.col("date_key").alias("sale_date_key"), "store_key", "customer_key",
                            F.col("unit_price").alias("__price"))

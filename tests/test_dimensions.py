@@ -117,3 +117,10 @@ def test_as_of_boundaries(spark):
     assert {r["e"]: r["sk"] for r in out.collect()} == {1: 1, 2: 1, 4: 2, 5: 2}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_upsert_mode_updates_in_place(spark):
+    dim = insert_new(None, spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string"), "id", "sk")
+    out = insert_new(dim, spark.createDataFrame([(2, "B"), (3, "c")], "id int, name string"), "id", "sk",
+                     mode="upsert")
+    assert sorted(map(tuple, out.select("sk", "id", "name").collect())) == [(1, 1, "a"), (2, 2, "B"), (3, 3, "c")]

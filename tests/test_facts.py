@@ -100,3 +100,16 @@ def test_sales_fact_promotion_default(spark):
            for r in f.collect()}
     # NULL and unknown campaign -> -1; cost from the product version valid on the sale date
     assert got == {1: (-1, 2, "6.00"), 2: (-1, 2, "3.00"), 3: (51, 1, "2.00")}
+
+
+def test_returns_first_line_option(spark):
+    fs = spark.createDataFrame([
+        (20240105, 1, 3, 11, 900, 1, 2, Dec("5.00"), Dec("10.00"), Dec("2.00"), Dec("8.00")),
+        (20240105, 1, 3, 11, 900, 2, 1, Dec("6.00"), Dec("6.00"), Dec("1.00"), Dec("5.00")),
+    ], SALES_F)
+    ret = spark.createDataFrame([(1, "2024-01-09", 900, 8, 1, "r", "Cliente", D(2024, 1, 5), C.VALID)],
+                                "return_id long, return_date string, sale_id long, product_id long, "
+                                "quantity int, reason string, return_type string, sale_date date, "
+                                "stg_status string")
+    r = facts.returns_fact(ret, _dim_product(spark), fs, dedup="first").collect()
+    assert [str(x["amount"]) for x in r] == ["5.00"]
