@@ -72,3 +72,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def session_key(spark: SparkSession) -> tuple:
     """Identity of a live session (a stopped and recreated session differs)."""
     return (id(spark), spark.sparkContext.applicationId)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 1000 * 4) -> dict:
+    """Settings for a large cluster, sized from the bytes the biggest job reads.
+
+    Shuffle partitions start at roughly 200 MB of input each (at least two
+    waves of the cluster's cores) and AQE coalesces them at run time to
+    ``advisoryPartitionSizeInBytes``, so every task's share fits executor
+    memory without spilling; skewed partitions above 5x the median (and
+    256 MB) are split.  Scan splits are 512 MB of Parquet.  At 100 TB this
+    gives ~500 000 initial shuffle partitions coalesced to ~256 MB each.
+    """
+    partitions = max(2 * executor_cores, input_bytes // (200 * 1024 * 1024))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
