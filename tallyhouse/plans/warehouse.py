@@ -57,6 +57,20 @@ class Warehouse:
         self.run_date = run_date
         self.loaded_at = loaded_at
 
+    TABLES = ["stg_sales", "stg_products", "stg_customers", "stg_inventory", "stg_returns",
+              "stg_purchases", "stg_goals", "stg_adjustments", "dim_date", "dim_geography",
+              "dim_promotion", "dim_channel", "dim_supplier", "dim_store", "dim_salesperson",
+              "dim_customer", "dim_product", "fact_sales", "fact_inventory", "fact_goals",
+              "fact_returns", "fact_purchases", "fact_profitability"]
+
+    def register_views(self, names: list[str] | None = None) -> list[str]:
+        """Expose warehouse tables as temporary views for ``spark.sql``
+        (tables are built lazily, on first use by a query)."""
+        names = names or self.TABLES
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(n)
+        return names
+
     # --- staging (extract + validate) ---------------------------------------------
     @table
     def stg_sales(self) -> DataFrame:

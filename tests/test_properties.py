@@ -66,3 +66,15 @@ def test_scd2_one_current_version_and_disjoint_intervals(w):
 def test_as_of_never_multiplies_rows(w):
     completed = valid(w.stg_sales).where(F.col("sale_state") == C.COMPLETED).count()
     assert w.fact_sales.count() <= completed
+
+
+def test_sql_over_registered_views(spark, w):
+    w.register_views(["fact_sales", "fact_profitability", "stg_sales"])
+    got = spark.sql("""
+        SELECT 'fact_sales' AS table_name, COUNT(*) AS total FROM fact_sales
+        UNION ALL SELECT 'fact_profitability', COUNT(*) FROM fact_profitability""").collect()
+    assert {r["table_name"]: r["total"] for r in got} == {
+        "fact_sales": w.fact_sales.count(), "fact_profitability": w.fact_profitability.count()}
+    rej = spark.sql("SELECT stg_message, COUNT(*) AS n FROM stg_sales WHERE stg_status = 'REJECTED' "
+                    "GROUP BY stg_message ORDER BY n DESC").collect()
+    assert sum(r["n"] for r in rej) == w.stg_sales.where("stg_status = 'REJECTED'").count()
