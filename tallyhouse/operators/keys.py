@@ -65,11 +65,15 @@ def max_key(df: DataFrame, key_col: str, default: int = 0) -> int:
     return int(row["m"]) if row and row["m"] is not None else default
 
 
-def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
-    it back: the plan runs once, lineage is cut, and later plans get real
-    size statistics (so the optimiser can broadcast a small table)."""
+def pin(df: DataFrame, name: str = "pinned", folder: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder (or in
+    ``folder``) and read it back: the plan runs once, lineage is cut, and
+    later plans get real size statistics (so the optimiser can broadcast a
+    small table)."""
+    import uuid
+
     from tallyhouse.session import scratch_path
-    path = scratch_path(df.sparkSession, name)
+    path = (f"{folder}/{name}-{uuid.uuid4().hex[:8]}" if folder
+            else scratch_path(df.sparkSession, name))
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)

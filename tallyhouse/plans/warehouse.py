@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.keys import pin
-from tallyhouse.session import session_key
+from tallyhouse.session import scratch_path, session_key
 from tallyhouse.plans import dims, extracts, facts, validate
 from tallyhouse.plans.standin import (
     CALENDAR_END, CALENDAR_START, GOAL_CATEGORY_MAP, RUN_DATE, RUN_TS, SCD_BASE_DATE,
@@ -30,7 +30,7 @@ def table(fn):
     shared checkpoint folder and read back), so later steps read a table
     instead of re-running its plan."""
     def build(self):
-        return pin(fn(self), fn.__name__)
+        return pin(fn(self), fn.__name__, self.folder)
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__
     return cached_property(build)
@@ -53,6 +53,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE,
                  loaded_at: str = RUN_TS):
         self.spark = spark
+        # all tables pinned by this warehouse live under one run folder in the
+        # shared checkpoint directory (remove it as a whole after the run)
+        self.folder = scratch_path(spark, "warehouse-run")
         self.src = Source(spark, sf_dir)
         self.run_date = run_date
         self.loaded_at = loaded_at
@@ -143,27 +146,27 @@ class Warehouse:
     @cached_property
     def dim_geography(self) -> DataFrame:
         s = self.src
-        return pin(dims.geography(s.customers(), s.stores(), s.suppliers()))
+        return pin(dims.geography(s.customers(), s.stores(), s.suppliers()), folder=self.folder)
 
     @cached_property
     def dim_promotion(self) -> DataFrame:
-        return pin(dims.promotion(self.src.campaigns()))
+        return pin(dims.promotion(self.src.campaigns()), folder=self.folder)
 
     @cached_property
     def dim_channel(self) -> DataFrame:
-        return pin(dims.channel(self.src.channels()))
+        return pin(dims.channel(self.src.channels()), folder=self.folder)
 
     @cached_property
     def dim_supplier(self) -> DataFrame:
-        return pin(dims.supplier(self.src.suppliers(), self.dim_geography))
+        return pin(dims.supplier(self.src.suppliers(), self.dim_geography), folder=self.folder)
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return pin(dims.store(self.src.stores(), self.dim_geography))
+        return pin(dims.store(self.src.stores(), self.dim_geography), folder=self.folder)
 
     @cached_property
     def dim_salesperson(self) -> DataFrame:
-        return pin(dims.salesperson(self.src.salespeople(), self.dim_store))
+        return pin(dims.salesperson(self.src.salespeople(), self.dim_store), folder=self.folder)
 
     @cached_property
     def dim_customer_v1(self) -> DataFrame:
