@@ -356,11 +356,12 @@ SAMPLE_N = 2500
 @query("sample_top_n")
 def sample_top_n(spark, sf_dir):
     """A reproducible sample of N sales: order by a fixed arithmetic hash of
-    the key (identical in any engine) and keep the first N."""
-    from tallyhouse.operators.aggregate import top_n
+    the key (identical in any engine, values 0..10006) and keep the first N,
+    through the key histogram so no task merges more than ~N rows."""
+    from tallyhouse.operators.aggregate import top_n_bounded_key
     s = _w(spark, sf_dir).src.sales().select(
         "sale_id", "sale_date", (F.col("sale_id") * 7919 % 10007).alias("sample_key"))
-    return top_n(s, SAMPLE_N, ["sample_key", "sale_id"])
+    return top_n_bounded_key(s, SAMPLE_N, "sample_key", ["sale_id"], 10007)
 
 
 @query("first_per_key")

@@ -61,3 +61,12 @@ def test_dates_do_not_depend_on_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after == [(20240309, 172800), (20241102, 172800)]
     assert cal == 10
+
+
+def test_top_n_bounded_key_matches_plain_top_n(spark):
+    from tallyhouse.operators.aggregate import top_n, top_n_bounded_key
+    df = spark.range(20000).select(F.col("id"), (F.col("id") * 7919 % 101).alias("k"))
+    for n in (1, 57, 199, 20000, 30000):
+        a = [tuple(r) for r in top_n_bounded_key(df, n, "k", ["id"], 101).collect()]
+        b = [tuple(r) for r in top_n(df, n, ["k", "id"]).collect()]
+        assert sorted(a) == sorted(b)
