@@ -302,18 +302,41 @@ LEFT JOIN (SELECT DISTINCT sale_id, product_id FROM src_sale_lines) hp
   ON r.sale_id = hp.sale_id AND r.product_id = hp.product_id) a) b) x""",
                                        "src_returns", "src_sales", "src_sale_lines")
 
-# --- pipeline log: one row per step with the rows it wrote -------------------------
+# --- pipeline log: one row per step with the rows it wrote, read, loaded, rejected ---
 from tallyhouse.plans.pipeline import STEPS  # noqa: E402
 
 _COUNT_SRC = {"fact_inventory": "(SELECT * FROM fact_inventory_base UNION ALL SELECT * FROM fact_inventory_orphans)",
               "quality_summary": "(SELECT DISTINCT table_name FROM (" + _TAGGED + ") t)"}
+_READ_SRC = {"fact_sales": f"(SELECT COUNT(*) FROM stg_sales WHERE stg_status = {_VALID})",
+             "fact_inventory": f"((SELECT COUNT(*) FROM stg_inventory WHERE stg_status = {_VALID}) + "
+                               f"(SELECT COUNT(*) FROM stg_adjustments WHERE stg_status = {_VALID}))",
+             "fact_goals": f"(SELECT COUNT(*) FROM stg_goals WHERE stg_status = {_VALID})",
+             "fact_returns": f"(SELECT COUNT(*) FROM stg_returns WHERE stg_status = {_VALID})",
+             "fact_purchases": f"(SELECT COUNT(*) FROM stg_purchases WHERE stg_status = {_VALID})",
+             "fact_profitability": "(SELECT COUNT(*) FROM fact_sales)"}
+
+
+def _log_row(i: int, step) -> str:
+    src = _COUNT_SRC.get(step.name, step.name)
+    head = f"SELECT {i} AS log_id, {q(step.name)} AS step, {q(step.phase)} AS phase, {q(C.SUCCEEDED)} AS status, "
+    tail = "CAST(NULL AS VARCHAR) AS message"
+    if step.name.startswith("stg_"):
+        return (head + "CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS rows_read, "
+                f"CAST(COUNT(*) FILTER (WHERE stg_status = {_VALID}) AS BIGINT) AS rows_loaded, "
+                f"CAST(COUNT(*) FILTER (WHERE stg_status = {_REJ}) AS BIGINT) AS rows_rejected, {tail} FROM {src} x")
+    if step.name in _READ_SRC:
+        rd = _READ_SRC[step.name]
+        return (head + "CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(" + rd + " AS BIGINT) AS rows_read, "
+                "CAST(COUNT(*) AS BIGINT) AS rows_loaded, CAST(" + rd + " - COUNT(*) AS BIGINT) AS rows_rejected, "
+                f"{tail} FROM {src} x")
+    return (head + "CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS rows_read, "
+            f"CAST(COUNT(*) AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, {tail} FROM {src} x")
+
+
 _needs = [s.name for s in STEPS if s.name not in _COUNT_SRC] + ["fact_inventory_base",
                                                                   "fact_inventory_orphans", *STG]
-ORACLE["pipeline_log"] = sql(" UNION ALL ".join(
-    f"SELECT {i} AS log_id, {q(s.name)} AS step, {q(s.phase)} AS phase, {q(C.SUCCEEDED)} AS status, "
-    f"CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(NULL AS VARCHAR) AS message "
-    f"FROM {_COUNT_SRC.get(s.name, s.name)} x"
-    for i, s in enumerate(STEPS, start=1)), *_needs)
+ORACLE["pipeline_log"] = sql(" UNION ALL ".join(_log_row(i, s) for i, s in enumerate(STEPS, start=1)),
+                             *_needs)
 
 # --- opt-in rules X2-X5, X7 ------------------------------------------------------------
 from tallyhouse.plans import standin as _S  # noqa: E402

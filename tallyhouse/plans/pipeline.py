@@ -4,7 +4,9 @@ Five phases in dependency order - extract+validate, dimensions, facts,
 derived facts, report - each step builds one table and writes it as a new
 version (``sources.sinks.overwrite``: readers keep the old version until the
 new one is committed).  Row counts come from ``DataFrame.observe`` on the
-write itself, so logging costs no extra scan.  The run stops at the first
+write itself (staging: rows read, valid = loaded, rejected), so logging costs
+no extra scan; a fact step also counts its valid staging input, and
+rejected = read - loaded is the load reconciliation.  The run stops at the first
 failing step; the log names it and its phase.  ``run_step`` rebuilds a single
 table.  Scheduling, retries and parallel step control are left to whatever
 runs the job (the dependency order here is the data dependency).
@@ -20,11 +22,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
+from tallyhouse.operators.rules import STATUS, valid
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources.sinks import append_log, overwrite
 
 LOG_SCHEMA = ("log_id int, step string, phase string, started_at timestamp, finished_at timestamp, "
-              "status string, rows_written long, message string")
+              "status string, rows_written long, rows_read long, rows_loaded long, rows_rejected long, "
+              "message string")
 
 
 MONTH_SPREAD = 8
@@ -44,6 +48,9 @@ class Step:
     # facts are written partitioned by month of date_key (partition pruning
     # for date-range reads, files grouped by month)
     by_month: bool = False
+    # input whose row count is "rows read" (facts: their valid staging rows);
+    # rejected = read - loaded, the load reconciliation
+    reads: Callable[[Warehouse], DataFrame] | None = None
 
 
 def _date_fk(w: Warehouse, df: DataFrame) -> DataFrame:
@@ -80,12 +87,19 @@ STEPS: list[Step] = [
     Step("dim_salesperson", "2-dimensions", lambda w: w.dim_salesperson),
     Step("dim_customer", "2-dimensions", lambda w: w.dim_customer),
     Step("dim_product", "2-dimensions", lambda w: w.dim_product),
-    Step("fact_sales", "3-facts", lambda w: w.fact_sales, _date_fk, True),
-    Step("fact_inventory", "3-facts", lambda w: w.fact_inventory, _date_fk, True),
-    Step("fact_goals", "3-facts", lambda w: w.fact_goals, _date_fk, True),
-    Step("fact_returns", "3-facts", lambda w: w.fact_returns, _date_fk, True),
-    Step("fact_purchases", "3-facts", lambda w: w.fact_purchases, _date_fk, True),
-    Step("fact_profitability", "4-derived", lambda w: w.fact_profitability, _date_fk, True),
+    Step("fact_sales", "3-facts", lambda w: w.fact_sales, _date_fk, True,
+         lambda w: valid(w.stg_sales)),
+    Step("fact_inventory", "3-facts", lambda w: w.fact_inventory, _date_fk, True,
+         lambda w: valid(w.stg_inventory).select(F.lit(1).alias("x"))
+         .unionByName(valid(w.stg_adjustments).select(F.lit(1).alias("x")))),
+    Step("fact_goals", "3-facts", lambda w: w.fact_goals, _date_fk, True,
+         lambda w: valid(w.stg_goals)),
+    Step("fact_returns", "3-facts", lambda w: w.fact_returns, _date_fk, True,
+         lambda w: valid(w.stg_returns)),
+    Step("fact_purchases", "3-facts", lambda w: w.fact_purchases, _date_fk, True,
+         lambda w: valid(w.stg_purchases)),
+    Step("fact_profitability", "4-derived", lambda w: w.fact_profitability, _date_fk, True,
+         lambda w: w.fact_sales),
     Step("quality_summary", "5-report", lambda w: _report(w)),
 ]
 
@@ -97,14 +111,20 @@ def _report(w: Warehouse) -> DataFrame:
                              "stg_returns", "stg_purchases", "stg_goals", "stg_adjustments"]})
 
 
-def _write_step(w: Warehouse, step: Step, out_base: str) -> int:
+def _write_step(w: Warehouse, step: Step, out_base: str) -> tuple[int, int, int, int]:
+    """Write one step; returns (written, read, loaded, rejected)."""
     df = step.build(w)
     if step.check is not None:
         bad = step.check(w, df).limit(1).count()
         if bad:
             raise StepFailed(f"{step.name}: pre-commit check failed; previous version kept")
     obs = Observation(f"obs_{step.name}")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    staged = STATUS in df.columns
+    if staged:   # staging: the rule outcome is counted in the same pass as the write
+        metrics += [F.count_if(F.col(STATUS) == C.VALID).alias("valid"),
+                    F.count_if(F.col(STATUS) == C.REJECTED).alias("rejected")]
+    df = df.observe(obs, *metrics)
     if step.by_month:
         df = df.withColumn("month_key", (F.col("date_key") / 100).cast("int"))
         # one shuffle so each month's rows land in few files; a deterministic
@@ -114,7 +134,14 @@ def _write_step(w: Warehouse, step: Step, out_base: str) -> int:
         overwrite(df, f"{out_base}/{step.name}", partition_by=["month_key"])
     else:
         overwrite(df, f"{out_base}/{step.name}")
-    return int(obs.get["rows"])
+    m = obs.get
+    rows = int(m["rows"])
+    if staged:
+        return rows, rows, int(m["valid"]), int(m["rejected"])
+    if step.reads is not None:
+        read = step.reads(w).count()
+        return rows, read, rows, read - rows
+    return rows, rows, rows, 0
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[Step] | None = None,
@@ -126,11 +153,13 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[St
     for i, step in enumerate(steps or STEPS, start=1):
         t0 = dt.datetime.now()
         try:
-            rows = _write_step(w, step, out_base)
-            log.append((i, step.name, step.phase, t0, dt.datetime.now(), C.SUCCEEDED, rows, None))
+            written, read, loaded, rejected = _write_step(w, step, out_base)
+            log.append((i, step.name, step.phase, t0, dt.datetime.now(), C.SUCCEEDED, written, read,
+                        loaded, rejected, None))
         except Exception as exc:  # stop at the first failure, name the phase
             msg = f"phase {step.phase}, step {step.name}: {str(exc).splitlines()[0][:500]}"
-            log.append((i, step.name, step.phase, t0, dt.datetime.now(), C.FAILED, None, msg))
+            log.append((i, step.name, step.phase, t0, dt.datetime.now(), C.FAILED, None, None, None,
+                        None, msg))
             break
     log_df = spark.createDataFrame(log, LOG_SCHEMA)
     append_log(log_df, f"{out_base}/_log")

@@ -609,7 +609,8 @@ def pipeline_log(spark, sf_dir):
     base = scratch_path(spark, "warehouse")
     run_pipeline(spark, sf_dir, base, warehouse=_w(spark, sf_dir))
     return latest_first(spark.read.parquet(f"{base}/_log").select(
-        "log_id", "step", "phase", "status", "rows_written", "message"))
+        "log_id", "step", "phase", "status", "rows_written", "rows_read", "rows_loaded",
+        "rows_rejected", "message"))
 
 
 @query("optional_rules_products")
