@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -173,3 +174,26 @@ def window_hashes(words: np.ndarray, first_word: np.ndarray, size: int
         ok &= np.arange(n) + size <= row_end
     at = np.flatnonzero(ok)
     return hashes[at], at
+
+
+# ------------------------------------------------------- compact binary columns
+def pack(values: np.ndarray, differences: bool = False) -> bytes:
+    """64-bit integers as compressed bytes: like bytes side by side, so that
+    the high ones, which hardly change, take no room.  ``differences`` first
+    subtracts each value's predecessor (for sorted values)."""
+    values = np.ascontiguousarray(values).view(np.uint64)
+    if differences and len(values):
+        with np.errstate(over="ignore"):
+            values = np.diff(values, prepend=np.uint64(0))
+    lanes = values.view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(lanes.tobytes())
+
+
+def unpack(data: bytes, differences: bool = False) -> np.ndarray:
+    """The unsigned values that ``pack`` was given."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    values = np.ascontiguousarray(raw.reshape(8, -1).T).view(np.uint64).ravel()
+    if differences and len(values):
+        with np.errstate(over="ignore"):
+            values = np.cumsum(values, dtype=np.uint64)
+    return values

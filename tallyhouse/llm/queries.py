@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.substring_dedup import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.quality_rules import clean_lines
     return clean_lines(_table(spark, sf_dir, "documents")).select(
@@ -16,4 +23,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op8_quality_rules)}
