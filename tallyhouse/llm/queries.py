@@ -10,6 +10,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.decontaminate import contamination
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.substring_dedup import remove_repeats
     return remove_repeats(_table(spark, sf_dir, "documents")).select(
@@ -23,4 +30,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op8_quality_rules)}
