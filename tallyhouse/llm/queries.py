@@ -30,4 +30,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op8_quality_rules)}
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.near_dup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op8_quality_rules, op10_near_dup)}
