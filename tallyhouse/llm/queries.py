@@ -23,6 +23,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tallyhouse.llm.packing import pack_documents
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.quality_rules import clean_lines
     return clean_lines(_table(spark, sf_dir, "documents")).select(
@@ -36,4 +43,4 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op8_quality_rules, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op8_quality_rules, op10_near_dup)}
