@@ -30,6 +30,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.pii import KINDS, count_of, find_personal_data, spans_text
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    counts = [count_of("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(F.col("spans")).alias("spans"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.quality_rules import clean_lines
     return clean_lines(_table(spark, sf_dir, "documents")).select(
@@ -43,4 +51,4 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op8_quality_rules, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op7_personal_data, op8_quality_rules, op10_near_dup)}
