@@ -45,10 +45,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.secrets import scan_secrets
+    spans = F.array_join(F.transform("secrets", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return scan_secrets(_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("found").cast("long").alias("n_candidates"),
+        F.size("secrets").cast("long").alias("n_secrets"), spans.alias("spans"),
+        F.sha2("redacted_text", 256).alias("redacted_sha256"))
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.near_dup import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op7_personal_data, op8_quality_rules, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
