@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -197,3 +198,24 @@ def unpack(data: bytes, differences: bool = False) -> np.ndarray:
         with np.errstate(over="ignore"):
             values = np.cumsum(values, dtype=np.uint64)
     return values
+
+
+# ------------------------------------------------------------------ small trees
+def read_trees(described: str, names: list[str]) -> list:
+    """The trees of a fitted Spark ML tree model, from its description, as
+    nested [feature, threshold, left, right] with predictions as leaves."""
+    def node(lines: Iterator[str]) -> list | float:
+        line = next(lines)
+        if line.startswith("Predict"):
+            return float(line.split()[-1])
+        feature, threshold = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+        left = node(lines)
+        next(lines)  # the line of the other branch
+        return [names[int(feature)], float(threshold), left, node(lines)]
+
+    grown = []
+    lines = [x.strip() for x in described.splitlines() if x.strip()]
+    starts = [i for i, x in enumerate(lines) if x.startswith(("Tree ", "DecisionTree"))] or [0]
+    for a, b in zip(starts, [*starts[1:], len(lines)]):
+        grown.append(node(iter(lines[a + 1:b])))
+    return grown

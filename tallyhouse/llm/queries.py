@@ -30,6 +30,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.html_text import extract_text
+    return extract_text(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.pii import KINDS, count_of, find_personal_data, spans_text
     found = find_personal_data(_table(spark, sf_dir, "documents"))
@@ -61,4 +67,4 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}

@@ -19,7 +19,6 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 from operator import add
 
@@ -28,7 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import id_and_text, let
+from tallyhouse.llm.common import id_and_text, let, read_trees
 from tallyhouse.llm.pii import matches
 
 TOKEN = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+"
@@ -139,21 +138,7 @@ def train(findings: DataFrame, trees: int = 25, depth: int = 6, seed: int = 11)
     rows = findings.select("label", *[v.alias(k) for k, v in inputs.items()])
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt")
     model = forest.fit(VectorAssembler(inputCols=list(inputs), outputCol="features").transform(rows))
-    names, grown = list(inputs), []
-    for text in re.split(r"\n\s*Tree \d+ .*\n", model.toDebugString)[1:]:
-        lines = iter([x.strip() for x in text.splitlines() if x.strip()])
-
-        def node() -> list | float:
-            line = next(lines)
-            if line.startswith("Predict"):
-                return float(line.split()[-1])
-            feature, threshold = re.match(r"If \(feature (\d+) <= (\S+)\)", line).groups()
-            left = node()
-            next(lines)  # Else
-            return [names[int(feature)], float(threshold), left, node()]
-
-        grown.append(node())
-    return grown
+    return read_trees(model.toDebugString, list(inputs))
 
 
 def votes(trees: list[list], inputs: Column) -> Column:
