@@ -38,6 +38,8 @@ LABELLED = (
     (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0, 0),
     (2, 1.0, 1, 1.0, 9, 0.0, 1, 0, 0, 0, 0), (9, 0.0, 2, 1.0, 12, 0.0, 1, 0, 0, 1, 0),
     (14, 0.0, 80, 0.0, 0, 0.0, 1, 0, 0, 1, 0), (40, 0.1, 60, 0.0, 0, 0.0, 1, 0, 0, 1, 0),
+    (3, 0.0, 70, 0.0, 60, 0.0, 1, 0, 0, 1, 0), (30, 0.0, 60, 0.0, 0, 0.0, 1, 0, 0, 0, 0),
+    (12, 0.0, 40, 0.0, 30, 0.0, 1, 0, 0, 1, 0), (80, 0.0, 70, 0.0, 40, 0.1, 1, 0, 0, 1, 0),
     (25, 0.0, 1, 1.0, 70, 0.0, 1, 0, 0, 1, 0), (60, 0.0, 30, 0.0, 20, 0.0, 1, 0, 0, 1, 0),
     (35, 0.0, 50, 0.0, 35, 0.0, 1, 1, 0, 1, 0), (6, 0.0, 90, 0.0, 80, 0.0, 1, 1, 0, 1, 0),
     (4, 0.0, 1, 1.0, 30, 0.0, 1, 0, 1, 0, 0), (3, 0.0, 60, 0.0, 20, 0.0, 1, 1, 1, 0, 0),
@@ -58,9 +60,17 @@ LABELLED = (
     (2, 0.0, 60, 0.0, 50, 0.0, 0, 1, 0, 1, 1), (1, 0.0, 40, 0.0, 30, 0.0, 0, 1, 0, 1, 1),
     (5, 0.0, 60, 0.0, 12, 0.0, 0, 1, 0, 1, 1), (30, 0.3, 60, 0.0, 50, 0.1, 0, 1, 0, 1, 1),
     (11, 0.0, 20, 0.0, 70, 0.0, 0, 1, 1, 0, 1), (4, 0.0, 60, 0.0, 80, 0.0, 0, 1, 1, 0, 1),
+    (60, 0.0, 0, 0.0, 50, 0.0, 0, 1, 0, 1, 1), (12, 0.0, 0, 0.0, 60, 0.0, 0, 1, 1, 0, 1),
+    (7, 0.0, 0, 0.0, 9, 0.0, 0, 1, 0, 0, 1), (40, 0.0, 0, 0.0, 2, 1.0, 0, 1, 0, 1, 1),
+    (50, 0.0, 60, 0.0, 40, 0.0, 0, 1, 0, 0, 1), (20, 0.0, 30, 0.0, 2, 0.0, 0, 1, 0, 0, 1),
+    (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 0, 1), (3, 0.0, 30, 0.0, 0, 0.0, 0, 1, 0, 0, 1),
+    (1, 0.0, 60, 0.0, 60, 0.0, 0, 1, 0, 0, 1), (9, 0.1, 40, 0.0, 20, 0.2, 0, 1, 0, 0, 1),
     (3, 0.0, 5, 0.0, 14, 0.0, 0, 1, 0, 0, 1), (7, 0.0, 90, 0.0, 10, 0.0, 0, 1, 0, 0, 1),
     (1, 0.0, 1, 1.0, 0, 0.0, 0, 1, 0, 1, 1), (12, 0.0, 2, 1.0, 60, 0.0, 0, 1, 1, 1, 1),
     # main text without an element that names it
+    (30, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1, 1), (60, 0.0, 0, 0.0, 50, 0.0, 0, 0, 0, 1, 1),
+    (8, 0.0, 0, 0.0, 50, 0.0, 0, 0, 1, 0, 1), (6, 0.0, 0, 0.0, 70, 0.0, 0, 0, 1, 0, 1),
+    (15, 0.0, 0, 0.0, 20, 0.0, 0, 0, 0, 1, 1), (22, 0.1, 0, 0.0, 5, 0.0, 0, 0, 0, 1, 1),
     (90, 0.0, 1, 1.0, 70, 0.0, 0, 0, 0, 1, 1), (45, 0.1, 60, 0.0, 80, 0.0, 0, 0, 0, 1, 1),
     (25, 0.0, 30, 0.0, 3, 1.0, 0, 0, 0, 1, 1), (14, 0.0, 70, 0.0, 60, 0.0, 0, 0, 0, 1, 1),
     (8, 0.0, 50, 0.0, 40, 0.0, 0, 0, 0, 1, 1), (9, 0.0, 2, 1.0, 80, 0.0, 0, 0, 1, 0, 1),
