@@ -23,6 +23,15 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.common import remainder
+    from tallyhouse.llm.quality_model import score_quality
+    scored = score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
+                           learn=remainder("doc_id", 5) != 0)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,4 +76,4 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
