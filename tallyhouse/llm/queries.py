@@ -10,6 +10,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_context_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.common import remainder
+    from tallyhouse.llm.context_model import score_texts
+    scored = score_texts(_table(spark, sf_dir, "documents"), train=remainder("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "bits_per_byte")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyhouse.llm.decontaminate import contamination
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
@@ -76,4 +84,4 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
+QUERIES = {f.__name__: f for f in (op1_context_model, op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
