@@ -24,8 +24,9 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
 
 def top_n(df: DataFrame, n: int, order_by: Sequence) -> DataFrame:
-    """Global top-N: Spark plans TakeOrderedAndProject (per-task top-N then merge)."""
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    """Global top-N: Spark plans TakeOrderedAndProject (per-task top-N then
+    merge).  Names sort ascending with NULL last; pass a column for another order."""
+    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
     return df.orderBy(*order).limit(n)
 
 
@@ -35,31 +36,3 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 
 def union_distinct(dfs: Sequence[DataFrame]) -> DataFrame:
     return union_all(dfs).distinct()
-
-
-def top_n_bounded_key(df: DataFrame, n: int, key: str, tiebreak: Sequence[str],
-                      max_key_values: int) -> DataFrame:
-    """Exact top-N (ascending ``key``, then ``tiebreak``) when ``key`` takes at
-    most ``max_key_values`` distinct values.
-
-    A plain ``orderBy().limit(n)`` keeps n rows per task and merges them in
-    one task - up to n x (number of tasks) rows at scale.  Here a histogram of
-    the key (a partial aggregate; at most ``max_key_values`` rows reach the
-    driver) gives the smallest cutoff whose cumulative count reaches n; a
-    narrow filter keeps only keys up to it, so the final ordered limit sees
-    about n rows plus the cutoff key's rows.  ``key`` must be non-NULL.
-    """
-    hist = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(key).limit(max_key_values + 1)
-    rows = hist.collect()
-    if len(rows) > max_key_values:
-        raise ValueError(f"{key} has more than {max_key_values} distinct values")
-    total, cutoff = 0, None
-    for r in rows:
-        total += r["n"]
-        cutoff = r[key]
-        if total >= n:
-            break
-    if cutoff is None:
-        return df.limit(0)
-    kept = df.where(F.col(key) <= F.lit(cutoff))
-    return kept.orderBy(F.col(key), *[F.col(c) for c in tiebreak]).limit(n)

@@ -1,33 +1,27 @@
-"""Dense surrogate keys without an unbounded single-task global window.
+"""Dense surrogate keys without a single-task global window.
 
-The rows to number are counted first; the count decides the path:
-
-* at most ``SMALL_ROWS`` rows (a checked bound): ``row_number()`` over the
-  global order in one task.  A total order makes this deterministic, so a
-  recomputation gives the same keys;
-* more: range-partition on the order, sort inside each partition and pin
-  that layout with a reliable checkpoint in the shared
-  ``spark.checkpoint.dir`` (range bounds come from sampling and must not be
-  recomputed), then ``start + offset(partition) + position``, where the
-  offsets are the running sum of per-partition counts - one small row per
-  partition, broadcast to the tasks.
+The rows are range-partitioned on the order, sorted inside each partition and
+pinned with a reliable checkpoint in the shared ``spark.checkpoint.dir``
+(range bounds come from sampling and must not be recomputed).  A key is then
+``start + offset(partition) + position``, where the offsets are the running
+sum of per-partition counts - one small row per partition.  The same path is
+taken whatever the number of rows.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.session import ensure_checkpoint_dir
 
-SMALL_ROWS = 2_000_000
 _ROW_BITS = 33  # monotonically_increasing_id = partition << 33 | row
 
 
 def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence, start: int = 1,
-                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... following ``order_cols``.
 
     ``order_cols`` should be a total order for a reproducible numbering.
@@ -35,10 +29,6 @@ def assign_keys(df: DataFrame, key_col: str, order_cols: Sequence, start: int =
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n_rows = df.count()
-    if n_rows <= small_rows:
-        w = Window.orderBy(*order)
-        return df.withColumn(key_col, (F.lit(start - 1) + F.row_number().over(w)).cast("long"))
     n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)

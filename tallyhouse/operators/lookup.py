@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys, max_key
-from tallyhouse.operators.sizing import bounded_broadcast
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], take: Mapping[str, str],
@@ -17,12 +16,11 @@ def lookup(df: DataFrame, dim: DataFrame, on: tuple[str, str], take: Mapping[str
 
     ``how='inner'`` drops misses; ``how='left'`` with ``default`` maps both
     a NULL id and an unknown id to ``default`` (e.g. -1).
-    The dimension is reduced to the needed columns and broadcast when its
-    row count is checked to be small; otherwise a shuffle join.
+    The dimension is reduced to the needed columns; whether it is broadcast
+    is left to the optimiser and AQE, which know its measured size.
     """
     left, right = on
     d = dim.select(F.col(right).alias("__lk"), *[F.col(c).alias(f"__l_{c}") for c in take])
-    d = bounded_broadcast(dim, d)
     out = df.join(d, df[left] == d["__lk"], how)
     taken = []
     for c, name in take.items():
@@ -38,11 +36,12 @@ def resolve(df: DataFrame, ref: DataFrame, on: tuple, ref_value: str, out_col: s
     """UPDATE ... FROM join: left join, ``out_col`` NULL when unresolved.
 
     ``on`` = (left expression or column, reference column).  The reference
-    is reduced to distinct (key, value) pairs first.
+    is reduced to one row per key first (the smallest value), so staging rows
+    are never multiplied.
     """
     left, right = on
     left_col = F.col(left) if isinstance(left, str) else left
-    r = ref.select(F.col(right).alias("__rk"), F.col(ref_value).alias("__rv")).distinct()
+    r = ref.groupBy(F.col(right).alias("__rk")).agg(F.min(ref_value).alias("__rv"))
     return (df.join(r, left_col == r["__rk"], "left")
             .select(*[F.col(c) for c in df.columns if c != out_col], F.col("__rv").alias(out_col)))
 

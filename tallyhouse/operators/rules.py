@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
+from tallyhouse.operators.keys import pin
 
 MSG = "stg_message"
 STATUS = "stg_status"
@@ -35,8 +36,9 @@ class Rule:
 class Dedup:
     """Reject every pending row but the first per ``keys`` (by ``order_by``).
 
-    NULL keys group together.  ``order_by`` must be a total order so that
-    the survivor is deterministic.
+    NULL keys group together.  Rows that ``order_by`` leaves tied are ordered
+    by a hash of their content, and equal rows by a row number, so exactly one
+    row per key survives.
     """
     message: str
     keys: Sequence[str]
@@ -93,12 +95,18 @@ def _dedup(out: DataFrame, r: Dedup, i: int) -> DataFrame:
     combined partially before the shuffle - and joined back on the key with
     NULL-safe equality (NULL keys group together).  Unlike a window, neither
     step puts a hot key (a third of all rows) into one task: the join's big
-    side is split by AQE's skew handling.  ``order_by`` must be a total order.
+    side is split by AQE's skew handling.
+
+    The rows are pinned once with a row number, which ends the order: both
+    sides read the same numbers, and the rules before run once.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in r.order_by] or \
         [F.col(k) for k in r.keys]
     okey = f"__ord{i}"
-    out = out.withColumn(okey, F.struct(*order))
+    row = f"__row{i}"
+    out = pin(out.withColumn(row, F.monotonically_increasing_id()), "staging")
+    content = F.xxhash64(*[F.col(c) for c in out.columns if c != row])
+    out = out.withColumn(okey, F.struct(*order, content, F.col(row)))
     firsts = (out.where(_pending())
               .groupBy(*[F.col(k).alias(f"__dk{i}_{j}") for j, k in enumerate(r.keys)])
               .agg(F.min(okey).alias(f"__first{i}")))
@@ -109,7 +117,7 @@ def _dedup(out: DataFrame, r: Dedup, i: int) -> DataFrame:
     joined = out.join(firsts, cond & _pending(), "left")
     dup = _pending() & ~F.col(okey).eqNullSafe(F.col(f"__first{i}"))
     cols = [F.when(dup, F.lit(r.message)).otherwise(F.col(_PENDING_MSG)).alias(_PENDING_MSG)
-            if c == _PENDING_MSG else F.col(c) for c in out.columns if c != okey]
+            if c == _PENDING_MSG else F.col(c) for c in out.columns if c not in (okey, row)]
     return joined.select(*cols)
 
 

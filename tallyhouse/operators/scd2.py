@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys, max_key, pin
-from tallyhouse.operators.sizing import bounded_broadcast
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -116,7 +115,7 @@ def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,
     ``(end IS NULL OR at <= end)``.  The optimiser plans an equi-join on the
     key with the interval as a residual filter (hash or sort-merge, never a
     nested loop); versions per key are disjoint, so at most one matches.
-    A dimension checked to be small is broadcast (no shuffle of the events);
+    The optimiser and AQE broadcast a small dimension (no shuffle of the events);
     a large one is shuffled on the key, and AQE splits a hot key's partition.
     ``take`` maps dimension columns to output names.
     """
@@ -124,7 +123,6 @@ def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,
     d = dim.select(F.col(right_key).alias("__dk"), F.col(start).alias("__ds"),
                    F.col(end).alias("__de"),
                    *[F.col(c).alias(f"__d_{c}") for c in take])
-    d = bounded_broadcast(dim, d)
     cond = ((df[left_key] == d["__dk"]) & (at_col >= d["__ds"]) &
             (d["__de"].isNull() | (at_col <= d["__de"])))
     out = df.join(d, cond, how)

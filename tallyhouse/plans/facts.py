@@ -1,8 +1,8 @@
 """Fact builds (FA1-FA7).
 
 Large inputs (sales lines, inventory days, purchases) join dimensions
-through ``lookup`` / ``as_of_join``, which broadcast a dimension only after a
-size check (``operators.sizing``) and otherwise plan a shuffle join.  SCD2
+through ``lookup`` / ``as_of_join``, where the optimiser and AQE choose between a broadcast and a
+shuffle join from measured sizes.  SCD2
 dimensions are joined as-of the event date: equality on the business key
 plus an interval residual; when such a dimension is large the events are
 shuffled on the key and AQE splits a hot key's partition.

@@ -9,6 +9,8 @@ ORACLE: dict[str, str] = {
                           "stg_status, stg_message FROM stg_sales", "stg_sales"),
     "validate_products_dedup": sql("SELECT product_id, code, category_name, sale_price, cost_price, "
                                    "stg_status, stg_message FROM stg_products", "stg_products"),
+    "dedup_tied_feed": """SELECT l_orderkey, l_returnflag, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_valid,
+min(l_linestatus) AS kept_status FROM lineitem GROUP BY l_orderkey, l_returnflag""",
     "validate_customers": sql("SELECT customer_id, doc_type, doc_number, city, region, segment, "
                               "stg_status, stg_message FROM stg_customers", "stg_customers"),
     "validate_inventory": sql("SELECT inventory_id, inv_date, product_id, store_id, opening, closing, balance, "

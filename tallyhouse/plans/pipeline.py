@@ -18,6 +18,7 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +32,6 @@ LOG_SCHEMA = ("log_id int, step string, phase string, started_at timestamp, fini
               "message string")
 
 
-MONTH_SPREAD = 8
-
-
 class StepFailed(RuntimeError):
     pass
 
@@ -127,10 +125,9 @@ def _write_step(w: Warehouse, step: Step, out_base: str) -> tuple[int, int, int,
     df = df.observe(obs, *metrics)
     if step.by_month:
         df = df.withColumn("month_key", (F.col("date_key") / 100).cast("int"))
-        # one shuffle so each month's rows land in few files; a deterministic
-        # hash salt spreads a hot month over up to MONTH_SPREAD tasks
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(MONTH_SPREAD))
-        df = df.repartition("month_key", salt)
+        # one shuffle so each month's rows land in few files; AQE splits the
+        # partitions of a hot month by their measured size
+        df = df.hint("rebalance", "month_key")
         overwrite(df, f"{out_base}/{step.name}", partition_by=["month_key"])
     else:
         overwrite(df, f"{out_base}/{step.name}")
@@ -150,7 +147,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[St
     ``{out_base}/_log``)."""
     w = warehouse or Warehouse(spark, sf_dir)
     log = []
-    for i, step in enumerate(steps or STEPS, start=1):
+    for i, step in enumerate(steps or STEPS, start=last_log_id(spark, out_base) + 1):
         t0 = dt.datetime.now()
         try:
             written, read, loaded, rejected = _write_step(w, step, out_base)
@@ -166,6 +163,17 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[St
     return log_df
 
 
+def last_log_id(spark: SparkSession, out_base: str) -> int:
+    """The highest log id of the runs so far, 0 before the first."""
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{out_base}/_log")
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+    return log.agg(F.max("log_id")).first()[0] or 0
+
+
 def run_step(spark: SparkSession, sf_dir: str, out_base: str, name: str) -> DataFrame:
     """Rebuild and rewrite a single table (its inputs are recomputed)."""
     step = next(s for s in STEPS if s.name == name)

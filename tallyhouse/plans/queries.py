@@ -43,6 +43,21 @@ def validate_products_dedup(spark, sf_dir):
         "product_id", "code", "category_name", "sale_price", "cost_price", *STG_OUT)
 
 
+@query("dedup_tied_feed")
+def dedup_tied_feed(spark, sf_dir):
+    """The duplicate rule over a feed without a key: order lines reduced to
+    order, flag and status, where most duplicates are equal rows.  One row per
+    order and flag survives."""
+    from tallyhouse import constants as C
+    from tallyhouse.operators.rules import Dedup, apply_rules
+    feed = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_returnflag", "l_linestatus")
+    out = apply_rules(feed, [Dedup("duplicate", ["l_orderkey", "l_returnflag"], ["l_linestatus"])])
+    kept = F.col("stg_status") == C.VALID
+    return out.groupBy("l_orderkey", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(kept).alias("n_valid"),
+        F.max(F.when(kept, F.col("l_linestatus"))).alias("kept_status"))
+
+
 @query("validate_customers")
 def validate_customers(spark, sf_dir):
     return _w(spark, sf_dir).stg_customers.select(
@@ -323,8 +338,6 @@ def campaign_on_date(spark, sf_dir):
     days = (w.src.campaigns()
             .select("campaign_id", F.explode(F.sequence("start_date", "end_date")).alias("day"))
             .groupBy("day").agg(F.min("campaign_id").alias("campaign_id")))
-    from tallyhouse.operators.sizing import bounded_broadcast
-    days = bounded_broadcast(days)
     s = w.src.sales().select("sale_id", "sale_date")
     return s.join(days, s.sale_date == days.day, "left").select(
         "sale_id", "sale_date", F.col("campaign_id").alias("active_campaign_id"))
@@ -343,11 +356,10 @@ def distinct_day_store_product(spark, sf_dir):
 
 @query("dense_keys")
 def dense_keys(spark, sf_dir):
-    """Dense keys over the distinct (day, store, product) triples with the
-    range-partitioned path (the one used at scale)."""
+    """Dense keys over the distinct (day, store, product) triples."""
     from tallyhouse.operators.keys import assign_keys
     return assign_keys(_day_store_product(_w(spark, sf_dir)), "movement_key",
-                       ["sale_date", "store_id", "product_id"], small_rows=0)
+                       ["sale_date", "store_id", "product_id"])
 
 
 SAMPLE_N = 2500
@@ -356,12 +368,12 @@ SAMPLE_N = 2500
 @query("sample_top_n")
 def sample_top_n(spark, sf_dir):
     """A reproducible sample of N sales: order by a fixed arithmetic hash of
-    the key (identical in any engine, values 0..10006) and keep the first N,
-    through the key histogram so no task merges more than ~N rows."""
-    from tallyhouse.operators.aggregate import top_n_bounded_key
+    the key (identical in any engine, values 0..10006) and keep the first N.
+    Each task keeps N rows at most before they are merged."""
+    from tallyhouse.operators.aggregate import top_n
     s = _w(spark, sf_dir).src.sales().select(
         "sale_id", "sale_date", (F.col("sale_id") * 7919 % 10007).alias("sample_key"))
-    return top_n_bounded_key(s, SAMPLE_N, "sample_key", ["sale_id"], 10007)
+    return top_n(s, SAMPLE_N, ["sample_key", "sale_id"])
 
 
 @query("first_per_key")

@@ -17,7 +17,6 @@ from tallyhouse.functions.dates import parse_date
 from tallyhouse.functions.text import classify_contains, clean_trim, map_values
 from tallyhouse.operators.lookup import resolve
 from tallyhouse.operators.rules import Dedup, Derive, Rule, apply_rules, missing_ref, ref_flag
-from tallyhouse.operators.sizing import bounded_broadcast
 
 
 def _not_in(col: str, values: Sequence) -> F.Column:
@@ -267,7 +266,7 @@ def validate_purchases_strict(stg: DataFrame, suppliers: DataFrame, stores: Data
     df = ref_flag(stg, suppliers, "supplier_id", "supplier_id", "__sup_ok")
     df = ref_flag(df, stores, "store_id", "store_id", "__store_ok")
     cost = products.select(F.col("product_id").alias("__pid"), F.col("cost_price").alias("__cost"))
-    df = df.join(bounded_broadcast(products, cost), df["product_id"] == F.col("__pid"), "left").drop("__pid")
+    df = df.join(cost, df["product_id"] == F.col("__pid"), "left").drop("__pid")
     d = parse_date("purchase_date")
     rules = [
         Rule(C.MSG_QTY_PRICE, (F.col("quantity") <= 0) | (F.col("unit_price") <= 0)),

@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared file system; it is read from the
-    session.  Only when it is unset (local tests) a local folder is used.
+    session, and a cluster without it is an error: each machine would write
+    to its own disk.  Only a local master falls back to a local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = _LOCAL_CHECKPOINT_FALLBACK
         os.makedirs(path, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", path)

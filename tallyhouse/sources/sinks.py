@@ -1,33 +1,43 @@
 """Write patterns: versioned full refresh and the append-only run log.
 
 A full refresh never overwrites the path it reads from: each load writes a
-new version directory and then moves a small pointer file, so readers see
-either the old or the new table, and a failed load leaves the old version
-in place.
+new version directory and then appends one row to the table's list of commits.
+Nothing is deleted or replaced, so readers see either the old or the new
+table, and a failed load leaves the old version in place.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def _pointer(spark: SparkSession, base: str) -> str | None:
+def _commits(spark: SparkSession, base: str) -> tuple[int, str | None]:
+    """Number and folder of the last committed version; (0, None) before the first."""
     try:
-        rows = spark.read.text(f"{base}/_CURRENT").collect()
-    except Exception:  # no version yet
-        return None
-    return rows[0][0].strip() if rows else None
+        rows = spark.read.schema("number long, version string").parquet(f"{base}/_commits")
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return 0, None
+        raise
+    last = rows.orderBy(F.desc("number"), "version").first()
+    return (last["number"], last["version"]) if last else (0, None)
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    version = _pointer(spark, base)
+    version = _commits(spark, base)[1]
     if version is None:
         raise FileNotFoundError(f"no committed version under {base}")
     return spark.read.parquet(f"{base}/{version}")
 
 
+def has_version(spark: SparkSession, base: str) -> bool:
+    return _commits(spark, base)[1] is not None
+
+
 def overwrite(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
     """Write ``df`` as a new version of the table at ``base`` and commit it."""
     spark = df.sparkSession
@@ -36,8 +46,9 @@ def overwrite(df: DataFrame, base: str, partition_by: list[str] | None = None) -
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{base}/{version}")
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(
-        f"{base}/_CURRENT")
+    number = _commits(spark, base)[0] + 1
+    spark.createDataFrame([(number, version)], "number long, version string").coalesce(1).write.mode(
+        "append").parquet(f"{base}/_commits")
     return version
 
 

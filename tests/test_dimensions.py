@@ -27,11 +27,10 @@ def test_calendar_default_range(spark):
     assert dims.calendar(spark, "2024-01-01", "2026-12-31", existing=cal).count() == 0
 
 
-def test_assign_keys_both_paths_agree(spark):
+def test_assign_keys_do_not_depend_on_partitions(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 10007).alias("v"))
     small = {r["v"]: r["k"] for r in assign_keys(df, "k", ["v"], start=10).collect()}
-    large = {r["v"]: r["k"] for r in assign_keys(df, "k", ["v"], start=10, small_rows=0,
-                                                   num_partitions=7).collect()}
+    large = {r["v"]: r["k"] for r in assign_keys(df, "k", ["v"], start=10, num_partitions=7).collect()}
     assert small == large
     assert sorted(small.values()) == list(range(10, 5010))
     ordered = [small[v] for v in sorted(small)]

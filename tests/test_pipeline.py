@@ -46,6 +46,40 @@ def test_versioned_overwrite_reads_committed(spark):
     assert read_current(spark, base).count() == 7
 
 
+def test_failed_write_keeps_the_committed_version(spark):
+    base = scratch_path(spark, "atomic")
+    overwrite(spark.range(4), base)
+    try:
+        overwrite(spark.range(3).select(F.expr("assert_true(id < 2)").alias("x")), base)
+    except Exception:
+        pass
+    assert read_current(spark, base).count() == 4
+
+
+def test_log_ids_go_on_from_run_to_run(spark):
+    from tallyhouse.plans.pipeline import latest_first
+    base = scratch_path(spark, "log-ids")
+    steps = [Step("a", "1-staging", lambda w: spark.range(3)), Step("b", "2-dimensions", lambda w: spark.range(1))]
+    for _ in range(2):
+        run_pipeline(spark, "/nonexistent", base, steps=steps, warehouse=object())
+    log = latest_first(spark.read.parquet(f"{base}/_log"))
+    assert [(r["log_id"], r["step"]) for r in log.collect()] == [(4, "b"), (3, "a"), (2, "b"), (1, "a")]
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tallyhouse.session import ensure_checkpoint_dir
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None,
+                             getConf=lambda: SimpleNamespace(get=lambda k, d=None: d))
+        fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(fake)
+
+
 def test_run_step_rebuilds_one_table(spark):
     from tallyhouse.plans.pipeline import run_step
     base = scratch_path(spark, "rerun")

@@ -43,3 +43,12 @@ def test_matches_model(spark, rows):
     want = model(rows)
     assert [got[i][0] for i in range(len(rows))] == want
     assert all((m is None) == (s == C.VALID) for m, s in got.values())
+
+
+def test_tied_and_identical_rows_keep_one(spark):
+    rows = [(1, "a"), (1, "a"), (1, "a"), (2, "x"), (2, "y"), (None, "n"), (None, "n")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    out = apply_rules(df, [Dedup("dup", ["k"], ["k"])]).collect()
+    assert len(out) == len(rows)
+    for k in (1, 2, None):
+        assert sum(r["k"] == k and r["stg_status"] == C.VALID for r in out) == 1
