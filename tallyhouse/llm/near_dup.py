@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm import common as c
 from tallyhouse.operators.keys import pin
 
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _PROFILE = "doc_id long, n_shingles long, digest_a long, digest_b long, signature binary"
 
 
