@@ -150,6 +150,13 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+def in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values occur in a sorted array."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
 _WINDOW_BASE = 0xD6E8FEB86659FD93
 
 

@@ -182,12 +182,11 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                    .select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("term"))
                    .groupBy("term").agg(F.count("*").alias("term_df")))
         entity_df = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("entity_df"))
-        total = found.select(F.count("*").alias("total"))
-        scored = (pairs.join(term_df, "term").join(entity_df, "entity").crossJoin(F.broadcast(total))
-                  .withColumn("p", F.least("together", "term_df", "entity_df") / F.col("total"))
-                  .withColumn("pmi", F.log2(F.col("p") * F.col("total") * F.col("total")
+        total = float(found.count())
+        scored = (pairs.join(term_df, "term").join(entity_df, "entity")
+                  .withColumn("pmi", F.log2(F.least("together", "term_df", "entity_df") * total
                                             / F.col("entity_df") / F.col("term_df")))
-                  .withColumn("content", -F.log2(F.col("entity_df") / F.col("total"))))
+                  .withColumn("content", -F.log2(F.col("entity_df") / total)))
         revealing = pin(scored.filter((F.col("content") > 0) & (F.col("pmi") >= alpha * F.col("content")))
                         .select("entity", "term"), "revealing")
     terms = (near.select("row", "entity", F.explode("near").alias("t"))

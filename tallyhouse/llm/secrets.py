@@ -142,13 +142,14 @@ def train(findings: DataFrame, trees: int = 25, depth: int = 6, seed: int = 11)
 
 
 def votes(trees: list[list], inputs: Column) -> Column:
-    """The share of trees that vote for a secret."""
-    def vote(tree: list | float) -> Column:
+    """The share of trees that vote for a secret.  ``let`` keeps the nested
+    branches out of generated code, which they would make too large."""
+    def vote(tree: list | float, x: Column) -> Column:
         if isinstance(tree, float):
             return F.lit(tree)
         name, threshold, left, right = tree
-        return F.when(inputs[name] <= threshold, vote(left)).otherwise(vote(right))
-    return reduce(add, map(vote, trees)) / len(trees)
+        return F.when(x[name] <= threshold, vote(left, x)).otherwise(vote(right, x))
+    return let(inputs, lambda x: reduce(add, (vote(t, x) for t in trees)) / len(trees))
 
 
 def candidates(text: Column) -> Column:
@@ -190,8 +191,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         at = F.greatest(s["start"] - BESIDE, F.lit(0))
         parts = features(F.substring(text, s["start"] + 1, s["end"] - s["start"]),
                          F.substring(text, at + 1, s["start"] - at), F.substring(text, s["end"] + 1, F.lit(8)))
-        return let(F.struct(*[v.alias(k) for k, v in parts.items()]), lambda x: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), votes(trees, x).alias("votes")))
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), votes(
+            trees, F.struct(*[v.alias(k) for k, v in parts.items()])).alias("votes"))
 
     rows = id_and_text(docs, id_col, text_col).select(
         "doc_id", "text", F.transform(candidates(text), judged).alias("found"))

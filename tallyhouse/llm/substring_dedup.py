@@ -96,12 +96,6 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "hashes": pa.array(found, pa.binary())})
 
 
-def _in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    if not len(among):
-        return np.zeros(len(values), bool)
-    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
-
-
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, n_rows: int) -> pa.Array:
     """The given words of each row, joined by one space, as a string column."""
     size = ends - starts
@@ -131,7 +125,7 @@ def _remove(window: int):
             gone = np.zeros(len(starts) + 1, np.int64)
             if len(at):
                 hit = at[(smallest[np.searchsorted(known, hashes)] < ids[a:b][row[at]])
-                         | _in_sorted(hashes, flagged)]
+                         | c.in_sorted(hashes, flagged)]
                 gone[hit] += 1
                 gone[hit + window] -= 1
             keep = np.cumsum(gone)[:-1] == 0

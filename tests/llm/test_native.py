@@ -1,0 +1,138 @@
+"""Quality rules, personal data and secrets."""
+
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tallyhouse.llm.pii import KINDS, base_spans, find_personal_data, spans_text
+from tallyhouse.llm.quality_rules import clean_lines
+from tallyhouse.llm.secrets import features, labelled_findings, scan_secrets, train, votes
+from tests.llm.helpers import WORD, odd_documents, texts
+
+PROSE = "The river runs along the old road and the mill stands where both of them meet again. " * 6
+
+
+def brute_counts(t):
+    words = WORD.findall(t)
+    triples = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    count, covered = Counter(triples), set()
+    for i, w in enumerate(triples):
+        if count[w] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), sum(ch in "#*$%&|<>" for ch in t),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_counts_equal_brute_force(spark):
+    docs = odd_documents(spark).unionByName(spark.createDataFrame(
+        [(5000, "a b c a b c a b c\na b c\n\nx"), (5001, "é ü\nñ & é ü ñ"), (5002, "a a a a"), (5003, "a b a b")],
+        "doc_id long, text string"), allowMissingColumns=True)
+    want = Counter((i, *brute_counts(t)) for i, t in texts(docs))
+    got = clean_lines(docs).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"],
+                    r["n_repeat_words"]) for r in got) == want
+    for r in got:
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["base_failed"] == failed and not (failed and r["kept"])
+
+
+def test_lines_fail_one_by_one(spark):
+    words = [f"word{i}" for i in range(200)]
+    good = [" ".join(words[a:a + 20]) + "." for a in range(0, 200, 20)]
+    bad = ["HOME ABOUT CONTACT LOGIN HELP", "a | b | c | d | e", "x%%% y$$$ z### u*** v&&&",
+           "All rights reserved, the owner."]
+    cases = {1: "\n".join(good + bad), 2: "\n".join(good), 3: "\n".join(" ".join(w.upper() + "!!" for w in words[a:a + 20])
+                                                                        for a in range(0, 200, 20)),
+             4: " | ".join(words), 5: " ".join(w + "%%%" for w in words)}
+    got = {r["doc_id"]: r for r in clean_lines(spark.createDataFrame(
+        list(cases.items()), "doc_id long, text string")).collect()}
+    assert got[1]["clean_text"] == got[2]["clean_text"] == "\n".join(good)
+    assert [i for i in sorted(got) if got[i]["kept"]] == [1, 2]
+
+
+BASE = [("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")),
+        ("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")),
+        ("card", re.compile(r"[0-9]([\x20-]?[0-9])+")),
+        ("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"))]
+
+
+def passes_luhn(digits):
+    total = 0
+    for i, ch in enumerate(reversed(digits)):
+        x = int(ch) * (1 + i % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def brute_spans(t):
+    out = []
+    for k, (name, pattern) in enumerate(BASE):
+        for m in pattern.finditer(t):
+            d = re.sub("[^0-9]", "", m[0])
+            if name == "ip" and any(int(x) > 255 for x in m[0].split(".")):
+                continue
+            if name == "card" and not (14 <= len(d) <= 19 and passes_luhn(d)):
+                continue
+            if name == "phone" and not 10 <= len(d) <= 15:
+                continue
+            out.append((m.start(), k, m.end()))
+    return ",".join(f"{BASE[k][0]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_patterns_equal_brute_force(spark):
+    random.seed(7)
+    marks = list("ab1.5@-+ 4 ()0.%_x9 25.éñ") + ["", "4845168114407329", "@mail.example.com", "+1 (017) 555-7713"]
+    rows = ["".join(random.choice(marks) for _ in range(random.randint(0, 60))) for _ in range(1500)]
+    rows += ["a@b.c_x@d.e", "1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "x 4845168114407329 4845-1681-1440-7329", "a" * 30000,
+             "1 " * 30000, "a.b" * 20000 + "@c" + ".d" * 5000, "9" * 50000, "", "1.2.3.4.5.6.7.8 255.255.0.1 256.1.1.1",
+             "+1 (017) 555-7713 + +1234567890"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = dict(df.select("doc_id", spans_text(base_spans(F.col("text")))).collect())
+    assert got == {i: brute_spans(t) for i, t in enumerate(rows)}
+
+
+def test_terms_that_reveal_an_entity(spark):
+    rows = [(i, f"filler{i} note{i} write to Zephyrine at zed@mail.example.com about item{i} part{i}") for i in range(4)]
+    rows += [(10 + i, f"plain text number{i} without any write to at about such data") for i in range(300)]
+    rows += [(400, None), (401, ""), (402, "write to other@mail.example.com")]
+    got = {r["doc_id"]: r for r in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    terms = [rows[0][1][s["start"]:s["end"]] for s in got[0]["spans"] if s["kind"] == len(KINDS)]
+    assert terms == ["Zephyrine"]
+    assert got[0]["sanitised_text"] == "filler0 note0 write to [NAME] at [EMAIL] about item0 part0"
+    assert all(not got[i]["spans"] for i in (10, 50, 400, 401)) and len(got) == len(rows)
+    assert got[402]["sanitised_text"] == "write to [EMAIL]"
+
+
+def test_personal_data_on_odd_rows(spark):
+    docs = odd_documents(spark)
+    got = find_personal_data(docs).select("doc_id", spans_text(F.col("base")).alias("b")).collect()
+    assert Counter(map(tuple, got)) == Counter((i, brute_spans(t)) for i, t in texts(docs))
+    assert find_personal_data(docs.limit(0)).count() == 0
+
+
+def test_forest_on_left_out_findings(spark):
+    findings = labelled_findings(spark, 80)
+    trees = train(findings.filter("id % 4 != 0"))
+    rows = findings.filter("id % 4 = 0").withColumn("x", F.struct(*[
+        v.alias(k) for k, v in features(F.col("value"), F.col("before"), F.col("after")).items()]))
+    right = rows.select((votes(trees, F.col("x")) >= 0.5).cast("double").alias("p"), "label").filter("p = label").count()
+    assert right >= 0.95 * rows.count()
+
+
+def test_secrets_found_and_others_left(spark):
+    hexes = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    rows = [(1, f'text token = "{hexes}" more'), (2, f"a commit {hexes} here"), (3, "see /usr/lib/python3/site-packages/x1"),
+            (4, "uuid 123e4567-e89b-12d3-a456-426614174000"), (5, None), (6, ""), (7, PROSE),
+            (8, f'token = "{hexes}" and token = "{hexes[::-1]}"'), (8, "api_key: your_api_key_here_1")]
+    got = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    by = {(r["doc_id"], len(r["secrets"])): r["redacted_text"] for r in got}
+    assert by[1, 1] == 'text token = "[SECRET]" more'
+    assert by[8, 2] == 'token = "[SECRET]" and token = "[SECRET]"'
+    for i, t in rows:
+        if i not in (1, 8):
+            assert by[i, 0] == (t or "")
+    assert scan_secrets(odd_documents(spark).limit(0)).count() == 0
