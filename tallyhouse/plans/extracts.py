@@ -94,13 +94,20 @@ ADJUSTMENTS_CSV_SCHEMA = StructType([
 ])
 
 
+def _by_position(csv_rows: DataFrame, schema: StructType) -> DataFrame:
+    """The declared names for the leading columns; further ones (the raw line
+    of a malformed row) keep their names."""
+    names = [f.name for f in schema.fields]
+    return csv_rows.toDF(*names, *csv_rows.columns[len(names):])
+
+
 def extract_goals(csv_rows: DataFrame, loaded_at: str) -> DataFrame:
     """Goal CSV rows -> staging (columns taken by position)."""
-    out = csv_rows.toDF(*[f.name for f in GOALS_CSV_SCHEMA.fields])
+    out = _by_position(csv_rows, GOALS_CSV_SCHEMA)
     return stamp(out, "metas_csv", loaded_at)
 
 
 def extract_adjustments(csv_rows: DataFrame, loaded_at: str) -> DataFrame:
     """Adjustment CSV rows -> staging (columns taken by position)."""
-    out = csv_rows.toDF(*[f.name for f in ADJUSTMENTS_CSV_SCHEMA.fields])
+    out = _by_position(csv_rows, ADJUSTMENTS_CSV_SCHEMA)
     return stamp(out, "ajustes_csv", loaded_at)

@@ -34,13 +34,23 @@ min(l_linestatus) AS kept_status FROM lineitem GROUP BY l_orderkey, l_returnflag
     "fact_goals": sql("SELECT * FROM fact_goals", "fact_goals"),
     "fact_returns": sql("SELECT * FROM fact_returns", "fact_returns"),
     "fact_purchases": sql("SELECT * FROM fact_purchases", "fact_purchases"),
-    "calendar_dim": sql("SELECT * FROM dim_date", "dim_date"),
+    "calendar_dim": sql("""SELECT * FROM dim_date WHERE date BETWEEN
+(SELECT min(CAST(o_orderdate AS DATE)) FROM orders) AND (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)""",
+                        "dim_date"),
     "geography_dim": sql("SELECT * FROM dim_geography", "dim_geography"),
-    "promotion_dim_unknown": sql("SELECT * FROM dim_promotion", "dim_promotion"),
     "supplier_dim": sql("SELECT * FROM dim_supplier", "dim_supplier"),
     "store_dim": sql("SELECT * FROM dim_store", "dim_store"),
     "salesperson_dim": sql("SELECT * FROM dim_salesperson", "dim_salesperson"),
     "insert_only_dim": sql("SELECT * FROM dim_channel", "dim_channel"),
+    "insert_only_two_loads": """WITH known AS (
+  SELECT s_suppkey AS supplier_id, s_name AS name, row_number() OVER (ORDER BY s_suppkey) AS supplier_key
+  FROM supplier WHERE s_acctbal >= 0),
+new AS (SELECT s_suppkey AS supplier_id, s_name || ' (2)' AS name,
+  (SELECT coalesce(max(supplier_key), 0) FROM known) + row_number() OVER (ORDER BY s_suppkey) AS supplier_key
+  FROM supplier WHERE s_suppkey NOT IN (SELECT supplier_id FROM known))
+SELECT 'insert' AS load_mode, supplier_key, supplier_id, name FROM known
+UNION ALL SELECT 'upsert', supplier_key, supplier_id, name || ' (2)' FROM known
+UNION ALL SELECT m.load_mode, supplier_key, supplier_id, name FROM new, (VALUES ('insert'), ('upsert')) m(load_mode)""",
 }
 
 # ---------------------------------------------------------------------------------------
@@ -191,6 +201,10 @@ WHERE s.stg_status = {_VALID} AND s.quantity BETWEEN 5 AND 45 AND s.sale_state I
     "csv_adjustments": sql("""SELECT year, month, store_id, CAST(product_id AS INTEGER) AS product_id, adjustment,
        reason, adjustment_type, reason_class,
        'ajustes_csv' AS stg_source, stg_status, stg_message FROM stg_adjustments""", "stg_adjustments"),
+    "csv_malformed": sql("""SELECT year, month, CAST(product_id AS INTEGER) AS product_id, adjustment, reason,
+  CASE WHEN product_id % 7 = 0 THEN 'REJECTED' ELSE stg_status END AS stg_status,
+  CASE WHEN product_id % 7 = 0 THEN 'Fila CSV con formato no válido' ELSE stg_message END AS stg_message
+FROM stg_adjustments""", "stg_adjustments"),
     "csv_goals": sql("""SELECT year, month, store_id, category_name, goal_value, store_id_resolved, category_id_resolved,
        'metas_csv' AS stg_source, stg_status, stg_message FROM stg_goals""", "stg_goals"),
 })
@@ -427,3 +441,7 @@ LEFT JOIN (SELECT DISTINCT supplier_id FROM src_suppliers) k ON p.supplier_id =
 LEFT JOIN (SELECT DISTINCT store_id FROM src_stores) st ON p.store_id = st.store_id
 LEFT JOIN src_products pr ON pr.product_id = p.product_id) x""",
                                          "stg_purchases", "src_suppliers", "src_stores", "src_products")
+
+ORACLE["promotion_dim_unknown"] = sql(f"""SELECT p.*, coalesce(n.n_sales, 0) AS n_sales FROM dim_promotion p LEFT JOIN (
+SELECT coalesce(active_campaign_id, -1) AS campaign_id, count(*) AS n_sales FROM ({ORACLE["campaign_on_date"]}) c
+GROUP BY 1) n USING (campaign_id)""", "dim_promotion")

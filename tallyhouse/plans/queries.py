@@ -148,8 +148,10 @@ def fact_purchases(spark, sf_dir):
 
 @query("calendar_dim")
 def calendar_dim(spark, sf_dir):
-    # the calendar covers the span of the sales in the input (order dates)
-    return _w(spark, sf_dir).dim_date
+    """The calendar over the span of the orders in the input."""
+    span = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(
+        F.min(F.col("o_orderdate").cast("date")).alias("a"), F.max(F.col("o_orderdate").cast("date")).alias("b")).first()
+    return _w(spark, sf_dir).dim_date.filter(F.col("date").between(F.lit(span["a"]), F.lit(span["b"])))
 
 
 @query("geography_dim")
@@ -159,7 +161,10 @@ def geography_dim(spark, sf_dir):
 
 @query("promotion_dim_unknown")
 def promotion_dim_unknown(spark, sf_dir):
-    return _w(spark, sf_dir).dim_promotion
+    """Campaigns and the unknown member, with the sales that fall to each."""
+    sales = campaign_on_date(spark, sf_dir).groupBy(F.coalesce("active_campaign_id", F.lit(-1)).alias("campaign_id")).agg(
+        F.count(F.lit(1)).alias("n_sales"))
+    return _w(spark, sf_dir).dim_promotion.join(sales, "campaign_id", "left").fillna(0, ["n_sales"])
 
 
 @query("supplier_dim")
@@ -182,6 +187,22 @@ def insert_only_dim(spark, sf_dir):
     return _w(spark, sf_dir).dim_channel
 
 
+@query("insert_only_two_loads")
+def insert_only_two_loads(spark, sf_dir):
+    """Suppliers loaded twice: those without debts first, then all under new
+    names.  The plain load adds the unknown ones and changes nothing else;
+    ``upsert`` also renames the known ones and keeps their keys."""
+    from tallyhouse.operators.keys import pin
+    from tallyhouse.operators.lookup import insert_new
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    first = rows.filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"))
+    second = rows.select(F.col("s_suppkey").alias("supplier_id"), F.concat("s_name", F.lit(" (2)")).alias("name"))
+    dim = pin(insert_new(None, first, "supplier_id", "supplier_key"), "suppliers")
+    loads = [insert_new(dim, second, "supplier_id", "supplier_key", mode=mode).select(
+        F.lit(mode).alias("load_mode"), "supplier_key", "supplier_id", "name") for mode in ("insert", "upsert")]
+    return loads[0].unionByName(loads[1])
+
+
 # --- reports ------------------------------------------------------------------------
 def _stg_tables(w: Warehouse) -> dict:
     return {"stg_sales": w.stg_sales, "stg_products": w.stg_products,
@@ -500,6 +521,24 @@ def csv_adjustments(spark, sf_dir):
         "reason_class", "stg_source", *STG_OUT)
 
 
+@query("csv_malformed")
+def csv_malformed(spark, sf_dir):
+    """The adjustment feed with a word where the store number belongs in part
+    of its rows: these are quarantined with a message, the others pass."""
+    from tallyhouse.plans import extracts as E
+    from tallyhouse.plans import validate as V
+    from tallyhouse.session import scratch_path
+    from tallyhouse.sources.csv import read_csv, write_csv
+    w = _w(spark, sf_dir)
+    bad = F.pmod("product_id", F.lit(7)) == 0
+    feed = w.src.adjustments_csv_rows().withColumn(
+        "store_id", F.when(bad, F.lit("uno")).otherwise(F.col("store_id").cast("string")))
+    path = write_csv(feed, scratch_path(spark, "ajustes_csv_malos"))
+    rows = read_csv(spark, path, E.ADJUSTMENTS_CSV_SCHEMA, corrupt_column=V.RAW_LINE)
+    out = V.validate_adjustments(E.extract_adjustments(rows, w.loaded_at), w.src.stores(), w.src.products())
+    return out.select("year", "month", "product_id", "adjustment", "reason", *STG_OUT)
+
+
 @query("csv_goals")
 def csv_goals(spark, sf_dir):
     """Monthly goal feed through a real CSV file, then resolution and rules."""

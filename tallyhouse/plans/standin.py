@@ -56,7 +56,7 @@ CAMPAIGNS = [
     (5, "Cierre de siglo", "2000-10-15", "2001-01-15", "Temporada"),
 ]
 ADJUSTMENT_REASONS = [
-    "Merma por daño en bodega", "MERMA detectada en conteo",
+    "Merma por humedad en estante", "MERMA detectada en conteo",
     "Producto con vencimiento cercano", "Transferencia entre tiendas",
     "Error de sistema en registro", "Exceso de inventario recibido",
     "Devolución de cliente", "Ajuste por conteo físico", "Robo o pérdida",

@@ -19,6 +19,15 @@ from tallyhouse.operators.lookup import resolve
 from tallyhouse.operators.rules import Dedup, Derive, Rule, apply_rules, missing_ref, ref_flag
 
 
+MSG_CSV_MALFORMED = "Fila CSV con formato no válido"
+RAW_LINE = "stg_raw"
+
+
+def _malformed(stg: DataFrame) -> list[Rule]:
+    """Rejects rows whose raw CSV line was kept because a field did not parse."""
+    return [Rule(MSG_CSV_MALFORMED, F.col(RAW_LINE).isNotNull())] if RAW_LINE in stg.columns else []
+
+
 def _not_in(col: str, values: Sequence) -> F.Column:
     # NULL -> NULL -> rule does not fire (NOT IN semantics)
     return ~F.col(col).isin(list(values))
@@ -113,6 +122,7 @@ def validate_goals(stg: DataFrame, stores: DataFrame, categories: DataFrame,
                  "category_id", "category_id_resolved")
     v = F.col("goal_value").try_cast("decimal(15,2)")
     rules = [
+        *_malformed(stg),
         Rule(C.MSG_GOAL_STORE, F.col("store_id_resolved").isNull()),
         Rule(C.MSG_GOAL_CATEGORY, F.col("category_id_resolved").isNull()),
         Rule(C.MSG_GOAL_VALUE, v.isNull() | (v <= 0)),
@@ -121,13 +131,14 @@ def validate_goals(stg: DataFrame, stores: DataFrame, categories: DataFrame,
 
 
 def validate_adjustments(stg: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
-    """R23/R24 unknown store/product, R25 zero adjustment, then classify the
+    """A malformed CSV row, R23/R24 unknown store/product, R25 zero adjustment, then classify the
     sign (R26) and the free-text reason (R27) of the surviving rows."""
     df = ref_flag(stg, stores, "store_id", "store_id", "__store_ok")
     df = ref_flag(df, products, "product_id", "product_id", "__prod_ok")
     sign = (F.when(F.col("adjustment") > 0, F.lit(C.ADJ_POSITIVE))
             .when(F.col("adjustment") < 0, F.lit(C.ADJ_NEGATIVE)).otherwise(F.lit(C.ADJ_NEUTRAL)))
     rules = [
+        *_malformed(stg),
         Rule(C.MSG_ADJ_STORE, missing_ref("__store_ok")),
         Rule(C.MSG_ADJ_PRODUCT, missing_ref("__prod_ok")),
         Rule(C.MSG_ADJ_ZERO, F.col("adjustment") == 0),

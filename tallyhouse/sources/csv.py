@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
@@ -15,6 +15,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
     the bad fields; raw text in ``corrupt_column`` if given).  Reading is
     split across files and blocks, so the feed scales with the cluster.
     """
+    if corrupt_column:
+        schema = StructType([*(schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).fields,
+                             StructField(corrupt_column, StringType())])
     reader = (spark.read.schema(schema).option("header", True).option("sep", ",")
               .option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
     if corrupt_column:
