@@ -32,6 +32,9 @@ LOG_SCHEMA = ("log_id int, step string, phase string, started_at timestamp, fini
               "message string")
 
 
+RUN, RUN_PHASE = "pipeline", "0-run"
+
+
 class StepFailed(RuntimeError):
     pass
 
@@ -143,24 +146,43 @@ def _write_step(w: Warehouse, step: Step, out_base: str) -> tuple[int, int, int,
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[Step] | None = None,
                  warehouse: Warehouse | None = None) -> DataFrame:
-    """Run all steps in order; returns the run log (also appended to
-    ``{out_base}/_log``)."""
+    """Run all steps in order; returns the log of this run's steps.
+
+    ``{out_base}/_log`` gets a row when the run and each step begins
+    (``RUNNING``) and another, with the same log id, when it ends, so a run
+    whose driver dies leaves the step it was in.  ``read_log`` gives one row
+    per log id."""
     w = warehouse or Warehouse(spark, sf_dir)
-    log = []
-    for i, step in enumerate(steps or STEPS, start=last_log_id(spark, out_base) + 1):
+    first = last_log_id(spark, out_base) + 1
+
+    def note(i: int, name: str, phase: str, t0: dt.datetime, end: dt.datetime | None, status: str,
+             counts: tuple = (None,) * 4, message: str | None = None) -> tuple:
+        row = (i, name, phase, t0, end, status, *counts, message)
+        append_log(spark.createDataFrame([row], LOG_SCHEMA), f"{out_base}/_log")
+        return row
+
+    began, log, failed = dt.datetime.now(), [], None
+    note(first, RUN, RUN_PHASE, began, None, C.RUNNING)
+    for i, step in enumerate(steps or STEPS, start=first + 1):
         t0 = dt.datetime.now()
+        note(i, step.name, step.phase, t0, None, C.RUNNING)
         try:
-            written, read, loaded, rejected = _write_step(w, step, out_base)
-            log.append((i, step.name, step.phase, t0, dt.datetime.now(), C.SUCCEEDED, written, read,
-                        loaded, rejected, None))
+            counts = _write_step(w, step, out_base)
+            log.append(note(i, step.name, step.phase, t0, dt.datetime.now(), C.SUCCEEDED, counts))
         except Exception as exc:  # stop at the first failure, name the phase
-            msg = f"phase {step.phase}, step {step.name}: {str(exc).splitlines()[0][:500]}"
-            log.append((i, step.name, step.phase, t0, dt.datetime.now(), C.FAILED, None, None, None,
-                        None, msg))
+            failed = f"phase {step.phase}, step {step.name}: {str(exc).splitlines()[0][:500]}"
+            log.append(note(i, step.name, step.phase, t0, dt.datetime.now(), C.FAILED, message=failed))
             break
-    log_df = spark.createDataFrame(log, LOG_SCHEMA)
-    append_log(log_df, f"{out_base}/_log")
-    return log_df
+    note(first, RUN, RUN_PHASE, began, dt.datetime.now(), C.FAILED if failed else C.SUCCEEDED, message=failed)
+    return spark.createDataFrame(log, LOG_SCHEMA)
+
+
+def read_log(spark: SparkSession, out_base: str) -> DataFrame:
+    """One row per log id: the closing row, or the opening one of what has not ended."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{out_base}/_log")
+    rest = [c for c in log.columns if c != "log_id"]
+    last = F.max_by(F.struct(*rest), F.col("finished_at").isNotNull().cast("int")).alias("last")
+    return log.groupBy("log_id").agg(last).select("log_id", *[F.col(f"last.{c}").alias(c) for c in rest])
 
 
 def last_log_id(spark: SparkSession, out_base: str) -> int:
@@ -191,4 +213,4 @@ def elapsed(log: DataFrame) -> DataFrame:
                                          - F.col("started_at").cast("double")).alias("seconds"))
 
 
-__all__ = ["Step", "STEPS", "run_pipeline", "run_step", "latest_first", "elapsed", "StepFailed"]
+__all__ = ["Step", "STEPS", "run_pipeline", "run_step", "read_log", "latest_first", "elapsed", "StepFailed"]

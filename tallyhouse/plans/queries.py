@@ -655,11 +655,11 @@ def optional_rules_returns(spark, sf_dir):
 def pipeline_log(spark, sf_dir):
     """Full logged build into a fresh folder under the shared checkpoint
     directory; returns the run log read back (deterministic columns only)."""
-    from tallyhouse.plans.pipeline import latest_first, run_pipeline
+    from tallyhouse.plans.pipeline import latest_first, read_log, run_pipeline
     from tallyhouse.session import scratch_path
     base = scratch_path(spark, "warehouse")
     run_pipeline(spark, sf_dir, base, warehouse=_w(spark, sf_dir))
-    return latest_first(spark.read.parquet(f"{base}/_log").select(
+    return latest_first(read_log(spark, base).select(
         "log_id", "step", "phase", "status", "rows_written", "rows_read", "rows_loaded",
         "rows_rejected", "message"))
 

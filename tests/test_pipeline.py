@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
-from tallyhouse.plans.pipeline import Step, StepFailed, run_pipeline
+from tallyhouse.plans.pipeline import Step, StepFailed, read_log, run_pipeline
 from tallyhouse.session import scratch_path
 from tallyhouse.sources.sinks import overwrite, read_current
 
@@ -24,7 +24,7 @@ def test_stops_at_first_failure_and_names_phase(spark):
     assert read_current(spark, f"{base}/a").count() == 3
     # the log is appended, not overwritten
     run_pipeline(spark, "/nonexistent", base, steps=steps[:1], warehouse=object())
-    assert spark.read.parquet(f"{base}/_log").count() == 3
+    assert read_log(spark, base).count() == 5  # two runs, three steps
 
 
 def test_failed_check_keeps_previous_version(spark):
@@ -62,8 +62,24 @@ def test_log_ids_go_on_from_run_to_run(spark):
     steps = [Step("a", "1-staging", lambda w: spark.range(3)), Step("b", "2-dimensions", lambda w: spark.range(1))]
     for _ in range(2):
         run_pipeline(spark, "/nonexistent", base, steps=steps, warehouse=object())
-    log = latest_first(spark.read.parquet(f"{base}/_log"))
-    assert [(r["log_id"], r["step"]) for r in log.collect()] == [(4, "b"), (3, "a"), (2, "b"), (1, "a")]
+    log = latest_first(read_log(spark, base))
+    assert [(r["log_id"], r["step"]) for r in log.collect()] == [
+        (6, "b"), (5, "a"), (4, "pipeline"), (3, "b"), (2, "a"), (1, "pipeline")]
+    assert {r["status"] for r in log.collect()} == {C.SUCCEEDED}
+    assert spark.read.parquet(f"{base}/_log").filter(F.col("status") == C.RUNNING).count() == 6
+
+
+def test_a_run_that_dies_leaves_its_open_step(spark):
+    base = scratch_path(spark, "log-open")
+
+    def dies(w):
+        raise KeyboardInterrupt
+    try:
+        run_pipeline(spark, "/nonexistent", base, steps=[Step("a", "1-staging", dies)], warehouse=object())
+    except KeyboardInterrupt:
+        pass
+    assert [(r["step"], r["status"]) for r in read_log(spark, base).orderBy("log_id").collect()] == [
+        ("pipeline", C.RUNNING), ("a", C.RUNNING)]
 
 
 def test_cluster_without_shared_folder_is_refused():
