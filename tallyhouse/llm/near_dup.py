@@ -13,13 +13,13 @@ Documents with the same set are one representative before anything is joined,
 so copies cost nothing.  Links between representatives are then found without
 listing all pairs of a crowded key:
 
-1. every member of a key is tried against the key's smallest id;
-2. confirmed links are joined into components; keys whose members now belong
-   to one component are finished;
-3. in an unfinished key of at most ``small_key`` members, all pairs across
-   components are tried; in a larger one, the members outside its largest
-   component are tried against all others, some at a time, until none is left
-   untried or the key is finished.
+1. in a key of at most ``small_key`` members all pairs are tried; in a larger
+   one every member is tried against the key's smallest id;
+2. confirmed links are joined into components; large keys whose members now
+   belong to one component are finished;
+3. in an unfinished key the members outside its largest component are compared
+   with all others, in blocks of bounded size that any task can take; blocks
+   give links between components, never pairs to be tried.
 
 Every pair that meets is thus either tried or already in one component, so the
 components are those of all links.  Shingles are compared by 64-bit hashes.
@@ -43,6 +43,7 @@ from tallyhouse.llm import common as c
 from tallyhouse.operators.keys import pin
 
 _SLICE = 1 << 20
+_NO_ID = np.iinfo(np.int64).min
 _PROFILE = "doc_id long, n_shingles long, digest_a long, digest_b long, signature binary"
 
 
@@ -100,25 +101,63 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
 
 
-def _keys(chunks: int, width: int):
+def _key_columns(signatures: np.ndarray, chunks: int, width: int) -> Iterator[np.ndarray]:
     """One key for each chunk and each position left out of it."""
+    signatures = signatures.astype(np.uint64)
+    for k in range(chunks):
+        for out in range(width):
+            key = np.full(len(signatures), k * width + out, np.uint64)
+            with np.errstate(over="ignore"):
+                for j in range(width):
+                    if j != out:
+                        key = c.mix(key * np.uint64(65599) + signatures[:, k * width + j] + np.uint64(1))
+            yield key.view(np.int64)
+
+
+def _keys(chunks: int, width: int):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            signatures = _signatures(batch.column("signature")).astype(np.uint64)
-            for k in range(chunks):
-                for out in range(width):
-                    key = np.full(len(batch), k * width + out, np.uint64)
-                    with np.errstate(over="ignore"):
-                        for j in range(width):
-                            if j != out:
-                                key = c.mix(key * np.uint64(65599) + signatures[:, k * width + j] + np.uint64(1))
-                    yield pa.record_batch({"key": key.view(np.int64), "rep": batch.column("rep"),
-                                           "n": batch.column("n")})
+            if len(batch):
+                for key in _key_columns(_signatures(batch.column("signature")), chunks, width):
+                    yield pa.record_batch({"key": key, "rep": batch.column("rep"), "n": batch.column("n")})
     return keys
 
 
+def _compare_blocks(chunks: int, width: int, percent: int, max_distance: int):
+    """Links between a block of a key's outside members and a block of all its
+    members.  A pair that meets in several keys is compared in the first."""
+    def compare(key: tuple, outside: pa.Table, members: pa.Table) -> pa.Table:
+        left, right = (_signatures(t.column("signature").combine_chunks()) for t in (outside, members))
+        ids, others = outside.column("rep").to_numpy(), members.column("rep").to_numpy()
+        n, m = outside.column("n").to_numpy(), members.column("n").to_numpy()
+        label, other = outside.column("component").to_numpy(), members.column("component").to_numpy()
+        keys = [np.stack(list(_key_columns(x, chunks, width)), 1) if len(x) else None for x in (left, right)]
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in members.column("hashes")]
+        a, b = [], []
+        for i, own in enumerate(outside.column("hashes")):
+            near = np.flatnonzero(((left[i] != right).sum(1) <= max_distance) & (other != label[i])
+                                  & (100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])))
+            if len(near):
+                shared = keys[0][i] == keys[1][near]
+                near = near[keys[0][i][shared.argmax(1)] == key[0].as_py()]
+            if len(near):
+                own = np.frombuffer(own.as_py(), np.uint64)
+                both = c.in_sorted(np.concatenate([sets[k] for k in near]), own)
+                both = np.add.reduceat(both.astype(np.int64), np.concatenate(([0], np.cumsum(m[near])[:-1])))
+                found = others[near[100 * both >= percent * (m[near] + n[i] - both)]]
+                a.append(np.full(len(found), ids[i]))
+                b.append(found)
+        none = [np.zeros(0, np.int64)]
+        # one link per pair of components is enough
+        a, b = np.concatenate(a or none), np.concatenate(b or none)
+        if len(a):
+            where = {x: y for x, y in zip(np.concatenate((ids, others)).tolist(), np.concatenate((label, other)).tolist())}
+            joined = {(where[x], where[y]): (x, y) for x, y in zip(a.tolist(), b.tolist())}
+            a, b = (np.array(x, np.int64) for x in zip(*joined.values()))
+        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+    return compare
+
+
 def _close(max_distance: int):
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +180,8 @@ def _set_rows(size: int):
 def _among(known: np.ndarray):
     def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(np.isin(batch.column("doc_id").to_numpy(zero_copy_only=False), known)))
+            ids = batch.column("doc_id").fill_null(_NO_ID).to_numpy()
+            yield batch.filter(pa.array(np.isin(ids, known)))
     return among
 
 
@@ -159,49 +199,44 @@ def _confirmed(percent: int):
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component) for nodes (id) and edges (a, b): each node's smallest
-    reachable id.  Every round takes each label to its smallest neighbour and
-    merges the labels, so the edges shrink until none is left."""
+    reachable id.  Every round takes each label to its smallest neighbour, that
+    one's and so on for eight steps, and merges the labels, so the edges shrink
+    until none is left."""
     found = nodes.select("id", F.col("id").alias("component"))
     edges = pin(edges.select("a", "b"), "edges")
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = pin(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "parent")
-        while True:  # to the end of each chain of smaller labels
-            up = parent.select(F.col("a").alias("p"), F.col("p").alias("q"))
-            longer = parent.join(up, "p").select("a", F.col("q").alias("p"), (F.col("q") < F.col("p")).alias("moved"))
-            longer = pin(longer, "parent")
-            parent = longer.select("a", "p")
-            if longer.filter("moved").isEmpty():
-                break
-        to = parent.select(F.col("a").alias("component"), "p")
-        found = pin(found.join(to, "component", "left").select(
-            "id", F.coalesce("p", "component").alias("component")), "components")
-        edges = pin(edges.join(parent.withColumnRenamed("p", "x"), "a")
-                    .join(parent.select(F.col("a").alias("b"), F.col("p").alias("y")), "b")
+        up = pin(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "parents")
+        for _ in range(3):
+            up = up.join(up.select(F.col("a").alias("p"), F.col("p").alias("q")), "p").select("a", F.col("q").alias("p"))
+        up = pin(up, "parents")
+        found = found.join(up.withColumnRenamed("a", "component"), "component", "left").select(
+            "id", F.coalesce("p", "component").alias("component"))
+        edges = pin(edges.join(up.withColumnRenamed("p", "x"), "a")
+                    .join(up.select(F.col("a").alias("b"), F.col("p").alias("y")), "b")
                     .filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
     return found
 
 
 class _Search:
-    """Tries pairs of representatives and keeps the links and components found."""
+    """Tries pairs of representatives and keeps the components found."""
 
     def __init__(self, rows: DataFrame, reps: DataFrame, size: int, percent: int, max_distance: int,
                  max_known: int) -> None:
         self.rows, self.reps, self.size, self.percent = rows, reps, size, percent
         self.max_distance, self.max_known = max_distance, max_known
-        self.links: DataFrame | None = None
         self.labels = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
 
-    def _sets(self, ids: DataFrame) -> DataFrame:
-        """Shingle sets of the documents that a pair asks for.  Up to
-        ``max_known`` ids (8 bytes each) the scan picks them, else a join does."""
+    def _sets(self, ids: DataFrame, at_most: int) -> DataFrame:
+        """Shingle sets of the documents asked for.  Up to ``max_known`` ids (8
+        bytes each) the scan picks them, else a join does."""
         rows = self.rows
-        if ids.count() <= self.max_known:
+        if at_most <= self.max_known:
             known = np.array([r["id"] for r in ids.collect()], np.int64)
             rows = rows.mapInArrow(_among(known), rows.schema)
         else:
             rows = rows.join(ids, rows["doc_id"] == ids["id"], "left_semi")
-        return pin(rows.mapInArrow(_set_rows(self.size), "id long, hashes binary").dropDuplicates(["id"]), "sets")
+        return pin(rows.mapInArrow(_set_rows(self.size), "id long, hashes binary"), "sets")
 
     def try_pairs(self, pairs: DataFrame) -> None:
         """``pairs`` (a, b, na, nb): a and b meet in some key."""
@@ -210,41 +245,56 @@ class _Search:
         signed = (pairs.join(self.reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a")
                   .join(self.reps.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b"))
         near = pin(signed.select("a", "b", "sa", "sb").mapInArrow(_close(self.max_distance), "a long, b long"), "pairs")
-        ids = pin(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-        sets = self._sets(ids)
-        found = (near.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
-                 .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
-                 .mapInArrow(_confirmed(self.percent), "a long, b long"))
-        links = pin(found, "links")
-        joined = (links.join(self.labels.select(F.col("id").alias("a"), F.col("component").alias("x")), "a")
-                  .join(self.labels.select(F.col("id").alias("b"), F.col("component").alias("y")), "b")
-                  .filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-        merged = components(self.labels.select(F.col("component").alias("id")).distinct(), joined)
+        sets = self._sets(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * near.count())
+        self._link(near.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
+                   .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
+                   .mapInArrow(_confirmed(self.percent), "a long, b long"))
+
+    def try_blocks(self, left: DataFrame, chunks: int, width: int, block: int) -> None:
+        """Every outside member of an unfinished key against all its members,
+        block by block; only links come out."""
+        ids = left.select(F.col("rep").alias("id")).distinct()
+        sets = self._sets(ids, left.count()).dropDuplicates(["id"]).withColumnRenamed("id", "rep")
+        outside = F.col("component") != F.col("main")
+        blocks = left.groupBy("key").agg(F.ceil(F.count_if(outside) / block).alias("la"),
+                                         F.ceil(F.count("*") / (4 * block)).alias("lb"))
+        full = pin(left.join(self.reps.select("rep", "signature"), "rep").join(sets, "rep").join(blocks, "key")
+                   .withColumns({"x": F.pmod(F.xxhash64("rep"), "la"), "y": F.pmod(F.xxhash64("rep"), "lb")}), "blocks")
+        columns = ["key", "rep", "n", "component", "signature", "hashes"]
+        a = full.filter(outside).select(*columns, F.col("x"), F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("y"))
+        b = full.select(*columns, F.explode(F.sequence(F.lit(0), F.col("la") - 1)).alias("x"), F.col("y"))
+        self._link(a.groupBy("key", "x", "y").cogroup(b.groupBy("key", "x", "y")).applyInArrow(
+            _compare_blocks(chunks, width, self.percent, self.max_distance), "a long, b long"))
+
+    def _link(self, links: DataFrame) -> None:
+        between = (links.join(self.labels.select(F.col("id").alias("a"), F.col("component").alias("x")), "a")
+                   .join(self.labels.select(F.col("id").alias("b"), F.col("component").alias("y")), "b")
+                   .filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        merged = components(self.labels.select(F.col("component").alias("id")).distinct(), between)
         self.labels = pin(self.labels.join(merged.withColumnRenamed("component", "c").withColumnRenamed(
             "id", "component"), "component").select("id", F.col("c").alias("component")), "labels")
-        self.links = links if self.links is None else self.links.union(links)
 
     def unfinished(self, members: DataFrame) -> DataFrame:
         """Members of the keys that hold several components: key, rep, n,
-        component, the key's member count and its largest component."""
+        component and the key's largest component."""
         labelled = members.join(self.labels.withColumnRenamed("id", "rep"), "rep")
         sums = (labelled.groupBy("key", "component").agg(F.count("*").alias("k")).groupBy("key").agg(
-            F.sum("k").alias("size"), F.count("*").alias("parts"),
-            F.max_by("component", F.struct("k", "component")).alias("main")).filter("parts > 1"))
+            F.count("*").alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
+            .filter("parts > 1"))
         return pin(labelled.join(sums.drop("parts"), "key"), "unfinished")
 
 
-def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    a = left.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("x"))
-    b = right.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("y"))
-    return a.join(b, "key").filter("x != y").select("a", "b", "na", "nb")
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    a = left.select("key", F.col("rep").alias("a"), F.col("n").alias("na"))
+    return a.join(right.select("key", F.col("rep").alias("b"), F.col("n").alias("nb")), "key").select(
+        "a", "b", "na", "nb")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, chunks: int = 10, width: int = 5, max_distance: int = 25,
-                    small_key: int = 64, max_known: int = 1 << 20) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id, n_links
-    (confirmed links tried from its set's representative), kept."""
+                    small_key: int = 16, block: int = 256,
+                    max_known: int = 1 << 20) -> DataFrame:
+    """One row per document row: doc_id, n_shingles, component_id, kept."""
     rows = c.id_and_text(docs.withColumn(id_col, docs[id_col].cast("long")), id_col, text_col)
     flips = np.random.default_rng(77041).integers(0, c.MASK64, chunks * width, dtype=np.uint64)
     factors = np.random.default_rng(90001).integers(0, c.MASK64, chunks * width, dtype=np.uint64) | np.uint64(1)
@@ -254,36 +304,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("rep"), F.max("signature").alias("signature"))
         .withColumnRenamed("n_shingles", "n"), "reps")
     keys = reps.select("rep", "n", "signature").mapInArrow(_keys(chunks, width), "key long, rep long, n long")
-    hubs = pin(keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("size"))
-               .filter("size > 1"), "hubs")
-    members = pin(keys.join(hubs, "key").select("key", "rep", "n", "hub", "size"), "members")
+    hubs = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("size"))
+    members = pin(keys.join(hubs.filter("size > 1"), "key").select("key", "rep", "n", "hub", "size"), "members")
+    small, large = members.filter(F.col("size") <= small_key), members.filter(F.col("size") > small_key)
     search = _Search(rows, reps, shingle, percent, max_distance, max_known)
-    search.try_pairs(members.filter("rep != hub.rep").select(
-        F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb")))
-    members = members.select("key", "rep", "n")
-    left = search.unfinished(members)
-    small = left.filter(F.col("size") <= small_key)
-    if not small.isEmpty():
-        search.try_pairs(_across(small.filter("component != main"), small))
-    members = pin(left.filter(F.col("size") > small_key).select("key", "rep", "n"), "members")
-    turn, at_once = 0, 8
-    while not members.isEmpty():
-        left = search.unfinished(members)
-        outside = left.filter("component != main")
-        per_key = outside.groupBy("key").agg(F.count("*").alias("outside"))
-        chance = F.pmod(F.xxhash64("rep", F.lit(turn)), F.ceil(F.col("outside") / at_once)) == 0
-        now = pin(outside.join(per_key, "key").filter(chance).select("key", "rep", "n", "component"), "now")
-        search.try_pairs(_across(now, left))
-        members = pin(left.join(now.select("key", "rep"), ["key", "rep"], "left_anti")
-                      .select("key", "rep", "n"), "members")
-        turn, at_once = turn + 1, at_once * 4
-        if search.unfinished(members).isEmpty():
-            break
-    n_links = search.links.distinct().select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(
-        F.count("*").alias("n_links"))
-    groups = (reps.join(search.labels.withColumnRenamed("id", "rep"), "rep").join(n_links, "rep", "left")
-              .select(F.col("n").alias("n_shingles"), "digest_a", "digest_b", "component", "n_links"))
+    search.try_pairs(large.filter("rep != hub.rep").select(
+        F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb")
+    ).unionAll(_pairs(small, small).filter("a < b")))
+    left = search.unfinished(large.select("key", "rep", "n"))
+    if not left.isEmpty():
+        search.try_blocks(left, chunks, width, block)
+    groups = reps.join(search.labels.withColumnRenamed("id", "rep"), "rep").select(
+        F.col("n").alias("n_shingles"), "digest_a", "digest_b", "component")
     own = scanned.join(groups, digest, "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-    return own.select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    return own.select("doc_id", "n_shingles", "component_id",
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
