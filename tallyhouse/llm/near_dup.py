@@ -258,11 +258,15 @@ class _Search:
         outside = F.col("component") != F.col("main")
         blocks = left.groupBy("key").agg(F.ceil(F.count_if(outside) / block).alias("la"),
                                          F.ceil(F.count("*") / (4 * block)).alias("lb"))
-        full = pin(left.join(self.reps.select("rep", "signature"), "rep").join(sets, "rep").join(blocks, "key")
-                   .withColumns({"x": F.pmod(F.xxhash64("rep"), "la"), "y": F.pmod(F.xxhash64("rep"), "lb")}), "blocks")
-        columns = ["key", "rep", "n", "component", "signature", "hashes"]
-        a = full.filter(outside).select(*columns, F.col("x"), F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("y"))
-        b = full.select(*columns, F.explode(F.sequence(F.lit(0), F.col("la") - 1)).alias("x"), F.col("y"))
+        placed = pin(left.join(blocks, "key").withColumns(
+            {"x": F.pmod(F.xxhash64("rep"), "la"), "y": F.pmod(F.xxhash64("rep"), "lb")}), "placed")
+        columns = ["key", "rep", "n", "component"]
+        a = placed.filter(outside).select(*columns, "x", F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("y"))
+        b = placed.select(*columns, F.explode(F.sequence(F.lit(0), F.col("la") - 1)).alias("x"), "y")
+        # the sets join last and are not kept: they are the bulk of a block
+        data = self.reps.select("rep", "signature").join(sets, "rep")
+        a, b = a.join(data, "rep"), b.join(data, "rep")
+        b = b.select(*[F.col(x).alias(x) for x in b.columns])  # tells the two apart
         self._link(a.groupBy("key", "x", "y").cogroup(b.groupBy("key", "x", "y")).applyInArrow(
             _compare_blocks(chunks, width, self.percent, self.max_distance), "a long, b long"))
 
