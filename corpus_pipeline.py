@@ -43,7 +43,11 @@ def _with_text(rows: DataFrame, columns: list[str], text: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = clean_lines(_carried(docs), id_col="row").filter("kept").withColumnRenamed("doc_id", "row")
+    # exploding a one-element array keeps the filter above the judgement, which
+    # would otherwise be worked out again for every column that the filter needs
+    judged = clean_lines(_carried(docs), id_col="row").select(
+        F.explode(F.array(F.struct("doc_id", "kept", "clean_text"))).alias("j")).filter("j.kept").select(
+        F.col("j.doc_id").alias("row"), F.col("j.clean_text").alias("clean_text"))
     return _with_text(judged, docs.columns, "clean_text")
 
 

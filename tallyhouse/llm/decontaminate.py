@@ -32,7 +32,7 @@ from tallyhouse.operators.keys import pin
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _SCANNED = "doc_id long, n_words long, prints array<long>, text string"
 _SPANS = "row long, item long, spans array<struct<a:int,b:int>>"
 
