@@ -96,7 +96,7 @@ def _scan(span: int, k: int, short: list[int], known: np.ndarray | None):
                 own, found = np.repeat(np.arange(b - a), np.diff(first)), []
                 for got, at in _prints(words, first, span, k, short):
                     keep = np.ones(len(got), bool)
-                    keep[1:] = got[1:] != got[:-1]
+                    keep[1:] = (got[1:] != got[:-1]) | (own[at[1:]] != own[at[:-1]])
                     if known is not None and len(got):
                         spot = np.minimum(np.searchsorted(known, got), max(len(known) - 1, 0))
                         keep &= known[spot] == got if len(known) else False

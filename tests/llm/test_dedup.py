@@ -123,3 +123,15 @@ def test_empty_tables(spark):
     assert len(clean) == 16 and not any(r["contaminated"] for r in clean)
     assert hashlib.sha256(b"").hexdigest() == contamination(odd_documents(spark, 1), bench).select(
         F.sha2(F.array_join("items", ","), 256)).first()[0]
+
+
+def test_decontamination_across_row_boundaries(spark):
+    ten = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(i, ten) for i in range(4)] + [
+        (4, "here ends one with red green blue"), (5, "red green blue starts the next one"), (6, "red green blue"),
+        (7, "nothing in here"), (8, f"lead in {ten}"), (9, f"{ten} and on")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, ten), (2, "red green blue")], "item_id long, text string")
+    for known in (1 << 20, 0):
+        got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in contamination(docs, bench, max_known=known).collect()}
+        assert got == {**{i: (10, ["1"]) for i in (0, 1, 2, 3, 8, 9)}, **{i: (3, ["2"]) for i in (4, 5, 6)}, 7: (0, [])}
