@@ -30,8 +30,11 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import id_and_text, let, read_trees
 from tallyhouse.llm.pii import matches
 
-TOKEN = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+"
+# a token may follow "=" (KEY=value), and takes it along as padding at its end only
+TOKEN = (r"(?<![A-Za-z0-9_+/-])(?:[A-Za-z0-9_+/-]{16,}+(?:={1,2}(?![A-Za-z0-9_+/=-]))?+"
+         r"|[A-Za-z0-9_+/-]{15}={1,2}(?![A-Za-z0-9_+/=-])|[A-Za-z0-9_+/-]{14}==(?![A-Za-z0-9_+/=-]))")
 ASSIGNED = "(?<=[=:] {0,2}[\"']{0,1})[^\\s\"'=:,;<>|]{8,}+"
+NEXT_PARAMETER = "&(?=(?:amp;)?[A-Za-z0-9_.%-]{1,64}=)"
 BESIDE = 48
 
 # fixed values: words that name a secret, words that name something harmless,
@@ -159,7 +162,9 @@ def candidates(text: Column) -> Column:
     mixed = F.filter(matches(text, TOKEN), lambda s: F.substring(
         text, s["start"] + 1, s["end"] - s["start"]).rlike("[0-9][^0-9]|[^0-9][0-9]"))
     token = F.when(text.rlike(TOKEN), mixed).otherwise(F.array().cast(spans))
-    value = F.when(text.rlike("[=:]"), matches(text, ASSIGNED)).otherwise(F.array().cast(spans))
+    # in a query string the next parameter ends the value; one character for another keeps the places
+    plain = F.when(text.contains("&"), F.regexp_replace(text, NEXT_PARAMETER, " ")).otherwise(text)
+    value = F.when(text.rlike("[=:]"), let(plain, lambda t: matches(t, ASSIGNED))).otherwise(F.array().cast(spans))
 
     def outer(all_spans: Column) -> Column:
         zero = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("out"))
