@@ -16,7 +16,7 @@ in the words of the row and nothing is shuffled.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ SYMBOLS = "#*$%&|<>"
 BOILERPLATE = ("all rights reserved", "cookie policy", "privacy policy", "terms of use",
                "terms of service", "enable javascript", "click here", "sign up for our newsletter",
                "is licensed under", "lorem ipsum", "powered by")
+SHORT_LINE = 20  # words up to which one phrase makes a line boilerplate
 
 
 def only(text: Column, inside: str) -> Column:
@@ -86,11 +87,16 @@ def line_fails(line: Column, words: Column, max_symbols: float = 0.5,
     def repeats(n: Column) -> Column:
         return (n >= 15) & (F.size(F.array_distinct(words)) <= 3)
 
-    def boilerplate() -> Column:
-        return let(F.lower(line), lambda low: reduce(or_, (low.contains(x) for x in BOILERPLATE)))
+    def boilerplate(n: Column) -> Column:
+        def phrase_words(low: Column) -> Column:
+            return reduce(add, ((F.length(low) - F.length(F.replace(low, F.lit(x)))) / len(x) * len(x.split())
+                                for x in BOILERPLATE))
+
+        return let(F.lower(line), lambda low: reduce(or_, (low.contains(x) for x in BOILERPLATE)) & (
+            (n <= SHORT_LINE) | (phrase_words(low) * 5 >= n)))
 
     return let(F.size(words), lambda n: ((n >= 5) & (
-        shouted() | many_symbols(n) | menu(n) | repeats(n))) | boilerplate())
+        shouted() | many_symbols(n) | menu(n) | repeats(n))) | boilerplate(n))
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -147,3 +147,16 @@ def test_secrets_assigned_without_quotes_or_spaces(spark):
             ("token=your_api_key_here_1", "token=your_api_key_here_1")]
     got = scan_secrets(spark.createDataFrame(list(enumerate(t for t, _ in rows)), "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["redacted_text"] for r in got} == dict(enumerate(t for _, t in rows))
+
+
+def test_long_lines_that_mention_a_boilerplate_phrase_stay(spark):
+    words = [f"word{i}" for i in range(200)]
+    one_line = " ".join(words) + " read the terms of use and the privacy policy first."
+    long_part = " ".join(words[:60]) + " as the old engine was powered by steam " + " ".join(words[60:120])
+    good = [" ".join(words[a:a + 20]) + "." for a in range(120, 200, 20)]
+    footer = "Privacy policy. Terms of use. Cookie policy. All rights reserved. Powered by us. Click here to go back up to the top now."
+    cases = {1: one_line, 2: "\n".join([long_part, *good, "Click here to read more.", footer])}
+    got = {r["doc_id"]: r for r in clean_lines(spark.createDataFrame(
+        list(cases.items()), "doc_id long, text string")).collect()}
+    assert got[1]["kept"] and got[1]["n_lost_words"] == 0 and got[1]["clean_text"] == one_line
+    assert got[2]["kept"] and got[2]["clean_text"] == "\n".join([long_part, *good])
