@@ -7,7 +7,7 @@ but the last return the columns of ``documents``:
 2. ``near_dup``: of each group of near-duplicates (five-word shingles,
    similarity 0.8 or more) the document with the smallest id stays;
 3. ``decontaminate``: documents that share ten consecutive words with a test
-   item go (an item of fewer words is one window);
+   item go (an item of fewer words is one window), each row judged by its text;
 4. ``secrets``: secrets are replaced by a mark; the documents stay;
 5. ``pack``: the texts are tokenised and packed into sequences.
 
@@ -64,8 +64,11 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = contamination(docs, benchmark).filter("contaminated").select("doc_id").distinct()
-    return docs.join(pin(hit, "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    # the verdict is the text's alone, so its digest tells the rows, with or without an id
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    judged = contamination(docs.select(digest.alias("digest"), "text"), benchmark, id_col="digest")
+    hit = pin(judged.filter("contaminated").select(F.col("doc_id").alias("digest")).distinct(), "contaminated")
+    return docs.join(hit, digest == hit["digest"], "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

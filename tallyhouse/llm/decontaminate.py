@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tallyhouse.llm import common as c
 from tallyhouse.operators.keys import pin
@@ -33,7 +34,7 @@ from tallyhouse.operators.keys import pin
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SLICE = 1 << 20
-_SCANNED = "doc_id long, n_words long, prints array<long>, text string"
+_SCANNED = "n_words long, prints array<long>, text string"
 _SPANS = "row long, item long, spans array<struct<a:int,b:int>>"
 
 
@@ -156,8 +157,9 @@ def _merged(spans: Column) -> Column:
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", span: int = 10, k: int = 5,
                   max_known: int = 1 << 20) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit, n_items, items (ids as
-    sorted strings), spans (hit word intervals, end exclusive), contaminated."""
+    """One row per document row: doc_id (numbers as long, others as they are),
+    n_words, n_hit, n_items, items (ids as sorted strings), spans (hit word
+    intervals, end exclusive), contaminated."""
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item_id"),
         F.array_join(normal_words(F.coalesce(F.col(item_text_col), F.lit(""))), " ").alias("normal")
@@ -172,8 +174,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     distinct = prints.select("print").distinct()
     if distinct.count() <= max_known:
         known = np.sort(np.array([r["print"] for r in distinct.collect()], np.int64).view(np.uint64))
-    rows = c.id_and_text(docs.withColumn(id_col, docs[id_col].cast("long")), id_col, text_col)
-    scanned = pin(rows.mapInArrow(_scan(span, k, sorted(short), known), _SCANNED)
+    rows = c.id_and_text(docs, id_col, text_col)
+    if isinstance(rows.schema["doc_id"].dataType, NumericType):
+        rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    scanned = pin(rows.mapInArrow(_scan(span, k, sorted(short), known), f"doc_id {id_type}, {_SCANNED}")
                   .withColumn("row", F.monotonically_increasing_id()), "scanned")
     pairs = (scanned.select("row", F.explode("prints").alias("print"))
              .join(prints, "print").select("row", "item").distinct())

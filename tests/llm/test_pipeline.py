@@ -68,3 +68,16 @@ def test_query_equals_its_sql(spark, name):
     columns = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(columns)
     assert digest(df.columns, rows)[0] == digest(columns, cur.fetchall())[0]
+
+
+def test_contaminated_rows_go_by_their_text(spark):
+    item = next(r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()
+                if len(ITEM_WORD.findall(r["text"])) >= 10)
+    rows = [(None, f"no id {item}"), (None, "no id and clean"), (1, f"an id {item}"), (1, "the same id and clean"),
+            (2, "clean"), (3, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "digest": F.lit("x"), "n_chars": F.length("text").cast("long")})
+    got = corpus_pipeline.decontaminate(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["text"]) for r in got.collect()} == {x for x in rows if item not in (x[1] or "")}
+    assert got.count() == 5
