@@ -84,4 +84,25 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_context_model, op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.whitening import whiten
+    done = whiten(_table(spark, sf_dir, "embeddings"), components=32)
+    one = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return done.select("vec_id", "n", "deviation", "identity_error", one).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("c.whitened").alias("whitened"),
+        F.col("c.explained").alias("explained"), "identity_error")
+
+
+def op12_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tallyhouse.llm.byte_pair import decode_documents, encode_documents
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    done = decode_documents(encode_documents(_table(spark, sf_dir, "documents"), path), path)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_context_model, op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup, op11_whitening,
+                                  op12_byte_pair)}
