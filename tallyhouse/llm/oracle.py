@@ -1,8 +1,8 @@
 """DuckDB SQL giving the same rows as the queries that SQL can express.
 
 Not expressible, and tested against brute force instead: context trees (op1),
-the trained models (op4, op6, op9), packing (op5), term disclosure (op7) and
-the components of near-duplicates (op10).
+the trained models (op4, op6, op9), packing (op5), term disclosure (op7), the
+components of near-duplicates (op10), eigenvectors (op11) and BPE (op12).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from tallyhouse.llm.quality_rules import BOILERPLATE
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BOILERPLATE = " OR ".join(f"contains(lower(line), '{x}')" for x in BOILERPLATE)
 
@@ -70,4 +71,17 @@ c AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_st
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= CAST(0.3 AS DOUBLE) * n_words AS kept FROM c""",
+    "op13_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS ts FROM documents),
+p AS (SELECT r, doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS t FROM d WHERE len(ts) > 0),
+corpus AS (SELECT count(DISTINCT r) AS docs, count(*) AS total FROM p),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS t FROM benchmark),
+tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM p WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY t, docs),
+v AS (SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))) AS v
+  FROM tf JOIN w USING (t), corpus),
+s AS (SELECT item_id, r, doc_id, CAST(sum(v) AS BIGINT) AS score FROM q JOIN v USING (t) GROUP BY ALL HAVING sum(v) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score FROM s QUALIFY rank <= 10""",
 }

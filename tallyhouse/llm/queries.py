@@ -104,5 +104,13 @@ def op12_byte_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_context_model, op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text, op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup, op11_whitening,
-                                  op12_byte_pair)}
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyhouse.llm.ranked_search import rank_documents
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10).select(
+        F.col("query_id").alias("item_id"), F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_context_model, op2_decontamination, op3_substring_dedup, op4_quality_model, op5_packing, op6_html_text,
+    op7_personal_data, op8_quality_rules, op9_secret_scan, op10_near_dup, op11_whitening, op12_byte_pair,
+    op13_ranked_search)}
