@@ -1,25 +1,100 @@
 """Type-2 slowly changing dimensions and the as-of (validity interval) join.
 
-Parquet has no MERGE, so a run computes the complete next version of the
-dimension: history rows pass through, current rows are compared with the
-incoming valid rows in one full outer join on the business key, and new
-versions are appended with fresh surrogate keys.
+Parquet has no MERGE, so a load writes what changes: current rows are compared
+with the incoming valid rows in one full outer join on the business key, and
+new versions are added with fresh surrogate keys.  ``scd2_apply`` gives the
+whole next dimension as a DataFrame; ``scd2_load`` keeps a stored one, where
+closed versions are never read or written again.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys, max_key, pin
+from tallyhouse.sources.sinks import Store, Version
 
+NEW, CHANGED, AGAIN, KEPT, HELD = "new", "changed", "again", "kept", "held"
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
 
 
+@dataclass(frozen=True)
+class Classified:
+    """The outcome of comparing current versions with incoming rows, written
+    once: what is read from it below re-runs neither side."""
+
+    rows: DataFrame          # __k, kind, __old (the current version), __new (the incoming row)
+    new: int                 # keys never seen
+    changed: int             # current versions to be closed, each with a successor
+    again: int               # known keys that had no current version
+    kept: int                # current versions that stay as they are
+
+    def inserted(self) -> int:
+        return self.new + self.changed + self.again
+
+
+def classify(current: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str],
+             attrs: Sequence[str], require: Sequence[str] = (), known: DataFrame | None = None) -> Classified:
+    """Compare current versions with incoming rows in one full outer join on the
+    business key (one shuffle of each side), with the counts observed while the
+    result is written.  ``known``: keys (as ``__k``) that have been seen but may
+    have no current version.  Incoming rows without a key are left out."""
+    payload = list(dict.fromkeys([*attrs, *require]))
+    new = incoming.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("__k"), F.struct(*payload).alias("__new"))
+    old = current.select(F.col(key).alias("__k"), F.struct(*current.columns).alias("__old"))
+    if known is None:
+        new = new.withColumn("__known", F.lit(False))
+    else:
+        new = new.join(known.select("__k").distinct().withColumn("__known", F.lit(True)), "__k", "left")
+    sound = F.lit(True)
+    for r in require:
+        sound = sound & F.col(f"__new.{r}").isNotNull()
+    differs = F.lit(False)
+    for t in tracked:
+        differs = differs | F.coalesce(F.col(f"__old.{t}") != F.col(f"__new.{t}"), F.lit(False))
+    has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
+    kind = (F.when(has_old & has_new & differs & sound, F.lit(CHANGED)).when(has_old, F.lit(KEPT))
+            .when(sound & F.coalesce("__known", F.lit(False)), F.lit(AGAIN)).when(sound, F.lit(NEW))
+            .otherwise(F.lit(HELD)))
+    seen = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
+    rows = old.join(new, "__k", "full_outer").withColumn("kind", kind).drop("__known").observe(
+        seen, *[F.count_if(F.col("kind") == k).alias(k) for k in (NEW, CHANGED, AGAIN, KEPT)])
+    rows, n = pin(rows, "classified"), seen.get
+    return Classified(rows, n[NEW], n[CHANGED], n[AGAIN], n[KEPT])
+
+
+def closed_versions(c: Classified, columns: Sequence[str], run_date: str) -> DataFrame:
+    """The versions that end the day before ``run_date``."""
+    return c.rows.where(F.col("kind") == CHANGED).select("__old.*").withColumn(
+        VALID_TO, F.date_sub(F.lit(run_date).cast("date"), 1)).withColumn(
+        IS_CURRENT, F.lit(False)).select(*columns)
+
+
+def kept_versions(c: Classified, columns: Sequence[str]) -> DataFrame:
+    return c.rows.where(F.col("kind") == KEPT).select("__old.*").select(*columns)
+
+
+def inserted_versions(c: Classified, columns: Sequence[str], sk: str, key: str, run_date: str,
+                      base_date: str, start: int) -> DataFrame:
+    """New versions with keys from ``start`` on: new members first, then
+    successors, each by business key.  Only these rows are numbered."""
+    rows = c.rows.where(F.col("kind").isin(NEW, CHANGED, AGAIN))
+    rows = rows.select(
+        F.col("__k"), (F.col("kind") != NEW).cast("int").alias("__phase"), "__new.*").withColumns({
+            key: F.col("__k"),
+            VALID_FROM: F.when(F.col("__phase") == 0, F.lit(base_date)).otherwise(F.lit(run_date)).cast("date"),
+            VALID_TO: F.lit(None).cast("date"), IS_CURRENT: F.lit(True)})
+    return assign_keys(rows, sk, ["__phase", "__k"], start=start).select(*columns)
+
+
 def scd2_apply(dim: DataFrame | None, incoming: DataFrame, sk: str, key: str,
                tracked: Sequence[str], attrs: Sequence[str], run_date: str,
                base_date: str, require: Sequence[str] = ()) -> DataFrame:
@@ -38,72 +113,55 @@ def scd2_apply(dim: DataFrame | None, incoming: DataFrame, sk: str, key: str,
     current version.  ``attrs`` are all payload columns (tracked included);
     untracked attributes are never refreshed on unchanged keys.
     """
-    payload = list(dict.fromkeys(list(attrs) + list(require)))
     if dim is None:
-        return _scd2_initial(incoming, sk, key, attrs, base_date, require)
-    inc = incoming.select(F.col(key).alias("__k"), F.lit(1).alias("__in_row"),
-                          *[F.col(a).alias(f"__in_{a}") for a in payload])
-    known = dim.select(F.col(key).alias("__k")).distinct().withColumn("__known", F.lit(True))
-    inc = inc.join(known, "__k", "left")
-
-    cur = dim.where(F.col(IS_CURRENT)).withColumn("__cur_row", F.lit(1))
-    hist = dim.where(~F.col(IS_CURRENT))
-    # one shuffle on the business key for both sides
-    j = cur.withColumn("__k", F.col(key)).join(inc, "__k", "full_outer")
-
-    has_cur = F.col("__cur_row").isNotNull()
-    has_in = F.col("__in_row").isNotNull()
-    req_ok = F.lit(True)
-    for r in require:
-        req_ok = req_ok & F.col(f"__in_{r}").isNotNull()
-    changed = F.lit(False)
-    for t in tracked:
-        changed = changed | F.coalesce(F.col(t) != F.col(f"__in_{t}"), F.lit(False))
-
-    j = j.withColumn("__req", req_ok).withColumn("__chg", has_cur & has_in & changed)
-    dim_cols = dim.columns
-
-    kept = (j.where(has_cur)
-            .withColumn(VALID_TO, F.when(F.col("__chg") & F.col("__req"),
-                                         F.date_sub(F.lit(run_date).cast("date"), 1))
-                        .otherwise(F.col(VALID_TO)))
-            .withColumn(IS_CURRENT, F.when(F.col("__chg") & F.col("__req"), F.lit(False))
-                        .otherwise(F.col(IS_CURRENT)))
-            .select(*dim_cols))
-
-    is_new = has_in & ~has_cur & F.col("__known").isNull()
-    is_next = has_in & (F.col("__known").isNotNull()) & (~has_cur | F.col("__chg"))
-    ins = (j.where(F.col("__req") & (is_new | is_next))
-           .withColumn("__phase", F.when(is_new, F.lit(0)).otherwise(F.lit(1)))
-           .withColumn(VALID_FROM, F.when(is_new, F.lit(base_date).cast("date"))
-                       .otherwise(F.lit(run_date).cast("date")))
-           .withColumn(VALID_TO, F.lit(None).cast("date"))
-           .withColumn(IS_CURRENT, F.lit(True))
-           .select(F.col("__k").alias(key),
-                   *[F.col(f"__in_{a}").alias(a) for a in attrs if a != key],
-                   *[F.col(f"__in_{r}").alias(r) for r in require if r not in attrs],
-                   VALID_FROM, VALID_TO, IS_CURRENT, "__phase"))
-    start = max_key(dim, sk) + 1
-    ins = assign_keys(ins, sk, ["__phase", key], start=start).drop("__phase")
+        dim = empty_dimension(incoming, sk, key, attrs, require)
+        c = classify(dim, incoming, key, tracked, attrs, require)
+        return pin(inserted_versions(c, dim.columns, sk, key, run_date, base_date, 1), "scd2")
+    columns, past = dim.columns, dim.where(~F.col(IS_CURRENT))
+    c = classify(dim.where(F.col(IS_CURRENT)), incoming, key, tracked, attrs, require,
+                 known=past.select(F.col(key).alias("__k")))
+    out = past.unionByName(kept_versions(c, columns)).unionByName(closed_versions(c, columns, run_date))
+    if c.inserted():
+        out = out.unionByName(inserted_versions(c, columns, sk, key, run_date, base_date, max_key(dim, sk) + 1))
     # the next version is a table in its own right: pin it (written to the
     # shared folder), so facts joining it neither re-run the comparison with
     # staging nor carry its lineage
-    return pin(hist.select(*dim_cols).unionByName(kept).unionByName(ins.select(*dim_cols)), "scd2")
+    return pin(out, "scd2")
 
 
-def _scd2_initial(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str], base_date: str,
-                  require: Sequence[str]) -> DataFrame:
-    """First load: every incoming key is new (valid from ``base_date``)."""
-    ok = F.lit(True)
-    for r in require:
-        ok = ok & F.col(r).isNotNull()
-    cols = [key] + [a for a in attrs if a != key] + [r for r in require if r not in attrs]
-    ins = (incoming.where(ok).select(*cols)
-           .withColumn(VALID_FROM, F.lit(base_date).cast("date"))
-           .withColumn(VALID_TO, F.lit(None).cast("date"))
-           .withColumn(IS_CURRENT, F.lit(True)))
-    out = assign_keys(ins, sk, [key], start=1)
-    return pin(out.select(sk, *cols, VALID_FROM, VALID_TO, IS_CURRENT), "scd2")
+def empty_dimension(incoming: DataFrame, sk: str, key: str, attrs: Sequence[str],
+                    require: Sequence[str] = ()) -> DataFrame:
+    """A dimension without rows, with the columns of the first load."""
+    columns = [key] + [a for a in attrs if a != key] + [r for r in require if r not in attrs]
+    return incoming.limit(0).select(
+        F.lit(0).cast("long").alias(sk), *columns, F.lit(None).cast("date").alias(VALID_FROM),
+        F.lit(None).cast("date").alias(VALID_TO), F.lit(True).alias(IS_CURRENT))
+
+
+def scd2_load(store: Store, table: str, version: Version | None, incoming: DataFrame, sk: str, key: str,
+              tracked: Sequence[str], attrs: Sequence[str], run_date: str, base_date: str,
+              require: Sequence[str] = ()) -> tuple[Version, Classified]:
+    """One load of a stored dimension, whose versions stand in two kinds of
+    parts: ``closed`` and ``current``.
+
+    Only the current ones are read and written anew (every known key has one);
+    versions that close now become a further closed part, and parts closed by
+    earlier loads are neither read nor touched.  A load that changes nothing
+    writes nothing and returns the version it was given.
+    """
+    first = version is None
+    current = (empty_dimension(incoming, sk, key, attrs, require) if first
+               else store.read(table, version, ["current"]))
+    version = version or Version({"closed": [], "current": []})
+    c = classify(current, incoming, key, tracked, attrs, require)
+    if not first and not c.inserted():
+        return version, c
+    columns, parts = current.columns, dict(version.parts)
+    added = inserted_versions(c, columns, sk, key, run_date, base_date, version.max_key + 1)
+    if c.changed:
+        parts["closed"] = [*parts["closed"], store.write(closed_versions(c, columns, run_date), table, "closed")]
+    parts["current"] = [store.write(kept_versions(c, columns).unionByName(added), table, "current")]
+    return Version(parts, version.max_key + c.inserted()), c
 
 
 def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,

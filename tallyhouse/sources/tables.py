@@ -5,24 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.session import session_key
-
-
-_SCANS: dict = {}
-
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Scan ``{base}/{name}.parquet``; column pruning and filter pushdown are
     left to the optimiser (projections and filters reach the Parquet scan).
-
-    The DataFrame is reused within a session (file listing and footer reads
-    happen once); it is immutable, so sharing it is safe."""
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    key = (session_key(spark), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    The files are listed anew, so those added since the last call are read."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 def stamp(df: DataFrame, source: str, loaded_at: str) -> DataFrame:
