@@ -62,17 +62,19 @@ def insert_new(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
     if mode not in ("insert", "upsert"):
         raise ValueError(f"mode must be 'insert' or 'upsert', not {mode!r}")
     if dim is None:
-        new = incoming
-        start = 1
-    else:
-        new = incoming.join(dim.select(*keys), keys, "left_anti")
-        start = max_key(dim, sk) + 1
-    new = assign_keys(new, sk, order_by or keys, start=start)
-    if dim is None:
-        return new
+        return assign_keys(incoming, sk, order_by or keys)
+    new = new_members(dim, incoming, keys, sk, max_key(dim, sk) + 1, order_by)
     return dim.unionByName(new.select(*dim.columns))
 
 
+def new_members(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], sk: str | None, start: int,
+                order_by: Sequence[str] | None = None) -> DataFrame:
+    """The incoming rows whose business key is not in ``dim``, numbered from
+    ``start`` on: what a load adds (without ``sk``: not numbered)."""
+    new = incoming.join(dim.select(*keys), list(keys), "left_anti")
+    return assign_keys(new, sk, order_by or list(keys), start=start) if sk else new
+
+
 def _upsert(dim: DataFrame, incoming: DataFrame, keys: list[str], sk: str,
             order_by: Sequence[str] | None) -> DataFrame:
     """Type-1 merge: one shuffle join on the business key; matched rows take

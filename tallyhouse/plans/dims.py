@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
+from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,79 +50,105 @@ def calendar(spark: SparkSession, start: str, end: str, existing: DataFrame | No
     return out
 
 
-# --- D2 geography ---------------------------------------------------------------------
+# --- D2-D7 insert-only dimensions -----------------------------------------------------
 
+@dataclass(frozen=True)
+class Members:
+    """An insert-only dimension: surrogate key, business key, columns, and a
+    literal unknown member if it has one."""
 
-def geography(customers: DataFrame, stores: DataFrame, suppliers: DataFrame,
-              existing: DataFrame | None = None, supplier_region: str = C.SUPPLIER_REGION,
-              country: str = C.COUNTRY) -> DataFrame:
+    sk: str
+    key: tuple[str, ...]
+    columns: tuple[str, ...]
+    unknown: Mapping | None = None
+
+    def load(self, existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
+        """The dimension after a load: members not seen before are added."""
+        dim = insert_new(existing, incoming, list(self.key), self.sk).select(*self.columns)
+        return with_unknown(dim, self.unknown) if existing is None and self.unknown else dim
+
+
+# fixed values: the member for sales without a campaign
+PROMOTION_UNKNOWN = {"promotion_key": C.UNKNOWN_KEY, "campaign_id": C.UNKNOWN_KEY,
+                     "name": "Sin Promoción", "kind": "N/A", "start_date": None, "end_date": None}
+
+GEOGRAPHY = Members("geography_key", ("city", "region"), ("geography_key", "city", "region", "country"))
+PROMOTION = Members("promotion_key", ("campaign_id",), (
+    "promotion_key", "campaign_id", "name", "kind", "start_date", "end_date"), PROMOTION_UNKNOWN)
+CHANNEL = Members("channel_key", ("channel_id",), ("channel_key", "channel_id", "name", "description"))
+SUPPLIER = Members("supplier_key", ("supplier_id",), (
+    "supplier_key", "supplier_id", "name", "tax_id", "city", "contact", "phone", "geography_key"))
+STORE = Members("store_key", ("store_id",), (
+    "store_key", "store_id", "name", "city", "region", "address", "phone", "opened", "geography_key"))
+SALESPERSON = Members("salesperson_key", ("salesperson_id",), (
+    "salesperson_key", "salesperson_id", "first_name", "last_name", "full_name", "store_key", "hired"))
+
+
+def geography_rows(customers: DataFrame, stores: DataFrame, suppliers: DataFrame,
+                   supplier_region: str = C.SUPPLIER_REGION, country: str = C.COUNTRY) -> DataFrame:
     """Distinct trimmed (city, region) over customers, stores and suppliers
-    (suppliers carry no region: a constant is used), insert-only."""
+    (suppliers carry no region: a constant is used)."""
     parts = [
         customers.select(clean_trim("city").alias("city"), clean_trim("region").alias("region")),
         stores.select(clean_trim("city").alias("city"), clean_trim("region").alias("region")),
         suppliers.select(clean_trim("city").alias("city"), F.lit(supplier_region).alias("region")),
     ]
-    incoming = union_distinct(parts).withColumn("country", F.lit(country))
-    return insert_new(existing, incoming, ["city", "region"], "geography_key",
-                      order_by=["city", "region"]).select(
-        "geography_key", "city", "region", "country")
+    return union_distinct(parts).withColumn("country", F.lit(country))
 
 
-# --- D3-D7 insert-only dimensions ---------------------------------------------------
-
-PROMOTION_UNKNOWN = {"promotion_key": C.UNKNOWN_KEY, "campaign_id": C.UNKNOWN_KEY,
-                     "name": "Sin Promoción", "kind": "N/A", "start_date": None, "end_date": None}
+def geography(customers: DataFrame, stores: DataFrame, suppliers: DataFrame,
+              existing: DataFrame | None = None, supplier_region: str = C.SUPPLIER_REGION,
+              country: str = C.COUNTRY) -> DataFrame:
+    """D2, insert-only."""
+    return GEOGRAPHY.load(existing, geography_rows(customers, stores, suppliers, supplier_region, country))
 
 
 def promotion(campaigns: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """D3: campaigns, insert-only, plus the unknown member (key -1)."""
-    inc = campaigns.select("campaign_id", "name", "kind", "start_date", "end_date")
-    if existing is None:
-        dim = insert_new(None, inc, "campaign_id", "promotion_key")
-        dim = dim.select("promotion_key", "campaign_id", "name", "kind", "start_date", "end_date")
-        return with_unknown(dim, PROMOTION_UNKNOWN)
-    return insert_new(existing, inc, "campaign_id", "promotion_key")
+    return PROMOTION.load(existing, campaigns.select("campaign_id", "name", "kind", "start_date", "end_date"))
 
 
 def channel(channels: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Sales channels, insert-only."""
-    inc = channels.select("channel_id", "name", "description")
-    return insert_new(existing, inc, "channel_id", "channel_key").select(
-        "channel_key", "channel_id", "name", "description")
+    return CHANNEL.load(existing, channels.select("channel_id", "name", "description"))
 
 
-def supplier(suppliers: DataFrame, geo: DataFrame, existing: DataFrame | None = None,
-             supplier_region: str = C.SUPPLIER_REGION) -> DataFrame:
-    """Suppliers with the geography of (trimmed city, constant region)."""
+def supplier_rows(suppliers: DataFrame, geo: DataFrame, supplier_region: str = C.SUPPLIER_REGION) -> DataFrame:
+    """Suppliers with the geography of (trimmed city, constant region)."""
     g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
     inc = suppliers.join(g, (clean_trim("city") == g["__gc"]) & (F.lit(supplier_region) == g["__gr"]))
-    inc = inc.select("supplier_id", "name", "tax_id", "city", "contact", "phone", "geography_key")
-    return insert_new(existing, inc, "supplier_id", "supplier_key").select(
-        "supplier_key", "supplier_id", "name", "tax_id", "city", "contact", "phone", "geography_key")
+    return inc.select("supplier_id", "name", "tax_id", "city", "contact", "phone", "geography_key")
 
 
-def store(stores: DataFrame, geo: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Stores with the geography of trimmed (city, region)."""
+def supplier(suppliers: DataFrame, geo: DataFrame, existing: DataFrame | None = None,
+             supplier_region: str = C.SUPPLIER_REGION) -> DataFrame:
+    """D5, insert-only."""
+    return SUPPLIER.load(existing, supplier_rows(suppliers, geo, supplier_region))
+
+
+def store_rows(stores: DataFrame, geo: DataFrame) -> DataFrame:
+    """Stores with the geography of trimmed (city, region)."""
     g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
     inc = stores.join(g, (clean_trim("city") == g["__gc"]) & (clean_trim("region") == g["__gr"]))
-    inc = inc.select("store_id", "name", "city", "region", "address", "phone", "opened",
-                     "geography_key")
-    return insert_new(existing, inc, "store_id", "store_key").select(
-        "store_key", "store_id", "name", "city", "region", "address", "phone", "opened",
-        "geography_key")
+    return inc.select("store_id", "name", "city", "region", "address", "phone", "opened", "geography_key")
+
+
+def store(stores: DataFrame, geo: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """D6, insert-only."""
+    return STORE.load(existing, store_rows(stores, geo))
+
+
+def salesperson_rows(salespeople: DataFrame, dim_store: DataFrame) -> DataFrame:
+    """Salespeople with the key of their store and a full name."""
+    inc = lookup(salespeople, dim_store, ("store_id", "store_id"), {"store_key": "store_key"})
+    return inc.select("salesperson_id", "first_name", "last_name",
+                      concat_blank("first_name", "last_name").alias("full_name"), "store_key", "hired")
 
 
 def salesperson(salespeople: DataFrame, dim_store: DataFrame,
                 existing: DataFrame | None = None) -> DataFrame:
-    """Salespeople with the key of their store and a full name."""
-    inc = lookup(salespeople, dim_store, ("store_id", "store_id"), {"store_key": "store_key"})
-    inc = inc.select("salesperson_id", "first_name", "last_name",
-                     concat_blank("first_name", "last_name").alias("full_name"),
-                     "store_key", "hired")
-    return insert_new(existing, inc, "salesperson_id", "salesperson_key").select(
-        "salesperson_key", "salesperson_id", "first_name", "last_name", "full_name",
-        "store_key", "hired")
+    """D7, insert-only."""
+    return SALESPERSON.load(existing, salesperson_rows(salespeople, dim_store))
 
 
 # --- D8, D9 SCD2 dimensions -----------------------------------------------------------
@@ -128,19 +156,22 @@ def salesperson(salespeople: DataFrame, dim_store: DataFrame,
 CUSTOMER_ATTRS = ["first_name", "last_name", "full_name", "doc_type", "doc_number", "city",
                   "region", "segment", "geography_key"]
 CUSTOMER_TRACKED = ["city", "region", "segment"]
-CUSTOMER_SCHEMA = ("customer_key long, customer_id long, first_name string, last_name string, "
-                   "full_name string, doc_type string, doc_number string, city string, "
-                   "region string, segment string, geography_key long, valid_from date, "
-                   "valid_to date, is_current boolean")
-
 PRODUCT_ATTRS = ["code", "name", "description", "category_id", "category_name", "sale_price",
                  "cost_price", "gross_margin", "margin_pct", "unit", "min_stock"]
 PRODUCT_TRACKED = ["sale_price", "cost_price", "category_name"]
-PRODUCT_SCHEMA = ("product_key long, product_id long, code string, name string, "
-                  "description string, category_id int, category_name string, "
-                  "sale_price decimal(12,2), cost_price decimal(12,2), "
-                  "gross_margin decimal(12,2), margin_pct decimal(6,2), unit string, "
-                  "min_stock int, valid_from date, valid_to date, is_current boolean")
+
+def customer_rows(validated: DataFrame, geo: DataFrame) -> DataFrame:
+    """Valid customers with the geography of (city, region), NULL without one."""
+    inc = valid(validated).select(
+        "customer_id", "first_name", "last_name",
+        concat_blank("first_name", "last_name").alias("full_name"),
+        "doc_type", "doc_number", "city", "region", "segment")
+    g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
+    return inc.join(g, (F.col("city") == g["__gc"]) & (F.col("region") == g["__gr"]), "left").drop("__gc", "__gr")
+
+
+CUSTOMER = {"sk": "customer_key", "key": "customer_id", "tracked": CUSTOMER_TRACKED, "attrs": CUSTOMER_ATTRS,
+            "require": ["geography_key"]}
 
 
 def customer_scd2(dim: DataFrame | None, validated: DataFrame, geo: DataFrame, run_date: str,
@@ -148,29 +179,26 @@ def customer_scd2(dim: DataFrame | None, validated: DataFrame, geo: DataFrame, r
     """Customers, history on (city, region, segment).  Incoming rows
     need a geography row for (city, region); without it no version is
     inserted (and a changed current version is left open)."""
-    inc = valid(validated).select(
-        "customer_id", "first_name", "last_name",
-        concat_blank("first_name", "last_name").alias("full_name"),
-        "doc_type", "doc_number", "city", "region", "segment")
-    g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
-    inc = inc.join(g, (F.col("city") == g["__gc"]) & (F.col("region") == g["__gr"]), "left") \
-        .drop("__gc", "__gr")
-    return scd2_apply(dim, inc, "customer_key", "customer_id", CUSTOMER_TRACKED,
-                      CUSTOMER_ATTRS, run_date, base_date, require=["geography_key"])
+    return scd2_apply(dim, customer_rows(validated, geo), run_date=run_date, base_date=base_date, **CUSTOMER)
 
 
-def product_scd2(dim: DataFrame | None, validated: DataFrame, run_date: str,
-                 base_date: str) -> DataFrame:
-    """Products, history on (sale price, cost price, category name),
-    with gross margin and margin % (rounded once to 2 decimals)."""
+def product_rows(validated: DataFrame) -> DataFrame:
+    """Valid products with gross margin and margin % (rounded once to 2 decimals)."""
     margin = F.col("sale_price") - F.col("cost_price")
-    inc = valid(validated).select(
+    return valid(validated).select(
         "product_id", "code", "name", "description", "category_id", "category_name",
         "sale_price", "cost_price", margin.cast("decimal(12,2)").alias("gross_margin"),
         pct(margin, F.col("sale_price")).cast("decimal(6,2)").alias("margin_pct"),
         "unit", F.col("min_stock").cast("int").alias("min_stock"))
-    return scd2_apply(dim, inc, "product_key", "product_id", PRODUCT_TRACKED, PRODUCT_ATTRS,
-                      run_date, base_date)
+
+
+PRODUCT = {"sk": "product_key", "key": "product_id", "tracked": PRODUCT_TRACKED, "attrs": PRODUCT_ATTRS}
+
+
+def product_scd2(dim: DataFrame | None, validated: DataFrame, run_date: str,
+                 base_date: str) -> DataFrame:
+    """Products, history on (sale price, cost price, category name)."""
+    return scd2_apply(dim, product_rows(validated), run_date=run_date, base_date=base_date, **PRODUCT)
 
 
 def current(dim: DataFrame) -> DataFrame:

@@ -318,45 +318,93 @@ LEFT JOIN (SELECT DISTINCT sale_id, product_id FROM src_sale_lines) hp
   ON r.sale_id = hp.sale_id AND r.product_id = hp.product_id) a) b) x""",
                                        "src_returns", "src_sales", "src_sale_lines")
 
-# --- pipeline log: one row per step with the rows it wrote, read, loaded, rejected ---
-from tallyhouse.plans.pipeline import RUN, RUN_PHASE, STEPS  # noqa: E402
-
-_COUNT_SRC = {"fact_inventory": "(SELECT * FROM fact_inventory_base UNION ALL SELECT * FROM fact_inventory_orphans)",
-              "quality_summary": "(SELECT DISTINCT table_name FROM (" + _TAGGED + ") t)"}
-_READ_SRC = {"fact_sales": f"(SELECT COUNT(*) FROM stg_sales WHERE stg_status = {_VALID})",
-             "fact_inventory": f"((SELECT COUNT(*) FROM stg_inventory WHERE stg_status = {_VALID}) + "
-                               f"(SELECT COUNT(*) FROM stg_adjustments WHERE stg_status = {_VALID}))",
-             "fact_goals": f"(SELECT COUNT(*) FROM stg_goals WHERE stg_status = {_VALID})",
-             "fact_returns": f"(SELECT COUNT(*) FROM stg_returns WHERE stg_status = {_VALID})",
-             "fact_purchases": f"(SELECT COUNT(*) FROM stg_purchases WHERE stg_status = {_VALID})",
-             "fact_profitability": "(SELECT COUNT(*) FROM fact_sales)"}
-
-
-def _log_row(i: int, step) -> str:
-    src = _COUNT_SRC.get(step.name, step.name)
-    head = f"SELECT {i} AS log_id, {q(step.name)} AS step, {q(step.phase)} AS phase, {q(C.SUCCEEDED)} AS status, "
-    tail = "CAST(NULL AS VARCHAR) AS message"
-    if step.name.startswith("stg_"):
-        return (head + "CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS rows_read, "
-                f"CAST(COUNT(*) FILTER (WHERE stg_status = {_VALID}) AS BIGINT) AS rows_loaded, "
-                f"CAST(COUNT(*) FILTER (WHERE stg_status = {_REJ}) AS BIGINT) AS rows_rejected, {tail} FROM {src} x")
-    if step.name in _READ_SRC:
-        rd = _READ_SRC[step.name]
-        return (head + "CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(" + rd + " AS BIGINT) AS rows_read, "
-                "CAST(COUNT(*) AS BIGINT) AS rows_loaded, CAST(" + rd + " - COUNT(*) AS BIGINT) AS rows_rejected, "
-                f"{tail} FROM {src} x")
-    return (head + "CAST(COUNT(*) AS BIGINT) AS rows_written, CAST(COUNT(*) AS BIGINT) AS rows_read, "
-            f"CAST(COUNT(*) AS BIGINT) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected, {tail} FROM {src} x")
-
-
-_needs = [s.name for s in STEPS if s.name not in _COUNT_SRC] + ["fact_inventory_base",
-                                                                  "fact_inventory_orphans", *STG]
-_RUN_ROW = (f"SELECT 1 AS log_id, {q(RUN)} AS step, {q(RUN_PHASE)} AS phase, {q(C.SUCCEEDED)} AS status, "
-            "CAST(NULL AS BIGINT) AS rows_written, CAST(NULL AS BIGINT) AS rows_read, "
-            "CAST(NULL AS BIGINT) AS rows_loaded, CAST(NULL AS BIGINT) AS rows_rejected, "
+# --- pipeline log of two runs: counts derived from sources and staging ------------------
+from tallyhouse.plans.pipeline import DIMENSIONS, RUN, RUN_PHASE, STEPS  # noqa: E402
+
+
+def _n(table: str, where: str = "true") -> str:
+    return f"(SELECT count(*) FROM {table} WHERE {where})"
+
+
+_OK = f"stg_status = {_VALID}"
+_PLACES = ("(SELECT trim(city) AS city, trim(region) AS region FROM {customers} UNION SELECT trim(city), trim(region) "
+           f"FROM src_stores UNION SELECT trim(city), {q(C.SUPPLIER_REGION)} FROM src_suppliers)")
+_OLD_PLACES, _ALL_PLACES = (_PLACES.format(customers=c) for c in ("src_customers_v1", "src_customers"))
+_PLACED = "EXISTS (SELECT 1 FROM {places} g WHERE g.city = {s}.city AND g.region = {s}.region)"
+# customers and products that the second run adds or changes: no valid row before, or another one
+_NEXT_CUSTOMERS = f"""(SELECT s.* FROM stg_customers s LEFT JOIN (SELECT * FROM stg_customers_v1 o
+  WHERE {_OK} AND {_PLACED.format(places=_OLD_PLACES, s='o')}) o ON o.customer_id = s.customer_id
+  WHERE s.{_OK} AND {_PLACED.format(places=_ALL_PLACES, s='s')}
+  AND (o.customer_id IS NULL OR o.city <> s.city OR o.region <> s.region OR o.segment <> s.segment))"""
+_NEXT_PRODUCTS = f"""(SELECT s.* FROM stg_products s LEFT JOIN (SELECT * FROM stg_products_v1 WHERE {_OK}) o USING (product_id)
+  WHERE s.{_OK} AND (o.sale_price IS NULL OR o.sale_price <> s.sale_price OR o.cost_price <> s.cost_price
+                     OR o.category_name <> s.category_name))"""
+_SUP_PLACED = _n("src_suppliers s", f"EXISTS (SELECT 1 FROM {_ALL_PLACES} g WHERE g.city = trim(s.city) "
+                                    f"AND g.region = {q(C.SUPPLIER_REGION)})")
+_SALESPEOPLE = _n("src_salespeople p", "EXISTS (SELECT 1 FROM src_stores t WHERE t.store_id = p.store_id)")
+
+
+def _dim(loaded: str, read: str | None = None, written: str | None = None) -> tuple[str, str, str, str]:
+    return written or loaded, read or loaded, loaded, "0"
+
+
+_FIRST = {
+    "dim_date": _dim(_n("dim_date")), "dim_geography": _dim(_n(_OLD_PLACES)),
+    "dim_promotion": _dim(_n("src_campaigns"), _n("src_campaigns"), f"({_n('src_campaigns')} + 1)"),
+    "dim_channel": _dim(_n("src_channels")), "dim_supplier": _dim(_SUP_PLACED, _n("src_suppliers")),
+    "dim_store": _dim(_n("src_stores")), "dim_salesperson": _dim(_SALESPEOPLE, _n("src_salespeople")),
+    "dim_customer": _dim(_n("stg_customers_v1 s", f"{_OK} AND {_PLACED.format(places=_OLD_PLACES, s='s')}"),
+                         _n("stg_customers_v1", _OK)),
+    "dim_product": _dim(_n("stg_products_v1", _OK))}
+_SECOND = {
+    "dim_date": _dim("0"), "dim_promotion": _dim("0", _n("src_campaigns")),
+    "dim_geography": _dim(f"({_n(_ALL_PLACES)} - {_n(_OLD_PLACES)})"),
+    "dim_channel": _dim("0", _n("src_channels")), "dim_supplier": _dim("0", _n("src_suppliers")),
+    "dim_store": _dim("0", _n("src_stores")), "dim_salesperson": _dim("0", _n("src_salespeople")),
+    "dim_customer": _dim(_n(_NEXT_CUSTOMERS), _n("stg_customers", _OK)),
+    "dim_product": _dim(_n(_NEXT_PRODUCTS), _n("stg_products", _OK)),
+    "quality_summary": _dim("8")}
+_INVENTORY = "(SELECT 1 FROM fact_inventory_base UNION ALL SELECT 1 FROM fact_inventory_orphans)"
+_FACT_READS = {"fact_sales": ("fact_sales", _n("stg_sales", _OK)),
+               "fact_inventory": (_INVENTORY, f"({_n('stg_inventory', _OK)} + {_n('stg_adjustments', _OK)})"),
+               "fact_goals": ("fact_goals", _n("stg_goals", _OK)),
+               "fact_returns": ("fact_returns", _n("stg_returns", _OK)),
+               "fact_purchases": ("fact_purchases", _n("stg_purchases", _OK)),
+               "fact_profitability": ("fact_profitability", _n("fact_sales"))}
+
+
+def _step_counts(name: str, run: int) -> tuple[str, str, str, str]:
+    """written, read, loaded, rejected"""
+    if name.startswith("stg_"):
+        t = name + ("_v1" if run == 1 else "")
+        return _n(t), _n(t), _n(t, _OK), _n(t, f"stg_status = {_REJ}")
+    if name in _FACT_READS:
+        table, read = _FACT_READS[name]
+        return _n(table), read, _n(table), f"({read} - {_n(table)})"
+    return (_FIRST if run == 1 else _SECOND)[name]
+
+
+def _log_row(i: int, name: str, phase: str, counts: tuple) -> str:
+    shown = ", ".join(f"CAST({x} AS BIGINT) AS rows_{w}" for x, w in zip(
+        counts, ("written", "read", "loaded", "rejected")))
+    return (f"SELECT {i} AS log_id, {q(name)} AS step, {q(phase)} AS phase, {q(C.SUCCEEDED)} AS status, {shown}, "
             "CAST(NULL AS VARCHAR) AS message")
-ORACLE["pipeline_log"] = sql(" UNION ALL ".join([_RUN_ROW, *(_log_row(i, s) for i, s in enumerate(STEPS, start=2))]),
-                             *_needs)
+
+
+_rows, _i = [], 0
+for _run, _names in ((1, ["stg_products", "stg_customers", *DIMENSIONS]), (2, [s.name for s in STEPS])):
+    _i += 1
+    _rows.append(_log_row(_i, RUN, RUN_PHASE, ("NULL",) * 4))
+    for _step in STEPS:
+        if _step.name in _names:
+            _i += 1
+            _rows.append(_log_row(_i, _step.name, _step.phase, _step_counts(_step.name, _run)))
+ORACLE["pipeline_log"] = sql(" UNION ALL ".join(_rows), *STG, "stg_customers_v1", "stg_products_v1", "dim_date",
+                             "src_channels", "src_salespeople", "src_campaigns", *_FACT_READS.keys() - {"fact_inventory"},
+                             "fact_inventory_base", "fact_inventory_orphans")
+ORACLE["stored_customers_two_runs"] = ORACLE["scd2_customer"]
+ORACLE["stored_products_two_runs"] = ORACLE["scd2_product"]
+ORACLE["rerun_returns_fact"] = ORACLE["fact_returns"]
 
 # --- opt-in rules X2-X5, X7 ------------------------------------------------------------
 from tallyhouse.plans import standin as _S  # noqa: E402

@@ -4,11 +4,11 @@ Five phases in dependency order - extract+validate, dimensions, facts,
 derived facts, report - each step builds one table and writes it as a new
 version (``sources.sinks.overwrite``: readers keep the old version until the
 new one is committed).  Row counts come from ``DataFrame.observe`` on the
-write itself (staging: rows read, valid = loaded, rejected), so logging costs
-no extra scan; a fact step also counts its valid staging input, and
-rejected = read - loaded is the load reconciliation.  The run stops at the first
-failing step; the log names it and its phase.  ``run_step`` rebuilds a single
-table.  Scheduling, retries and parallel step control are left to whatever
+write itself (staging: rows read, valid = loaded, rejected; dimensions: new
+members and closed versions), so logging costs no extra scan of the output; a
+fact step also counts its valid staging input, and rejected = read - loaded is
+the load reconciliation.  The run stops at the first failing step; the log names
+it and its phase.  ``run_step`` rebuilds a single table from committed inputs.  Scheduling, retries and parallel step control are left to whatever
 runs the job (the dependency order here is the data dependency).
 """
 
@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
 from tallyhouse.operators.rules import STATUS, valid
+from tallyhouse.plans.stored import LOADS, Counts, Run
 from tallyhouse.plans.warehouse import Warehouse
-from tallyhouse.sources.sinks import append_log, overwrite
+from tallyhouse.sources.sinks import Conflict, Version, append_log
 
 LOG_SCHEMA = ("log_id int, step string, phase string, started_at timestamp, finished_at timestamp, "
               "status string, rows_written long, rows_read long, rows_loaded long, rows_rejected long, "
@@ -43,7 +44,7 @@ class StepFailed(RuntimeError):
 class Step:
     name: str
     phase: str
-    build: Callable[[Warehouse], DataFrame]
+    build: Callable[[Warehouse], DataFrame] | None = None
     # optional pre-commit check: a DataFrame of violating rows (must be empty)
     check: Callable[[Warehouse, DataFrame], DataFrame] | None = None
     # facts are written partitioned by month of date_key (partition pruning
@@ -52,6 +53,8 @@ class Step:
     # input whose row count is "rows read" (facts: their valid staging rows);
     # rejected = read - loaded, the load reconciliation
     reads: Callable[[Warehouse], DataFrame] | None = None
+    # dimensions: adds to the stored version instead of writing a new table
+    load: Callable[[Run], Counts] | None = None
 
 
 def _date_fk(w: Warehouse, df: DataFrame) -> DataFrame:
@@ -70,55 +73,44 @@ def _nonempty_refs(w: Warehouse, df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
+STAGING = ["stg_sales", "stg_products", "stg_customers", "stg_inventory", "stg_returns", "stg_purchases",
+           "stg_goals", "stg_adjustments"]
+DIMENSIONS = ["dim_date", "dim_geography", "dim_promotion", "dim_channel", "dim_supplier", "dim_store",
+              "dim_salesperson", "dim_customer", "dim_product"]
+
+
+def _plan(name: str) -> Callable[[Run], DataFrame]:
+    return lambda r: r.plan(name)
+
+
 STEPS: list[Step] = [
-    Step("stg_sales", "1-staging", lambda w: w.stg_sales, _nonempty_refs),
-    Step("stg_products", "1-staging", lambda w: w.stg_products),
-    Step("stg_customers", "1-staging", lambda w: w.stg_customers),
-    Step("stg_inventory", "1-staging", lambda w: w.stg_inventory),
-    Step("stg_returns", "1-staging", lambda w: w.stg_returns),
-    Step("stg_purchases", "1-staging", lambda w: w.stg_purchases),
-    Step("stg_goals", "1-staging", lambda w: w.stg_goals),
-    Step("stg_adjustments", "1-staging", lambda w: w.stg_adjustments),
-    Step("dim_date", "2-dimensions", lambda w: w.dim_date),
-    Step("dim_geography", "2-dimensions", lambda w: w.dim_geography),
-    Step("dim_promotion", "2-dimensions", lambda w: w.dim_promotion),
-    Step("dim_channel", "2-dimensions", lambda w: w.dim_channel),
-    Step("dim_supplier", "2-dimensions", lambda w: w.dim_supplier),
-    Step("dim_store", "2-dimensions", lambda w: w.dim_store),
-    Step("dim_salesperson", "2-dimensions", lambda w: w.dim_salesperson),
-    Step("dim_customer", "2-dimensions", lambda w: w.dim_customer),
-    Step("dim_product", "2-dimensions", lambda w: w.dim_product),
-    Step("fact_sales", "3-facts", lambda w: w.fact_sales, _date_fk, True,
-         lambda w: valid(w.stg_sales)),
-    Step("fact_inventory", "3-facts", lambda w: w.fact_inventory, _date_fk, True,
+    *[Step(n, "1-staging", _plan(n), _nonempty_refs if n == "stg_sales" else None) for n in STAGING],
+    *[Step(n, "2-dimensions", load=LOADS[n]) for n in DIMENSIONS],
+    Step("fact_sales", "3-facts", _plan("fact_sales"), _date_fk, True, lambda w: valid(w.stg_sales)),
+    Step("fact_inventory", "3-facts", _plan("fact_inventory"), _date_fk, True,
          lambda w: valid(w.stg_inventory).select(F.lit(1).alias("x"))
          .unionByName(valid(w.stg_adjustments).select(F.lit(1).alias("x")))),
-    Step("fact_goals", "3-facts", lambda w: w.fact_goals, _date_fk, True,
-         lambda w: valid(w.stg_goals)),
-    Step("fact_returns", "3-facts", lambda w: w.fact_returns, _date_fk, True,
-         lambda w: valid(w.stg_returns)),
-    Step("fact_purchases", "3-facts", lambda w: w.fact_purchases, _date_fk, True,
-         lambda w: valid(w.stg_purchases)),
-    Step("fact_profitability", "4-derived", lambda w: w.fact_profitability, _date_fk, True,
-         lambda w: w.fact_sales),
+    Step("fact_goals", "3-facts", _plan("fact_goals"), _date_fk, True, lambda w: valid(w.stg_goals)),
+    Step("fact_returns", "3-facts", _plan("fact_returns"), _date_fk, True, lambda w: valid(w.stg_returns)),
+    Step("fact_purchases", "3-facts", _plan("fact_purchases"), _date_fk, True, lambda w: valid(w.stg_purchases)),
+    Step("fact_profitability", "4-derived", _plan("fact_profitability"), _date_fk, True, lambda w: w.fact_sales),
     Step("quality_summary", "5-report", lambda w: _report(w)),
 ]
 
 
 def _report(w: Warehouse) -> DataFrame:
     from tallyhouse.plans.quality import quality_summary
-    return quality_summary({n: getattr(w, n) for n in
-                            ["stg_sales", "stg_products", "stg_customers", "stg_inventory",
-                             "stg_returns", "stg_purchases", "stg_goals", "stg_adjustments"]})
+    return quality_summary({n: getattr(w, n) for n in STAGING})
 
 
-def _write_step(w: Warehouse, step: Step, out_base: str) -> tuple[int, int, int, int]:
-    """Write one step; returns (written, read, loaded, rejected)."""
+def _write_step(run: Run, w, step: Step) -> Counts:
+    """Run one step: a dimension is loaded into its stored version, any other
+    table is written as a new one."""
+    if step.load is not None:
+        return step.load(run)
     df = step.build(w)
-    if step.check is not None:
-        bad = step.check(w, df).limit(1).count()
-        if bad:
-            raise StepFailed(f"{step.name}: pre-commit check failed; previous version kept")
+    if step.check is not None and not step.check(w, df).isEmpty():
+        raise StepFailed(f"{step.name}: pre-commit check failed; previous version kept")
     obs = Observation(f"obs_{step.name}")
     metrics = [F.count(F.lit(1)).alias("rows")]
     staged = STATUS in df.columns
@@ -131,33 +123,39 @@ def _write_step(w: Warehouse, step: Step, out_base: str) -> tuple[int, int, int,
         # one shuffle so each month's rows land in few files; AQE splits the
         # partitions of a hot month by their measured size
         df = df.hint("rebalance", "month_key")
-        overwrite(df, f"{out_base}/{step.name}", partition_by=["month_key"])
-    else:
-        overwrite(df, f"{out_base}/{step.name}")
+    part = run.store.write(df, step.name, partition_by=["month_key"] if step.by_month else None)
+    run.wrote(step.name, Version({"all": [part]}))
     m = obs.get
     rows = int(m["rows"])
     if staged:
-        return rows, rows, int(m["valid"]), int(m["rejected"])
+        return Counts(rows, rows, int(m["valid"]), int(m["rejected"]))
     if step.reads is not None:
         read = step.reads(w).count()
-        return rows, read, rows, read - rows
-    return rows, rows, rows, 0
+        return Counts(rows, read, rows, read - rows)
+    return Counts(rows, rows, rows)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[Step] | None = None,
-                 warehouse: Warehouse | None = None) -> DataFrame:
+                 warehouse=None, **options) -> DataFrame:
     """Run all steps in order; returns the log of this run's steps.
 
+    Steps read what this run has written and else the last committed state;
+    a run that succeeds commits all it has written as the next one, so its
+    readers (``sinks.Store``) never see half a run.  A run that fails, or that
+    another one overtook, commits nothing.  ``options``: the state of the
+    sources and the dates of the load (``stored.Run``).
+
     ``{out_base}/_log`` gets a row when the run and each step begins
     (``RUNNING``) and another, with the same log id, when it ends, so a run
     whose driver dies leaves the step it was in.  ``read_log`` gives one row
     per log id."""
-    w = warehouse or Warehouse(spark, sf_dir)
+    run = Run(spark, sf_dir, out_base, **options)
     first = last_log_id(spark, out_base) + 1
 
     def note(i: int, name: str, phase: str, t0: dt.datetime, end: dt.datetime | None, status: str,
-             counts: tuple = (None,) * 4, message: str | None = None) -> tuple:
-        row = (i, name, phase, t0, end, status, *counts, message)
+             counts: Counts | None = None, message: str | None = None) -> tuple:
+        numbers = (counts.written, counts.read, counts.loaded, counts.rejected) if counts else (None,) * 4
+        row = (i, name, phase, t0, end, status, *numbers, message)
         append_log(spark.createDataFrame([row], LOG_SCHEMA), f"{out_base}/_log")
         return row
 
@@ -167,12 +165,17 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_base: str, steps: list[St
         t0 = dt.datetime.now()
         note(i, step.name, step.phase, t0, None, C.RUNNING)
         try:
-            counts = _write_step(w, step, out_base)
+            counts = _write_step(run, warehouse or run, step)
             log.append(note(i, step.name, step.phase, t0, dt.datetime.now(), C.SUCCEEDED, counts))
         except Exception as exc:  # stop at the first failure, name the phase
             failed = f"phase {step.phase}, step {step.name}: {str(exc).splitlines()[0][:500]}"
             log.append(note(i, step.name, step.phase, t0, dt.datetime.now(), C.FAILED, message=failed))
             break
+    if not failed:
+        try:
+            run.commit()
+        except Conflict as exc:
+            failed = str(exc)
     note(first, RUN, RUN_PHASE, began, dt.datetime.now(), C.FAILED if failed else C.SUCCEEDED, message=failed)
     return spark.createDataFrame(log, LOG_SCHEMA)
 
@@ -196,10 +199,11 @@ def last_log_id(spark: SparkSession, out_base: str) -> int:
     return log.agg(F.max("log_id")).first()[0] or 0
 
 
-def run_step(spark: SparkSession, sf_dir: str, out_base: str, name: str) -> DataFrame:
-    """Rebuild and rewrite a single table (its inputs are recomputed)."""
+def run_step(spark: SparkSession, sf_dir: str, out_base: str, name: str, **options) -> DataFrame:
+    """Run a single step again.  It reads its inputs as last committed; of the
+    source only what the step itself extracts."""
     step = next(s for s in STEPS if s.name == name)
-    return run_pipeline(spark, sf_dir, out_base, steps=[step])
+    return run_pipeline(spark, sf_dir, out_base, steps=[step], **options)
 
 
 def latest_first(log: DataFrame) -> DataFrame:

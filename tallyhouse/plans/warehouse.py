@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.keys import pin
 from tallyhouse.session import scratch_path, session_key
+from tallyhouse.sources.commits import listing
 from tallyhouse.plans import dims, extracts, facts, validate
 from tallyhouse.plans.standin import (
     CALENDAR_END, CALENDAR_START, GOAL_CATEGORY_MAP, RUN_DATE, RUN_TS, SCD_BASE_DATE,
@@ -33,6 +34,7 @@ def table(fn):
         return pin(fn(self), fn.__name__, self.folder)
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__
+    build.plan = fn
     return cached_property(build)
 
 
@@ -43,15 +45,16 @@ class Warehouse:
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
         """One warehouse per session and input folder: dimensions are built
         (and pinned) once per run and reused by every later query, as a
-        pipeline loads dimensions once before the facts."""
-        key = (session_key(spark), sf_dir.rstrip("/"))
-        w = cls._shared.get(key)
-        if w is None:
-            w = cls._shared[key] = cls(spark, sf_dir)
-        return w
+        pipeline loads dimensions once before the facts.  Files that were
+        added or changed since give a new one."""
+        key, files = (session_key(spark), sf_dir.rstrip("/")), listing(spark, sf_dir)
+        have = cls._shared.get(key)
+        if have is None or have[0] != files:
+            have = cls._shared[key] = (files, cls(spark, sf_dir))
+        return have[1]
 
     def __init__(self, spark: SparkSession, sf_dir: str, run_date: str = RUN_DATE,
-                 loaded_at: str = RUN_TS):
+                 loaded_at: str = RUN_TS, snapshot: int = 2):
         self.spark = spark
         # all tables pinned by this warehouse live under one run folder in the
         # shared checkpoint directory (remove it as a whole after the run)
@@ -59,6 +62,7 @@ class Warehouse:
         self.src = Source(spark, sf_dir)
         self.run_date = run_date
         self.loaded_at = loaded_at
+        self.snapshot = snapshot
 
     TABLES = ["stg_sales", "stg_products", "stg_customers", "stg_inventory", "stg_returns",
               "stg_purchases", "stg_goals", "stg_adjustments", "dim_date", "dim_geography",
@@ -90,7 +94,7 @@ class Warehouse:
 
     @table
     def stg_products(self) -> DataFrame:
-        return validate.validate_products(self.stg_products_raw(2))
+        return validate.validate_products(self.stg_products_raw(self.snapshot))
 
     @table
     def stg_products_v1(self) -> DataFrame:
@@ -98,7 +102,7 @@ class Warehouse:
 
     @table
     def stg_customers(self) -> DataFrame:
-        return validate.validate_customers(self.stg_customers_raw(2))
+        return validate.validate_customers(self.stg_customers_raw(self.snapshot))
 
     @table
     def stg_customers_v1(self) -> DataFrame:
