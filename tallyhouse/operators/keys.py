@@ -67,3 +67,19 @@ def pin(df: DataFrame, name: str = "pinned", folder: str | None = None) -> DataF
             else scratch_path(df.sparkSession, name))
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def pin_bucketed(df: DataFrame, key: str, name: str = "bucketed", folder: str | None = None,
+                 buckets: int | None = None) -> DataFrame:
+    """Like ``pin``, with the rows in buckets of ``key`` (hashed, sorted inside, a
+    file each): later joins on ``key`` read bucket beside bucket and shuffle
+    neither side.  The one shuffle is the one of this write."""
+    import uuid
+
+    from tallyhouse.session import scratch_path
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex[:8]}"
+    n = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = f"{folder}/{table}" if folder else scratch_path(spark, name)
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)

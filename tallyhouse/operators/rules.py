@@ -7,12 +7,16 @@ the rows still pending, found by aggregation and joined back);
 reference-existence rules use a left join to the distinct reference ids,
 never ``NOT IN`` inside a CASE (which would plan a broadcast nested-loop
 join).
+
+Rules about a header need not be tested once per line: ``judged`` finds the
+first failing rule at each grain, and ``settle`` lets the verdicts meet in the
+order of the rules.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +92,24 @@ def apply_rules(df: DataFrame, rules: Sequence, status_col: str = STATUS,
             .drop(_PENDING_MSG))
 
 
+def judged(df: DataFrame, rules: Mapping[int, Rule], name: str) -> DataFrame:
+    """Add the verdict of the first failing rule as (rank, message), NULL if all
+    pass.  ``rules``: rank in the whole list of rules -> rule, so that verdicts
+    found at different grains can be compared."""
+    fails = [F.when(rules[k].predicate, F.struct(F.lit(k).alias("rank"), F.lit(rules[k].message).alias("message")))
+             for k in sorted(rules)]
+    return df.withColumn(name, F.coalesce(*fails))
+
+
+def settle(df: DataFrame, verdicts: Sequence[str], status_col: str = STATUS,
+           message_col: str = MSG) -> DataFrame:
+    """Status and message from verdicts of several grains: the lowest rank wins."""
+    first = F.least(*verdicts) if len(verdicts) > 1 else F.col(verdicts[0])
+    return (df.withColumn(message_col, first["message"])
+            .withColumn(status_col, F.when(F.col(message_col).isNull(), F.lit(C.VALID)).otherwise(F.lit(C.REJECTED)))
+            .select(*[c for c in df.columns if c not in verdicts], status_col, message_col))
+
+
 def _dedup(out: DataFrame, r: Dedup, i: int) -> DataFrame:
     """Mark every pending row but the first per key as duplicate.
 

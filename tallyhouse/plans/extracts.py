@@ -18,14 +18,23 @@ def _date_text(c: str) -> F.Column:
     return F.date_format(F.col(c), "yyyy-MM-dd")
 
 
+def sale_headers(sales: DataFrame, carry: tuple = ()) -> DataFrame:
+    """The header columns of a staged sale line."""
+    return sales.select("sale_id", _date_text("sale_date").alias("sale_date"), "customer_id", "channel_id",
+                        "campaign_id", F.col("state").alias("sale_state"), *carry)
+
+
 def extract_sales(sales: DataFrame, lines: DataFrame, loaded_at: str) -> DataFrame:
-    """Sale header x lines (both large: a sort-merge join on sale_id)."""
-    j = lines.join(sales, "sale_id")
-    out = j.select(
-        "sale_id", _date_text("sale_date").alias("sale_date"), "customer_id", "store_id",
-        "salesperson_id", "channel_id", "campaign_id", F.col("state").alias("sale_state"),
-        "sale_line_id", "product_id", "quantity", "unit_price",
-        (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("subtotal"))
+    """Sale header x lines (both large: a sort-merge join on sale_id,
+    without a shuffle if both are bucketed on it)."""
+    return join_sale_lines(sale_headers(sales), lines, loaded_at)
+
+
+def join_sale_lines(headers: DataFrame, lines: DataFrame, loaded_at: str, carry: tuple = ()) -> DataFrame:
+    out = lines.join(headers, "sale_id").select(
+        "sale_id", "sale_date", "customer_id", "store_id", "salesperson_id", "channel_id", "campaign_id",
+        "sale_state", "sale_line_id", "product_id", "quantity", "unit_price",
+        (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("subtotal"), *carry)
     return stamp(out, "sales", loaded_at)
 
 

@@ -125,14 +125,17 @@ def goals_fact(stg_goals: DataFrame, dim_store: DataFrame, dim_date: DataFrame)
 
 def returns_fact(stg_returns: DataFrame, dim_product: DataFrame, fact_sales: DataFrame,
                  dedup: str = "all") -> DataFrame:
-    """FA5: valid returns; product version as of the original sale date,
-    then matched to the sales fact on (sale id, product key) for store,
-    customer, sale date and the real unit price.  A product sold on two lines
-    of one sale matches both (``dedup='all'``, as in the source system);
-    ``dedup='first'`` matches only the sale's first line of that product."""
+    """FA5: valid returns, matched to the sales fact on the sale and the product
+    version of the sale date, for store, customer, sale date and the real unit
+    price.  A product sold on two lines of one sale matches both (``dedup='all'``,
+    as in the source system); ``dedup='first'`` matches only the sale's first line
+    of that product.
+
+    The fact row already holds the version that was valid on the sale date, and a
+    version belongs to one product, so the lines of the sale are taken first (a
+    join on the sale id alone, without a shuffle where both are bucketed on it)
+    and the product is compared through the version's business key."""
     r = valid(stg_returns).withColumn("__d", parse_date("return_date"))
-    r = as_of_join(r, dim_product, "product_id", "product_id", "sale_date",
-                   {"product_key": "product_key"})
     if dedup == "first":
         from tallyhouse.operators.aggregate import dedup_first
         fact_sales = dedup_first(fact_sales.select("sale_id", "product_key", "sale_line_id", "date_key",
@@ -140,11 +143,10 @@ def returns_fact(stg_returns: DataFrame, dim_product: DataFrame, fact_sales: Dat
                                  ["sale_id", "product_key"], ["sale_line_id"])
     elif dedup != "all":
         raise ValueError(f"dedup must be 'all' or 'first', not {dedup!r}")
-    fs = fact_sales.select(F.col("sale_id").alias("__sid"), F.col("product_key").alias("__pk"),
-                           F.col("date_key").alias("sale_date_key"), "store_key", "customer_key",
-                           F.col("unit_price").alias("__price"))
-    r = r.join(fs, (r["sale_id"] == fs["__sid"]) & (r["product_key"] == fs["__pk"]))
-    return r.select(
+    fs = fact_sales.select("sale_id", "product_key", F.col("date_key").alias("sale_date_key"), "store_key",
+                           "customer_key", F.col("unit_price").alias("__price"))
+    r = lookup(r.join(fs, "sale_id"), dim_product, ("product_key", "product_key"), {"product_id": "__pid"})
+    return r.where(F.col("__pid") == F.col("product_id")).select(
         date_key("__d").alias("date_key"), "sale_date_key", "product_key", "store_key",
         "customer_key", "return_id", "sale_id", "return_type", "reason",
         F.col("quantity").alias("quantity"),

@@ -299,7 +299,7 @@ def _no_ts(df: DataFrame) -> DataFrame:
 def extract_sales_lines(spark, sf_dir):
     from tallyhouse.plans import extracts as E
     w = _w(spark, sf_dir)
-    return _no_ts(E.extract_sales(w.src.sales(), w.src.sale_lines(), w.loaded_at))
+    return _no_ts(E.extract_sales(w.landed_sales, w.landed_sale_lines, w.loaded_at))
 
 
 @query("extract_products")
@@ -323,15 +323,14 @@ def extract_inventory(spark, sf_dir):
 def extract_returns(spark, sf_dir):
     from tallyhouse.plans import extracts as E
     w = _w(spark, sf_dir)
-    return _no_ts(E.extract_returns(w.src.returns(), w.src.sales(), w.loaded_at))
+    return _no_ts(E.extract_returns(w.landed_returns, w.landed_sales, w.loaded_at))
 
 
 @query("extract_purchases")
 def extract_purchases(spark, sf_dir):
     from tallyhouse.plans import extracts as E
     w = _w(spark, sf_dir)
-    s = w.src
-    return _no_ts(E.extract_purchases(s.purchases(), s.purchase_lines(), s.suppliers(), w.loaded_at))
+    return _no_ts(E.extract_purchases(w.landed_purchases, w.landed_purchase_lines, w.src.suppliers(), w.loaded_at))
 
 
 # --- joins, keys, ordering ------------------------------------------------------------
@@ -645,9 +644,8 @@ def optional_rules_returns(spark, sf_dir):
     from tallyhouse.plans import extracts as E
     from tallyhouse.plans import validate as V
     w = _w(spark, sf_dir)
-    s = w.src
-    raw = E.extract_returns(s.returns(), s.sales(), w.loaded_at)
-    out = V.validate_returns_strict(raw, s.sale_lines())
+    raw = E.extract_returns(w.landed_returns, w.landed_sales, w.loaded_at)
+    out = V.validate_returns_strict(raw, w.landed_sale_lines)
     return out.select("return_id", "sale_id", "product_id", *STG_OUT)
 
 

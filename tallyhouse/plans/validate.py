@@ -16,7 +16,8 @@ from tallyhouse import constants as C
 from tallyhouse.functions.dates import parse_date
 from tallyhouse.functions.text import classify_contains, clean_trim, map_values
 from tallyhouse.operators.lookup import resolve
-from tallyhouse.operators.rules import Dedup, Derive, Rule, apply_rules, missing_ref, ref_flag
+from tallyhouse.operators.rules import Dedup, Derive, Rule, apply_rules, judged, missing_ref, ref_flag, settle
+from tallyhouse.plans.extracts import join_sale_lines, sale_headers
 
 
 MSG_CSV_MALFORMED = "Fila CSV con formato no válido"
@@ -33,23 +34,47 @@ def _not_in(col: str, values: Sequence) -> F.Column:
     return ~F.col(col).isin(list(values))
 
 
+def _sale_rules(run_date: str) -> dict[int, Rule]:
+    """R1 to R5 by rank; 1, 2 and 5 are about the header, 3 and 4 about the line."""
+    d = parse_date("sale_date")
+    return {
+        1: Rule(C.MSG_SALE_DATE, F.col("sale_date").isNull() | d.isNull() | (d > F.lit(run_date).cast("date"))),
+        2: Rule(C.MSG_SALE_CUSTOMER, missing_ref("__cust_ok")),
+        3: Rule(C.MSG_SALE_PRODUCT, missing_ref("__prod_ok")),
+        4: Rule(C.MSG_QTY_PRICE, (F.col("quantity") <= 0) | (F.col("unit_price") <= 0)),
+        5: Rule(C.MSG_SALE_STATE, _not_in("sale_state", C.SALE_STATES)),
+    }
+
+
 def validate_sales(stg: DataFrame, customers: DataFrame, products: DataFrame, run_date: str,
                    extra_rules: Sequence = ()) -> DataFrame:
     """R1 date NULL/unparseable/future, R2/R3 unknown customer/product,
     R4 non-positive quantity or price, R5 state outside the domain."""
-    d = parse_date("sale_date")
     df = ref_flag(stg, customers, "customer_id", "customer_id", "__cust_ok")
     df = ref_flag(df, products, "product_id", "product_id", "__prod_ok")
-    rules = [
-        Rule(C.MSG_SALE_DATE, F.col("sale_date").isNull() | d.isNull() |
-             (d > F.lit(run_date).cast("date"))),
-        Rule(C.MSG_SALE_CUSTOMER, missing_ref("__cust_ok")),
-        Rule(C.MSG_SALE_PRODUCT, missing_ref("__prod_ok")),
-        Rule(C.MSG_QTY_PRICE, (F.col("quantity") <= 0) | (F.col("unit_price") <= 0)),
-        Rule(C.MSG_SALE_STATE, _not_in("sale_state", C.SALE_STATES)),
-        *extra_rules,
-    ]
-    return apply_rules(df, rules).drop("__cust_ok", "__prod_ok")
+    return apply_rules(df, [*_sale_rules(run_date).values(), *extra_rules]).drop("__cust_ok", "__prod_ok")
+
+
+HEADER_VERDICT = "header_verdict"
+
+
+def judge_sale_headers(sales: DataFrame, customers: DataFrame, run_date: str) -> DataFrame:
+    """Sale headers as staged, with the verdict of R1, R2 and R5: tested once per
+    sale, so no line is ever shuffled on its customer."""
+    rules = _sale_rules(run_date)
+    flagged = ref_flag(sale_headers(sales), customers, "customer_id", "customer_id", "__cust_ok")
+    return judged(flagged, {k: rules[k] for k in (1, 2, 5)}, HEADER_VERDICT).drop("__cust_ok")
+
+
+def validate_sale_lines(headers: DataFrame, lines: DataFrame, products: DataFrame, run_date: str,
+                        loaded_at: str) -> DataFrame:
+    """E1 with R1 to R5 over judged headers: the lines add R3 and R4, and the
+    first failing rule of either grain gives the message."""
+    rules = _sale_rules(run_date)
+    out = join_sale_lines(headers, lines, loaded_at, carry=(HEADER_VERDICT,))
+    out = judged(ref_flag(out, products, "product_id", "product_id", "__prod_ok"),
+                 {k: rules[k] for k in (3, 4)}, "__line").drop("__prod_ok")
+    return settle(out, [HEADER_VERDICT, "__line"])
 
 
 def validate_products(stg: DataFrame, order_by: Sequence = ("product_id",)) -> DataFrame:
@@ -173,13 +198,14 @@ def validate_returns_strict(stg: DataFrame, sale_lines: DataFrame,
                             order_by: Sequence = ("return_id",)) -> DataFrame:
     """The sale must exist, the product must be on that sale, and a
     (sale, product) pair is returned once; then the default rules."""
-    sales_ids = sale_lines.select("sale_id").distinct().withColumn("__sale_ok", F.lit(True))
-    pairs = sale_lines.select("sale_id", "product_id").distinct().withColumn("__pair_ok", F.lit(True))
-    df = stg.join(sales_ids, "sale_id", "left").join(pairs, ["sale_id", "product_id"], "left")
+    # one row per sale with its products: both tests in one join on the sale id
+    sold = sale_lines.groupBy("sale_id").agg(F.collect_set("product_id").alias("__sold"))
+    df = stg.join(sold, "sale_id", "left").withColumn("__sale_ok", F.col("__sold").isNotNull()).withColumn(
+        "__pair_ok", F.array_contains("__sold", F.col("product_id"))).drop("__sold")
     d = parse_date("return_date")
     rules = [
-        Rule(MSG_X_NO_SALE, F.col("sale_id").isNotNull() & F.col("__sale_ok").isNull()),
-        Rule(MSG_X_NOT_ON_SALE, F.col("product_id").isNotNull() & F.col("__pair_ok").isNull()),
+        Rule(MSG_X_NO_SALE, F.col("sale_id").isNotNull() & ~F.col("__sale_ok")),
+        Rule(MSG_X_NOT_ON_SALE, F.col("product_id").isNotNull() & ~F.coalesce("__pair_ok", F.lit(False))),
         Rule(C.MSG_RETURN_BEFORE_SALE, d < F.col("sale_date")),
         Rule(C.MSG_RETURN_TYPE, _not_in("return_type", C.RETURN_TYPES)),
         Dedup(MSG_X_DUP_RETURN, ["sale_id", "product_id"], list(order_by)),

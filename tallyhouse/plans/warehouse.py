@@ -15,8 +15,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.operators.keys import pin
+from tallyhouse.operators.keys import pin, pin_bucketed
 from tallyhouse.session import scratch_path, session_key
 from tallyhouse.sources.commits import listing
 from tallyhouse.plans import dims, extracts, facts, validate
@@ -26,11 +27,17 @@ from tallyhouse.plans.standin import (
 )
 
 
-def table(fn):
+def table(fn=None, *, bucket: str | None = None):
     """A warehouse table: built once per instance and pinned (written to the
     shared checkpoint folder and read back), so later steps read a table
-    instead of re-running its plan."""
+    instead of re-running its plan.  ``bucket``: the key on which it is bucketed,
+    for joins that need no shuffle."""
+    if fn is None:
+        return lambda f: table(f, bucket=bucket)
+
     def build(self):
+        if bucket:
+            return pin_bucketed(fn(self), bucket, fn.__name__, self.folder)
         return pin(fn(self), fn.__name__, self.folder)
     build.__name__ = fn.__name__
     build.__doc__ = fn.__doc__
@@ -78,12 +85,38 @@ class Warehouse:
             getattr(self, n).createOrReplaceTempView(n)
         return names
 
+    # --- landed documents: header and lines of one document in one bucket -----------
+    @table(bucket="sale_id")
+    def landed_sales(self) -> DataFrame:
+        return self.src.sales()
+
+    @table(bucket="sale_id")
+    def judged_headers(self) -> DataFrame:
+        """The header rules run on the way into the buckets: their join on the
+        customer costs no further shuffle back to the sale."""
+        return validate.judge_sale_headers(self.src.sales(), self.src.customers(), self.run_date)
+
+    @table(bucket="sale_id")
+    def landed_sale_lines(self) -> DataFrame:
+        return self.src.sale_lines()
+
+    @table(bucket="sale_id")
+    def landed_returns(self) -> DataFrame:
+        return self.src.returns()
+
+    @table(bucket="purchase_id")
+    def landed_purchases(self) -> DataFrame:
+        return self.src.purchases()
+
+    @table(bucket="purchase_id")
+    def landed_purchase_lines(self) -> DataFrame:
+        return self.src.purchase_lines()
+
     # --- staging (extract + validate) ---------------------------------------------
     @table
     def stg_sales(self) -> DataFrame:
-        s = self.src
-        raw = extracts.extract_sales(s.sales(), s.sale_lines(), self.loaded_at)
-        return validate.validate_sales(raw, s.customers(), s.products(), self.run_date)
+        return validate.validate_sale_lines(self.judged_headers, self.landed_sale_lines, self.src.products(),
+                                            self.run_date, self.loaded_at)
 
     def stg_products_raw(self, snapshot: int = 2) -> DataFrame:
         return extracts.extract_products(self.src.products(snapshot), self.src.categories(),
@@ -113,15 +146,16 @@ class Warehouse:
         return validate.validate_inventory(
             extracts.extract_inventory(self.src.daily_inventory(), self.loaded_at))
 
-    @table
+    @table(bucket="sale_id")
     def stg_returns(self) -> DataFrame:
         return validate.validate_returns(
-            extracts.extract_returns(self.src.returns(), self.src.sales(), self.loaded_at))
+            extracts.extract_returns(self.landed_returns, self.judged_headers.withColumn(
+                "sale_date", F.col("sale_date").cast("date")), self.loaded_at))
 
     @table
     def stg_purchases(self) -> DataFrame:
         s = self.src
-        raw = extracts.extract_purchases(s.purchases(), s.purchase_lines(), s.suppliers(),
+        raw = extracts.extract_purchases(self.landed_purchases, self.landed_purchase_lines, s.suppliers(),
                                          self.loaded_at)
         return validate.validate_purchases(raw, s.suppliers())
 
@@ -192,7 +226,7 @@ class Warehouse:
                                  SCD_BASE_DATE)
 
     # --- facts -----------------------------------------------------------------------
-    @table
+    @table(bucket="sale_id")
     def fact_sales(self) -> DataFrame:
         return facts.sales_fact(self.stg_sales, self.dim_customer, self.dim_product,
                                 self.dim_store, self.dim_salesperson, self.dim_channel,
