@@ -12,6 +12,20 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# fixed value: texts are compared without regard to case and trailing blanks;
+# accents count
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def folded(x) -> Column:
+    """The text under the warehouse's collation: for comparing, joining and grouping."""
+    return F.collate(_c(x), COLLATION)
+
+
+def same_text(a, b) -> Column:
+    return folded(a) == folded(b)
+
+
 def clean_trim(x) -> Column:
     """Strip leading/trailing blanks only (tabs and newlines are kept)."""
     return F.trim(_c(x))
@@ -41,11 +55,13 @@ def classify_contains(x, patterns: list[tuple[str, str]], otherwise: str | None)
 
 
 def map_values(x, mapping: dict[str, str], passthrough: bool = True) -> Column:
-    """Simple CASE as a value map; unmapped values pass through (or NULL)."""
+    """Simple CASE as a value map (case and trailing blanks do not matter);
+    unmapped values pass through (or NULL)."""
     src = _c(x)
     if not mapping:
         return src if passthrough else F.lit(None).cast("string")
-    expr = reduce(lambda acc, kv: acc.when(src == F.lit(kv[0]), F.lit(kv[1])),
+    key = folded(src)
+    expr = reduce(lambda acc, kv: acc.when(key == F.lit(kv[0]), F.lit(kv[1])),
                   list(mapping.items())[1:],
-                  F.when(src == F.lit(next(iter(mapping))), F.lit(next(iter(mapping.values())))))
+                  F.when(key == F.lit(next(iter(mapping))), F.lit(next(iter(mapping.values())))))
     return expr.otherwise(src if passthrough else F.lit(None).cast("string"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from tallyhouse.functions.text import folded, same_text
 from tallyhouse.operators.keys import assign_keys, max_key
 
 
@@ -37,12 +41,13 @@ def resolve(df: DataFrame, ref: DataFrame, on: tuple, ref_value: str, out_col: s
 
     ``on`` = (left expression or column, reference column).  The reference
     is reduced to one row per key first (the smallest value), so staging rows
-    are never multiplied.
+    are never multiplied.  Text keys match whatever their case and trailing blanks.
     """
     left, right = on
     left_col = F.col(left) if isinstance(left, str) else left
-    r = ref.groupBy(F.col(right).alias("__rk")).agg(F.min(ref_value).alias("__rv"))
-    return (df.join(r, left_col == r["__rk"], "left")
+    text = isinstance(ref.schema[right].dataType, StringType)
+    r = ref.groupBy((folded(right) if text else F.col(right)).alias("__rk")).agg(F.min(ref_value).alias("__rv"))
+    return (df.join(r, (folded(left_col) if text else left_col) == r["__rk"], "left")
             .select(*[F.col(c) for c in df.columns if c != out_col], F.col("__rv").alias(out_col)))
 
 
@@ -71,7 +76,10 @@ def new_members(dim: DataFrame, incoming: DataFrame, keys: Sequence[str], sk: st
                 order_by: Sequence[str] | None = None) -> DataFrame:
     """The incoming rows whose business key is not in ``dim``, numbered from
     ``start`` on: what a load adds (without ``sk``: not numbered)."""
-    new = incoming.join(dim.select(*keys), list(keys), "left_anti")
+    have = dim.select(*[F.col(k).alias(f"__have_{k}") for k in keys])
+    same = [same_text(incoming[k], have[f"__have_{k}"]) if isinstance(incoming.schema[k].dataType, StringType)
+            else incoming[k] == have[f"__have_{k}"] for k in keys]
+    new = incoming.join(have, reduce(and_, same), "left_anti")
     return assign_keys(new, sk, order_by or list(keys), start=start) if sk else new
 
 

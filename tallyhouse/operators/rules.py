@@ -21,7 +21,10 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType
+
 from tallyhouse import constants as C
+from tallyhouse.functions.text import folded
 from tallyhouse.operators.keys import pin
 
 MSG = "stg_message"
@@ -40,7 +43,8 @@ class Rule:
 class Dedup:
     """Reject every pending row but the first per ``keys`` (by ``order_by``).
 
-    NULL keys group together.  Rows that ``order_by`` leaves tied are ordered
+    NULL keys group together, and texts that differ in case or trailing blanks
+    only.  Rows that ``order_by`` leaves tied are ordered
     by a hash of their content, and equal rows by a row number, so exactly one
     row per key survives.
     """
@@ -130,11 +134,11 @@ def _dedup(out: DataFrame, r: Dedup, i: int) -> DataFrame:
     content = F.xxhash64(*[F.col(c) for c in out.columns if c != row])
     out = out.withColumn(okey, F.struct(*order, content, F.col(row)))
     firsts = (out.where(_pending())
-              .groupBy(*[F.col(k).alias(f"__dk{i}_{j}") for j, k in enumerate(r.keys)])
+              .groupBy(*[_comparable(out, k).alias(f"__dk{i}_{j}") for j, k in enumerate(r.keys)])
               .agg(F.min(okey).alias(f"__first{i}")))
     cond = None
     for j, k in enumerate(r.keys):
-        c = out[k].eqNullSafe(firsts[f"__dk{i}_{j}"])
+        c = _comparable(out, k).eqNullSafe(firsts[f"__dk{i}_{j}"])
         cond = c if cond is None else cond & c
     joined = out.join(firsts, cond & _pending(), "left")
     dup = _pending() & ~F.col(okey).eqNullSafe(F.col(f"__first{i}"))
@@ -143,6 +147,11 @@ def _dedup(out: DataFrame, r: Dedup, i: int) -> DataFrame:
     return joined.select(*cols)
 
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    """A column as it is compared: texts under the warehouse's collation."""
+    return folded(df[name]) if isinstance(df.schema[name].dataType, StringType) else df[name]
+
+
 def ref_flag(df: DataFrame, ref: DataFrame, col: str, ref_col: str, flag: str) -> DataFrame:
     """Add boolean ``flag``: true when ``col`` is NULL or exists in ``ref``.
 

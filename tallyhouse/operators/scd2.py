@@ -16,6 +16,9 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType
+
+from tallyhouse.functions.text import folded
 from tallyhouse.operators.keys import assign_keys, max_key, pin
 from tallyhouse.sources.sinks import Store, Version
 
@@ -59,7 +62,9 @@ def classify(current: DataFrame, incoming: DataFrame, key: str, tracked: Sequenc
         sound = sound & F.col(f"__new.{r}").isNotNull()
     differs = F.lit(False)
     for t in tracked:
-        differs = differs | F.coalesce(F.col(f"__old.{t}") != F.col(f"__new.{t}"), F.lit(False))
+        text = isinstance(current.schema[t].dataType, StringType)  # other case or trailing blanks: no change
+        a, b = (folded(f"{x}.{t}") if text else F.col(f"{x}.{t}") for x in ("__old", "__new"))
+        differs = differs | F.coalesce(a != b, F.lit(False))
     has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
     kind = (F.when(has_old & has_new & differs & sound, F.lit(CHANGED)).when(has_old, F.lit(KEPT))
             .when(sound & F.coalesce("__known", F.lit(False)), F.lit(AGAIN)).when(sound, F.lit(NEW))

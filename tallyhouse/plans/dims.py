@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
 from tallyhouse.functions import dates as FD
-from tallyhouse.functions.numeric import pct
-from tallyhouse.functions.text import clean_trim, concat_blank
-from tallyhouse.operators.aggregate import union_distinct
+from tallyhouse.functions.numeric import exact_pct
+from tallyhouse.functions.text import clean_trim, concat_blank, folded, same_text
+from tallyhouse.operators.aggregate import union_all
 from tallyhouse.operators.lookup import insert_new, lookup, with_unknown
 from tallyhouse.operators.rules import valid
 from tallyhouse.operators.scd2 import IS_CURRENT, VALID_FROM, VALID_TO, scd2_apply
@@ -87,13 +87,16 @@ SALESPERSON = Members("salesperson_key", ("salesperson_id",), (
 def geography_rows(customers: DataFrame, stores: DataFrame, suppliers: DataFrame,
                    supplier_region: str = C.SUPPLIER_REGION, country: str = C.COUNTRY) -> DataFrame:
     """Distinct trimmed (city, region) over customers, stores and suppliers
-    (suppliers carry no region: a constant is used)."""
+    (suppliers carry no region: a constant is used).  Names that differ in case
+    or trailing blanks are one place, spelled as the first of them."""
     parts = [
         customers.select(clean_trim("city").alias("city"), clean_trim("region").alias("region")),
         stores.select(clean_trim("city").alias("city"), clean_trim("region").alias("region")),
         suppliers.select(clean_trim("city").alias("city"), F.lit(supplier_region).alias("region")),
     ]
-    return union_distinct(parts).withColumn("country", F.lit(country))
+    places = union_all(parts).groupBy(folded("city").alias("__c"), folded("region").alias("__r")).agg(
+        F.min("city").alias("city"), F.min("region").alias("region"))
+    return places.select("city", "region", F.lit(country).alias("country"))
 
 
 def geography(customers: DataFrame, stores: DataFrame, suppliers: DataFrame,
@@ -116,7 +119,7 @@ def channel(channels: DataFrame, existing: DataFrame | None = None) -> DataFrame
 def supplier_rows(suppliers: DataFrame, geo: DataFrame, supplier_region: str = C.SUPPLIER_REGION) -> DataFrame:
     """Suppliers with the geography of (trimmed city, constant region)."""
     g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
-    inc = suppliers.join(g, (clean_trim("city") == g["__gc"]) & (F.lit(supplier_region) == g["__gr"]))
+    inc = suppliers.join(g, same_text(clean_trim("city"), g["__gc"]) & same_text(F.lit(supplier_region), g["__gr"]))
     return inc.select("supplier_id", "name", "tax_id", "city", "contact", "phone", "geography_key")
 
 
@@ -129,7 +132,7 @@ def supplier(suppliers: DataFrame, geo: DataFrame, existing: DataFrame | None =
 def store_rows(stores: DataFrame, geo: DataFrame) -> DataFrame:
     """Stores with the geography of trimmed (city, region)."""
     g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
-    inc = stores.join(g, (clean_trim("city") == g["__gc"]) & (clean_trim("region") == g["__gr"]))
+    inc = stores.join(g, same_text(clean_trim("city"), g["__gc"]) & same_text(clean_trim("region"), g["__gr"]))
     return inc.select("store_id", "name", "city", "region", "address", "phone", "opened", "geography_key")
 
 
@@ -167,7 +170,7 @@ def customer_rows(validated: DataFrame, geo: DataFrame) -> DataFrame:
         concat_blank("first_name", "last_name").alias("full_name"),
         "doc_type", "doc_number", "city", "region", "segment")
     g = geo.select(F.col("city").alias("__gc"), F.col("region").alias("__gr"), "geography_key")
-    return inc.join(g, (F.col("city") == g["__gc"]) & (F.col("region") == g["__gr"]), "left").drop("__gc", "__gr")
+    return inc.join(g, same_text("city", g["__gc"]) & same_text("region", g["__gr"]), "left").drop("__gc", "__gr")
 
 
 CUSTOMER = {"sk": "customer_key", "key": "customer_id", "tracked": CUSTOMER_TRACKED, "attrs": CUSTOMER_ATTRS,
@@ -183,12 +186,12 @@ def customer_scd2(dim: DataFrame | None, validated: DataFrame, geo: DataFrame, r
 
 
 def product_rows(validated: DataFrame) -> DataFrame:
-    """Valid products with gross margin and margin % (rounded once to 2 decimals)."""
+    """Valid products with gross margin and margin % (15 digits, then 2)."""
     margin = F.col("sale_price") - F.col("cost_price")
     return valid(validated).select(
         "product_id", "code", "name", "description", "category_id", "category_name",
         "sale_price", "cost_price", margin.cast("decimal(12,2)").alias("gross_margin"),
-        pct(margin, F.col("sale_price")).cast("decimal(6,2)").alias("margin_pct"),
+        exact_pct(margin, F.col("sale_price"), 15, "decimal(6,2)").alias("margin_pct"),
         "unit", F.col("min_stock").cast("int").alias("min_stock"))
 
 

@@ -30,20 +30,42 @@ def extract_sales(sales: DataFrame, lines: DataFrame, loaded_at: str) -> DataFra
     return join_sale_lines(sale_headers(sales), lines, loaded_at)
 
 
-def join_sale_lines(headers: DataFrame, lines: DataFrame, loaded_at: str, carry: tuple = ()) -> DataFrame:
-    out = lines.join(headers, "sale_id").select(
+MISSING = "missing_side"
+
+
+def _outer(df: DataFrame, other: DataFrame, key: str, side: str) -> DataFrame:
+    """Left join that keeps what does not match and names the side that is missing
+    (the first one, if several are); a NULL key misses nothing by itself."""
+    found = other.withColumn("__found", F.lit(True))
+    out = df.join(found, key, "left")
+    mark = F.when(F.col("__found").isNull() & F.col(key).isNotNull(), F.lit(side))
+    before = [F.col(MISSING)] if MISSING in df.columns else []
+    return out.withColumn(MISSING, F.coalesce(*before, mark)).drop("__found")
+
+
+def join_sale_lines(headers: DataFrame, lines: DataFrame, loaded_at: str, carry: tuple = (),
+                    keep_unmatched: bool = False) -> DataFrame:
+    """Lines with their header.  ``keep_unmatched``: lines without one stay, marked."""
+    if keep_unmatched:
+        j, carry = _outer(lines, headers, "sale_id", "sale"), (*carry, MISSING)
+    else:
+        j = lines.join(headers, "sale_id")
+    out = j.select(
         "sale_id", "sale_date", "customer_id", "store_id", "salesperson_id", "channel_id", "campaign_id",
         "sale_state", "sale_line_id", "product_id", "quantity", "unit_price",
         (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("subtotal"), *carry)
     return stamp(out, "sales", loaded_at)
 
 
-def extract_products(products: DataFrame, categories: DataFrame, loaded_at: str) -> DataFrame:
-    """Product x category (the catalogue is small: broadcast by size)."""
+def extract_products(products: DataFrame, categories: DataFrame, loaded_at: str,
+                     keep_unmatched: bool = False) -> DataFrame:
+    """Product x category (the catalogue is small: broadcast by size).
+    ``keep_unmatched``: products of an unknown category stay, marked."""
     cat = categories.select("category_id", F.col("name").alias("category_name"))
-    out = products.join(cat, "category_id").select(
+    j = _outer(products, cat, "category_id", "category") if keep_unmatched else products.join(cat, "category_id")
+    out = j.select(
         "product_id", "code", "name", "description", "category_id", "category_name",
-        "sale_price", "cost_price", "unit", "min_stock")
+        "sale_price", "cost_price", "unit", "min_stock", *([MISSING] if keep_unmatched else []))
     # declared source default: minimum stock 0
     return stamp(apply_defaults(out, {"min_stock": 0}), "products", loaded_at)
 
@@ -65,25 +87,33 @@ def extract_inventory(inventory: DataFrame, loaded_at: str) -> DataFrame:
     return stamp(out, "inventory", loaded_at)
 
 
-def extract_returns(returns: DataFrame, sales: DataFrame, loaded_at: str) -> DataFrame:
-    """E5: returns x sale header to fetch the original sale date."""
+def extract_returns(returns: DataFrame, sales: DataFrame, loaded_at: str,
+                    keep_unmatched: bool = False) -> DataFrame:
+    """E5: returns x sale header to fetch the original sale date.
+    ``keep_unmatched``: returns without a sale stay, marked."""
     hdr = sales.select("sale_id", F.col("sale_date").alias("sale_date"))
-    out = returns.join(hdr, "sale_id").select(
+    j = _outer(returns, hdr, "sale_id", "sale") if keep_unmatched else returns.join(hdr, "sale_id")
+    out = j.select(
         "return_id", _date_text("return_date").alias("return_date"), "sale_id", "product_id",
-        "quantity", "reason", "return_type", "sale_date")
+        "quantity", "reason", "return_type", "sale_date", *([MISSING] if keep_unmatched else []))
     return stamp(out, "returns", loaded_at)
 
 
 def extract_purchases(purchases: DataFrame, lines: DataFrame, suppliers: DataFrame,
-                      loaded_at: str) -> DataFrame:
-    """Purchase header x lines x supplier (inner joins)."""
+                      loaded_at: str, keep_unmatched: bool = False) -> DataFrame:
+    """Purchase header x lines x supplier (inner joins).  ``keep_unmatched``:
+    lines without a header or supplier stay, marked with the side that is missing."""
     sup = suppliers.select("supplier_id", F.col("name").alias("supplier_name"))
-    j = lines.join(purchases, "purchase_id").join(sup, "supplier_id")
+    if keep_unmatched:
+        j = _outer(_outer(lines, purchases, "purchase_id", "purchase"), sup, "supplier_id", "supplier")
+    else:
+        j = lines.join(purchases, "purchase_id").join(sup, "supplier_id")
+    marked = [MISSING] if keep_unmatched else []
     out = j.select(
         "purchase_id", _date_text("purchase_date").alias("purchase_date"), "supplier_id",
         "supplier_name", "store_id", F.col("state").alias("purchase_state"), "purchase_line_id",
         "product_id", "quantity", "unit_price",
-        (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("subtotal"))
+        (F.col("quantity") * F.col("unit_price")).cast("decimal(14,2)").alias("subtotal"), *marked)
     return stamp(out, "purchases", loaded_at)
 
 

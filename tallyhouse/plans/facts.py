@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
 from tallyhouse.functions.dates import date_key, first_of_month, parse_date
-from tallyhouse.functions.numeric import half_sum, safe_pct
+from tallyhouse.functions.numeric import exact_pct, half_sum
 from tallyhouse.operators.lookup import lookup, pre_agg_join
 from tallyhouse.operators.rules import valid
 from tallyhouse.operators.scd2 import as_of_join
@@ -188,5 +188,5 @@ def profitability_fact(fact_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
         F.col("__s").cast("decimal(16,2)").alias("total_sales"),
         F.col("__c").cast("decimal(16,2)").alias("total_cost"),
         margin.cast("decimal(16,2)").alias("gross_margin"),
-        safe_pct(margin, F.col("__s")).alias("margin_pct"),
+        F.coalesce(exact_pct(margin, F.col("__s"), 6, "decimal(6,2)"), F.lit(0)).cast("decimal(6,2)").alias("margin_pct"),
         "units_sold", "transactions")

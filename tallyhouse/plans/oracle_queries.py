@@ -55,7 +55,7 @@ UNION ALL SELECT m.load_mode, supplier_key, supplier_id, name FROM new, (VALUES
 
 # ---------------------------------------------------------------------------------------
 from tallyhouse import constants as C  # noqa: E402
-from tallyhouse.plans.oracle import dkey, parse, q, qlist  # noqa: E402
+from tallyhouse.plans.oracle import dkey, exact_pct, parse, q, qlist  # noqa: E402
 from tallyhouse.plans.queries import PROJECT_START, SAMPLE_N  # noqa: E402
 
 STG = ["stg_sales", "stg_products", "stg_customers", "stg_inventory", "stg_returns",
@@ -73,7 +73,7 @@ def pct(num: str, den: str) -> str:
 
 ORACLE.update({
     "quality_summary": sql(f"""SELECT table_name, total_rows, valid_rows, rejected_rows,
-       {pct('rejected_rows', 'total_rows')} AS reject_pct FROM (
+       {exact_pct('rejected_rows', 'total_rows', 12, 'DECIMAL(5,2)', True)} AS reject_pct FROM (
 SELECT n.table_name, CAST(COUNT(t.stg_status) AS BIGINT) AS total_rows,
        CAST(SUM(CASE WHEN t.stg_status = {_VALID} THEN 1 WHEN t.stg_status IS NOT NULL THEN 0 END) AS BIGINT) AS valid_rows,
        CAST(SUM(CASE WHEN t.stg_status = {_REJ} THEN 1 WHEN t.stg_status IS NOT NULL THEN 0 END) AS BIGINT) AS rejected_rows

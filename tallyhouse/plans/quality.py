@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
-from tallyhouse.functions.numeric import pct
+from tallyhouse.functions.numeric import exact_pct
 from tallyhouse.operators.aggregate import union_all
 from tallyhouse.operators.rules import MSG, STATUS
 
@@ -37,7 +37,7 @@ def quality_summary(stg_tables: Mapping[str, DataFrame]) -> DataFrame:
         F.count(status).cast("long").alias("total_rows"),
         F.sum(F.when(status == C.VALID, 1).when(status.isNotNull(), 0)).cast("long").alias("valid_rows"),
         F.sum(F.when(status == C.REJECTED, 1).when(status.isNotNull(), 0)).cast("long").alias("rejected_rows"))
-    return (g.withColumn("reject_pct", pct("rejected_rows", "total_rows"))
+    return (g.withColumn("reject_pct", exact_pct("rejected_rows", "total_rows", 12, "decimal(5,2)", times_first=True))
             .orderBy(F.desc_nulls_last("reject_pct"), "table_name"))
 
 

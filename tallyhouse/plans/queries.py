@@ -505,8 +505,9 @@ def upsert_readback(spark, sf_dir):
 def _csv_roundtrip(spark, df: DataFrame, name: str, schema) -> DataFrame:
     from tallyhouse.session import scratch_path
     from tallyhouse.sources.csv import read_csv, write_csv
+    from tallyhouse.plans.validate import RAW_LINE
     path = write_csv(df, scratch_path(spark, name))
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, corrupt_column=RAW_LINE)
 
 
 @query("csv_adjustments")
@@ -757,3 +758,113 @@ def optional_rules_purchases(spark, sf_dir):
     out = V.validate_purchases_strict(raw, s.suppliers(), s.stores(), s.products(), PROJECT_START,
                                       w.run_date)
     return out.select("purchase_line_id", "product_id", "unit_price", *STG_OUT)
+
+
+# --- feeds in which every rule fires, texts in several spellings ------------------------
+@query("outer_sales")
+def outer_sales(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.outer_sales(_w(spark, sf_dir), PROJECT_START).select(
+        "sale_line_id", "sale_id", "store_id", "salesperson_id", "missing_side", *STG_OUT)
+
+
+@query("outer_products")
+def outer_products(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.outer_products(_w(spark, sf_dir)).select(
+        "product_id", "category_id", "category_name", "min_stock", "missing_side", *STG_OUT)
+
+
+@query("outer_inventory")
+def outer_inventory(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.outer_inventory(_w(spark, sf_dir)).select(
+        "inventory_id", "product_id", "store_id", *STG_OUT)
+
+
+@query("outer_returns")
+def outer_returns(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.outer_returns(_w(spark, sf_dir)).select(
+        "return_id", "sale_id", "product_id", "sale_date", "missing_side", *STG_OUT)
+
+
+@query("outer_goals")
+def outer_goals(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.outer_goals(_w(spark, sf_dir)).select(
+        "year", "month", "store_id", "category_name", "goal_value", *STG_OUT)
+
+
+@query("outer_purchases")
+def outer_purchases(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.outer_purchases(_w(spark, sf_dir), PROJECT_START).select(
+        "purchase_line_id", "purchase_id", "supplier_id", "store_id", "unit_price", "missing_side", *STG_OUT)
+
+
+@query("collated_customers")
+def collated_customers(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.collated_customers(_w(spark, sf_dir)).select(
+        "customer_id", "doc_type", "doc_number", "city", "segment", "geography_key", *STG_OUT)
+
+
+@query("collated_customer_changes")
+def collated_customer_changes(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.collated_customer_changes(_w(spark, sf_dir))
+
+
+@query("collated_sale_states")
+def collated_sale_states(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.collated_sale_states(_w(spark, sf_dir)).select("sale_line_id", "sale_state", *STG_OUT)
+
+
+@query("collated_return_types")
+def collated_return_types(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.collated_return_types(_w(spark, sf_dir)).select("return_id", "return_type", *STG_OUT)
+
+
+@query("collated_goals")
+def collated_goals(spark, sf_dir):
+    from tallyhouse.plans import dirty
+    return dirty.collated_goals(_w(spark, sf_dir)).select(
+        "year", "month", "store_id", "category_name", "category_id_resolved", *STG_OUT)
+
+
+@query("audit_between")
+def audit_between(spark, sf_dir):
+    """Ranges and ordered dates over the goal feed and the order lines."""
+    from tallyhouse.operators.aggregate import union_all
+    from tallyhouse.operators.audit import Check, audit
+    w = _w(spark, sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").join(
+        spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"),
+        "l_orderkey")
+    goals = w.src.goals_csv_rows()
+    return union_all([
+        audit(goals, [Check("year_between", F.col("year").cast("int").between(1996, 2000)),
+                      Check("month_between", F.col("month").cast("int").between(2, 11)),
+                      Check("store_between", F.col("store_id").between(1, 10))], "goals"),
+        audit(lines, [Check("discount_between", F.col("l_discount").between(0.02, 0.08)),
+                      Check("ship_after_order", F.col("l_shipdate") >= F.col("o_orderdate"))], "lines"),
+    ])
+
+
+@query("declared_defaults")
+def declared_defaults(spark, sf_dir):
+    """Declared defaults where the input has no value: the minimum stock and the
+    day a customer was registered."""
+    from tallyhouse.operators.audit import apply_defaults
+    w = _w(spark, sf_dir)
+    products = w.src.products().select(
+        F.col("product_id").alias("id"), F.when(F.col("product_id") % 7 != 0, F.col("min_stock")).alias("min_stock"))
+    customers = w.src.customers().select(
+        F.col("customer_id").alias("id"), F.when(F.col("customer_id") % 5 != 0, F.col("registered")).alias("registered"))
+    products = apply_defaults(products, {"min_stock": 0})
+    customers = apply_defaults(customers, {"registered": w.run_date})
+    return products.select(F.lit("products").alias("table_name"), "id", F.col("min_stock").cast("string").alias("value")).unionByName(
+        customers.select(F.lit("customers").alias("table_name"), "id", F.col("registered").cast("string").alias("value")))

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse import constants as C
 from tallyhouse.functions.dates import parse_date
-from tallyhouse.functions.text import classify_contains, clean_trim, map_values
+from tallyhouse.functions.text import classify_contains, clean_trim, folded, map_values
 from tallyhouse.operators.lookup import resolve
 from tallyhouse.operators.rules import Dedup, Derive, Rule, apply_rules, judged, missing_ref, ref_flag, settle
-from tallyhouse.plans.extracts import join_sale_lines, sale_headers
+from tallyhouse.plans.extracts import MISSING, join_sale_lines, sale_headers
 
 
 MSG_CSV_MALFORMED = "Fila CSV con formato no válido"
@@ -29,9 +29,14 @@ def _malformed(stg: DataFrame) -> list[Rule]:
     return [Rule(MSG_CSV_MALFORMED, F.col(RAW_LINE).isNotNull())] if RAW_LINE in stg.columns else []
 
 
+def _marked(stg: DataFrame, side: str, message: str) -> list[Rule]:
+    """Rejects rows that an extraction kept although ``side`` is missing."""
+    return [Rule(message, F.col(MISSING) == side)] if MISSING in stg.columns else []
+
+
 def _not_in(col: str, values: Sequence) -> F.Column:
     # NULL -> NULL -> rule does not fire (NOT IN semantics)
-    return ~F.col(col).isin(list(values))
+    return ~folded(col).isin(list(values))
 
 
 def _sale_rules(run_date: str) -> dict[int, Rule]:
@@ -204,6 +209,7 @@ def validate_returns_strict(stg: DataFrame, sale_lines: DataFrame,
         "__pair_ok", F.array_contains("__sold", F.col("product_id"))).drop("__sold")
     d = parse_date("return_date")
     rules = [
+        *_marked(stg, "sale", MSG_X_NO_SALE),
         Rule(MSG_X_NO_SALE, F.col("sale_id").isNotNull() & ~F.col("__sale_ok")),
         Rule(MSG_X_NOT_ON_SALE, F.col("product_id").isNotNull() & ~F.coalesce("__pair_ok", F.lit(False))),
         Rule(C.MSG_RETURN_BEFORE_SALE, d < F.col("sale_date")),
@@ -237,6 +243,7 @@ def validate_products_strict(stg: DataFrame, categories: DataFrame,
         Dedup(C.MSG_PRODUCT_CODE_DUP, ["code"], list(order_by)),
         Rule(MSG_X_MIN_STOCK, F.col("min_stock") < 0),
         Rule(MSG_X_CATEGORY, missing_ref("__cat_ok")),
+        *_marked(stg, "category", MSG_X_CATEGORY),
     ]
     return apply_rules(df, rules).drop("__cat_ok")
 
@@ -300,14 +307,15 @@ def validate_purchases_strict(stg: DataFrame, suppliers: DataFrame, stores: Data
     """Default purchase rules, then the store must exist, the unit price
     must equal the catalogue cost, and the date must parse and lie in
     [start, run_date]."""
-    df = ref_flag(stg, suppliers, "supplier_id", "supplier_id", "__sup_ok")
+    marked = _marked(stg, "supplier", C.MSG_PURCHASE_SUPPLIER)
+    df = stg if marked else ref_flag(stg, suppliers, "supplier_id", "supplier_id", "__sup_ok")
     df = ref_flag(df, stores, "store_id", "store_id", "__store_ok")
     cost = products.select(F.col("product_id").alias("__pid"), F.col("cost_price").alias("__cost"))
     df = df.join(cost, df["product_id"] == F.col("__pid"), "left").drop("__pid")
     d = parse_date("purchase_date")
     rules = [
         Rule(C.MSG_QTY_PRICE, (F.col("quantity") <= 0) | (F.col("unit_price") <= 0)),
-        Rule(C.MSG_PURCHASE_SUPPLIER, missing_ref("__sup_ok")),
+        *(marked or [Rule(C.MSG_PURCHASE_SUPPLIER, missing_ref("__sup_ok"))]),
         Rule(MSG_X_STORE, missing_ref("__store_ok")),
         Rule(MSG_X_PRICE_COST, F.col("unit_price") != F.col("__cost")),
         Rule(MSG_X_PURCHASE_DATE, d.isNull() | (d < F.lit(start).cast("date")) |
