@@ -9,8 +9,8 @@ positions (20 of 50) meet.  A pair at similarity 0.8 fails to meet in all ten
 chunks with a chance of 1.6e-6, and pairs that differ in more than
 ``max_distance`` positions (less likely still) are not compared.
 
-Documents with the same set are one representative before anything is joined,
-so copies cost nothing.  Links between representatives are then found without
+Documents with the same set are one representative (with a number of its own)
+before anything is joined, so copies cost nothing.  Links between representatives are then found without
 listing all pairs of a crowded key:
 
 1. in a key of at most ``small_key`` members all pairs are tried; in a larger
@@ -18,16 +18,19 @@ listing all pairs of a crowded key:
 2. confirmed links are joined into components; large keys whose members now
    belong to one component are finished;
 3. in an unfinished key the members outside its largest component are compared
-   with all others, in blocks of bounded size that any task can take; blocks
-   give links between components, never pairs to be tried.
+   with all others, in blocks of bounded rows and bytes that any task can take.
+   A pair that has met inside the block (through links found before) is not
+   tried, nor is one that an earlier key of both brings together; blocks give
+   links between components, never pairs to be tried.
 
 Every pair that meets is thus either tried or already in one component, so the
 components are those of all links.  Shingles are compared by 64-bit hashes.
 
 Defined cases: null and empty texts have an empty set and stand alone; a text
-with fewer words than the shingle is one shingle; rows that repeat an id are
-the same document and get the same result; rows without an id stand alone and
-are kept; other columns are not read; an empty table gives an empty result.
+with fewer words than the shingle is one shingle; every row is judged by its
+own text, so rows that repeat an id get the same result only if their texts are
+linked; rows without an id stand alone and are kept; other columns are not
+read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,8 +46,7 @@ from tallyhouse.llm import common as c
 from tallyhouse.operators.keys import pin
 
 _SLICE = 1 << 20
-_NO_ID = np.iinfo(np.int64).min
-_PROFILE = "doc_id long, n_shingles long, digest_a long, digest_b long, signature binary"
+_PROFILE = "doc_id long, text_hash long, n_shingles long, digest_a long, digest_b long, signature binary"
 
 
 def shingle_sets(column: pa.ChunkedArray | pa.Array, size: int
@@ -91,7 +93,8 @@ def _profiles(size: int, flips: np.ndarray, factors: np.ndarray):
                             least = np.minimum.reduceat(((hashes ^ flip) * factor) >> np.uint64(32), at)
                             signature[full, j] = c.mix(least).astype(np.uint16)
                 yield pa.record_batch({
-                    "doc_id": batch.column("doc_id").slice(a, b - a), "n_shingles": count.astype(np.int64),
+                    "doc_id": batch.column("doc_id").slice(a, b - a),
+                    "text_hash": batch.column("text_hash").slice(a, b - a), "n_shingles": count.astype(np.int64),
                     "digest_a": digests[0].view(np.int64), "digest_b": digests[1].view(np.int64),
                     "signature": pa.array([row.tobytes() for row in signature], pa.binary())})
     return profiles
@@ -123,38 +126,49 @@ def _keys(chunks: int, width: int):
     return keys
 
 
+def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """In how many positions each row of ``left`` differs from each of ``right``."""
+    out = np.zeros((len(left), len(right)), np.uint8 if left.shape[1] < 256 else np.uint16)
+    for a, b in zip(left.T, right.T):
+        out += a[:, None] != b[None, :]
+    return out
+
+
 def _compare_blocks(chunks: int, width: int, percent: int, max_distance: int):
     """Links between a block of a key's outside members and a block of all its
-    members.  A pair that meets in several keys is compared in the first."""
+    members.  Components that meet here are one from then on, so what is left to
+    confirm shrinks with every link; a pair that meets in several keys is
+    confirmed in the first."""
     def compare(key: tuple, outside: pa.Table, members: pa.Table) -> pa.Table:
-        left, right = (_signatures(t.column("signature").combine_chunks()) for t in (outside, members))
-        ids, others = outside.column("rep").to_numpy(), members.column("rep").to_numpy()
-        n, m = outside.column("n").to_numpy(), members.column("n").to_numpy()
-        label, other = outside.column("component").to_numpy(), members.column("component").to_numpy()
-        keys = [np.stack(list(_key_columns(x, chunks, width)), 1) if len(x) else None for x in (left, right)]
-        sets = [np.frombuffer(x.as_py(), np.uint64) for x in members.column("hashes")]
-        a, b = [], []
-        for i, own in enumerate(outside.column("hashes")):
-            near = np.flatnonzero(((left[i] != right).sum(1) <= max_distance) & (other != label[i])
-                                  & (100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])))
-            if len(near):
-                shared = keys[0][i] == keys[1][near]
-                near = near[keys[0][i][shared.argmax(1)] == key[0].as_py()]
-            if len(near):
+        found: list[tuple[int, int]] = []
+        if len(outside) and len(members):
+            left, right = (_signatures(t.column("signature").combine_chunks()) for t in (outside, members))
+            n, m = outside.column("n").to_numpy(), members.column("n").to_numpy()
+            ids, others = outside.column("rep").to_numpy(), members.column("rep").to_numpy()
+            label, other = (t.column("component").to_numpy().copy() for t in (outside, members))
+            first, last = np.minimum(n[:, None], m[None, :]), np.maximum(n[:, None], m[None, :])
+            close = (_distances(left, right) <= max_distance) & (100 * first >= percent * last)
+            keys = [np.stack(list(_key_columns(x, chunks, width)), 1) for x in (left, right)]
+            sets = [np.frombuffer(x.as_py(), np.uint64) for x in members.column("hashes")]
+            for i, own in enumerate(outside.column("hashes")):
+                near = np.flatnonzero(close[i] & (other != label[i]))
+                if len(near):
+                    shared = keys[0][i] == keys[1][near]
+                    near = near[keys[0][i][shared.argmax(1)] == key[0].as_py()]
                 own = np.frombuffer(own.as_py(), np.uint64)
-                both = c.in_sorted(np.concatenate([sets[k] for k in near]), own)
-                both = np.add.reduceat(both.astype(np.int64), np.concatenate(([0], np.cumsum(m[near])[:-1])))
-                found = others[near[100 * both >= percent * (m[near] + n[i] - both)]]
-                a.append(np.full(len(found), ids[i]))
-                b.append(found)
-        none = [np.zeros(0, np.int64)]
-        # one link per pair of components is enough
-        a, b = np.concatenate(a or none), np.concatenate(b or none)
-        if len(a):
-            where = {x: y for x, y in zip(np.concatenate((ids, others)).tolist(), np.concatenate((label, other)).tolist())}
-            joined = {(where[x], where[y]): (x, y) for x, y in zip(a.tolist(), b.tolist())}
-            a, b = (np.array(x, np.int64) for x in zip(*joined.values()))
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
+                while len(near):
+                    now, near = near[:32], near[32:]
+                    both = c.in_sorted(np.concatenate([sets[k] for k in now]), own)
+                    both = np.add.reduceat(both.astype(np.int64), np.concatenate(([0], np.cumsum(m[now])[:-1])))
+                    for k in now[100 * both >= percent * (m[now] + n[i] - both)].tolist():
+                        if other[k] != label[i]:
+                            found.append((ids[i], others[k]))
+                            old = other[k]
+                            other[other == old] = label[i]
+                            label[label == old] = label[i]
+                    near = near[other[near] != label[i]]
+        a, b = (np.array([p[k] for p in found], np.int64) for k in (0, 1))
+        return pa.table({"a": a, "b": b})
     return compare
 
 
@@ -167,24 +181,23 @@ def _close(max_distance: int):
     return close
 
 
-def _set_rows(size: int):
+_BITMAP = 1 << 23
+
+
+def _set_rows(size: int, bitmap: np.ndarray):
+    """Shingle sets of the rows whose place is set in the bitmap."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            place = batch.column("place").to_numpy().astype(np.uint64)
+            batch = batch.filter(pa.array((bitmap[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)) > 0))
             for a, b, hashes, first in shingle_sets(batch.column("text"), size):
                 yield pa.record_batch({
-                    "id": batch.column("doc_id").slice(a, b - a),
+                    "doc_id": batch.column("doc_id").slice(a, b - a),
+                    "text_hash": batch.column("text_hash").slice(a, b - a),
                     "hashes": pa.array([hashes[x:y].tobytes() for x, y in zip(first, first[1:])], pa.binary())})
     return rows
 
 
-def _among(known: np.ndarray):
-    def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id").fill_null(_NO_ID).to_numpy()
-            yield batch.filter(pa.array(np.isin(ids, known)))
-    return among
-
-
 def _confirmed(percent: int):
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,46 +210,134 @@ def _confirmed(percent: int):
     return confirmed
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, component) for nodes (id) and edges (a, b): each node's smallest
-    reachable id.  Every round takes each label to its smallest neighbour, that
-    one's and so on for eight steps, and merges the labels, so the edges shrink
-    until none is left."""
-    found = nodes.select("id", F.col("id").alias("component"))
-    edges = pin(edges.select("a", "b"), "edges")
-    while not edges.isEmpty():
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = pin(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "parents")
-        for _ in range(3):
-            up = up.join(up.select(F.col("a").alias("p"), F.col("p").alias("q")), "p").select("a", F.col("q").alias("p"))
-        up = pin(up, "parents")
-        found = found.join(up.withColumnRenamed("a", "component"), "component", "left").select(
-            "id", F.coalesce("p", "component").alias("component"))
-        edges = pin(edges.join(up.withColumnRenamed("p", "x"), "a")
-                    .join(up.select(F.col("a").alias("b"), F.col("p").alias("y")), "b")
-                    .filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges as a forest: every node that is not the smallest of its component,
+    and that smallest node."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    root = np.arange(len(nodes))
+    while len(x):
+        x, y = root[x], root[y]
+        apart = x != y
+        x, y = x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != root[root]).any():
+            root = root[root]
+    child = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[child], nodes[root[child]]
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a task as a forest, in bounded memory: a forest that has grown
+    beyond ``_NODES`` is handed on and a new one begun."""
+    a, b, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def grown() -> tuple[np.ndarray, np.ndarray]:
+        new = [(x.column("a").to_numpy(), x.column("b").to_numpy()) for x in waiting]
+        waiting.clear()
+        return forest(np.concatenate([a, *(x for x, _ in new)]), np.concatenate([b, *(y for _, y in new)]))
+
+    def rows() -> pa.RecordBatch:
+        return pa.record_batch({"a": a, "b": b})
+
+    for batch in batches:
+        waiting.append(batch)
+        if sum(map(len, waiting)) >= max(_NODES // 4, len(a)):
+            a, b = grown()
+            if len(a) > _NODES:
+                yield rows()
+                a, b = a[:0], b[:0]
+    a, b = grown()
+    yield rows()
+
+
+_NODES = 1 << 21
+
+
+def linked(edges: DataFrame, task_edges: int = 1 << 20, patience: float = 0.5) -> DataFrame:
+    """(id, component) for every node of the edges (a, b) that is not the smallest
+    of its component.
+
+    A task turns the edges it reads into a forest, and the next pass reads several
+    tasks' forests in one, about ``task_edges`` edges a task, without a shuffle,
+    until one task has read the last.  Where a pass leaves more than ``patience``
+    of the tasks, a round of hooking follows: every label goes to its smallest
+    neighbour, that one's and so on for eight steps, which shrinks the edges by
+    joins."""
+    def pass_over(rows: DataFrame) -> tuple[DataFrame, int]:
+        done = pin(rows.select("a", "b").mapInArrow(_forest, "a long, b long"), "forest")
+        return done, max(1, -(-done.count() // task_edges))
+
+    edges, tasks = pass_over(edges)
+    hooks = []
+    while True:
+        edges, left = pass_over(edges.coalesce(tasks))
+        if tasks == 1:
+            break
+        if left > patience * tasks:
+            up, edges = _hook(edges)
+            hooks.append(up)
+            edges, left = pass_over(edges)
+        tasks = left
+    found = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    for up in reversed(hooks):  # a node's component is that of its label
+        of_label = found.select(F.col("id").alias("p"), F.col("component").alias("q"))
+        found = pin(up.join(of_label, "p", "left").select(F.col("a").alias("id"), F.coalesce("q", "p").alias(
+            "component")).filter("id != component"), "found")
     return found
 
 
+def _hook(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each node's new label (a, p), and the edges between different labels."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    up = pin(both.groupBy("a").agg(F.least("a", F.min("b")).alias("p")), "parents")
+    for _ in range(3):
+        up = up.join(up.select(F.col("a").alias("p"), F.col("p").alias("q")), "p").select("a", F.col("q").alias("p"))
+    up = pin(up, "parents")
+    left = (edges.join(up.withColumnRenamed("p", "x"), "a")
+            .join(up.select(F.col("a").alias("b"), F.col("p").alias("y")), "b")
+            .filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    return up, left
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component) for nodes (id) and edges (a, b): each node's smallest reachable id."""
+    return nodes.select("id").join(linked(edges), "id", "left").select(
+        "id", F.coalesce("component", "id").alias("component"))
+
+
 class _Search:
     """Tries pairs of representatives and keeps the components found."""
 
-    def __init__(self, rows: DataFrame, reps: DataFrame, size: int, percent: int, max_distance: int,
-                 max_known: int) -> None:
+    def __init__(self, rows: DataFrame, reps: DataFrame, size: int, percent: int, max_distance: int) -> None:
         self.rows, self.reps, self.size, self.percent = rows, reps, size, percent
-        self.max_distance, self.max_known = max_distance, max_known
-        self.labels = reps.select(F.col("rep").alias("id"), F.col("rep").alias("component"))
-
-    def _sets(self, ids: DataFrame, at_most: int) -> DataFrame:
-        """Shingle sets of the documents asked for.  Up to ``max_known`` ids (8
-        bytes each) the scan picks them, else a join does."""
-        rows = self.rows
-        if at_most <= self.max_known:
-            known = np.array([r["id"] for r in ids.collect()], np.int64)
-            rows = rows.mapInArrow(_among(known), rows.schema)
-        else:
-            rows = rows.join(ids, rows["doc_id"] == ids["id"], "left_semi")
-        return pin(rows.mapInArrow(_set_rows(self.size), "id long, hashes binary"), "sets")
+        self.max_distance = max_distance
+        self.links: DataFrame | None = None  # node, smallest node of its component
+
+    def labelled(self, members: DataFrame) -> DataFrame:
+        """Members (rep) with the component that the links so far give them."""
+        if self.links is None:
+            return members.withColumn("component", F.col("rep"))
+        found = self.links.withColumnRenamed("id", "rep")
+        return members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    def _sets(self, ids: DataFrame) -> DataFrame:
+        """The shingle sets of the representatives asked for (id), made from the
+        row that each of them stands for.  The scan is told of them by a bitmap of
+        fixed size over hashed rows; the few others that pass it leave in the join,
+        which moves sets, never texts."""
+        wanted = self.reps.join(ids.withColumnRenamed("id", "rep"), "rep", "left_semi").select(
+            F.col("rep").alias("id"), F.col("least.doc_id").alias("doc_id"), F.col("least.text_hash").alias("text_hash"))
+        place = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(_BITMAP)).alias("place")
+        wanted = pin(wanted.select("*", place), "wanted")
+        bitmap = np.zeros(_BITMAP >> 6, np.uint64)
+        for r in wanted.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr(
+                "shiftleft(1L, cast(place & 63 as int))")).alias("bits")).collect():  # at most _BITMAP / 64 rows
+            bitmap[r["word"]] = r["bits"] & c.MASK64
+        rows = self.rows.select("doc_id", "text_hash", "text", place).mapInArrow(
+            _set_rows(self.size, bitmap), "doc_id long, text_hash long, hashes binary")
+        return pin(rows.join(wanted.drop("place"), ["doc_id", "text_hash"]).select("id", "hashes").dropDuplicates(["id"]),
+                   "sets")
 
     def try_pairs(self, pairs: DataFrame) -> None:
         """``pairs`` (a, b, na, nb): a and b meet in some key."""
@@ -245,19 +346,19 @@ class _Search:
         signed = (pairs.join(self.reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a")
                   .join(self.reps.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b"))
         near = pin(signed.select("a", "b", "sa", "sb").mapInArrow(_close(self.max_distance), "a long, b long"), "pairs")
-        sets = self._sets(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * near.count())
+        sets = self._sets(near.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         self._link(near.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha")), "a")
                    .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb")), "b")
                    .mapInArrow(_confirmed(self.percent), "a long, b long"))
 
-    def try_blocks(self, left: DataFrame, chunks: int, width: int, block: int) -> None:
+    def try_blocks(self, left: DataFrame, chunks: int, width: int, block: int, block_bytes: int) -> None:
         """Every outside member of an unfinished key against all its members,
         block by block; only links come out."""
-        ids = left.select(F.col("rep").alias("id")).distinct()
-        sets = self._sets(ids, left.count()).dropDuplicates(["id"]).withColumnRenamed("id", "rep")
+        sets = self._sets(left.select(F.col("rep").alias("id")).distinct()).withColumnRenamed("id", "rep")
         outside = F.col("component") != F.col("main")
-        blocks = left.groupBy("key").agg(F.ceil(F.count_if(outside) / block).alias("la"),
-                                         F.ceil(F.count("*") / (4 * block)).alias("lb"))
+        held = lambda rows, where: F.ceil(F.greatest(
+            F.count_if(where) / rows, 8 * F.sum(F.when(where, F.col("n")).otherwise(0)) / block_bytes))
+        blocks = left.groupBy("key").agg(held(block, outside).alias("la"), held(4 * block, F.lit(True)).alias("lb"))
         placed = pin(left.join(blocks, "key").withColumns(
             {"x": F.pmod(F.xxhash64("rep"), "la"), "y": F.pmod(F.xxhash64("rep"), "lb")}), "placed")
         columns = ["key", "rep", "n", "component"]
@@ -271,17 +372,15 @@ class _Search:
             _compare_blocks(chunks, width, self.percent, self.max_distance), "a long, b long"))
 
     def _link(self, links: DataFrame) -> None:
-        between = (links.join(self.labels.select(F.col("id").alias("a"), F.col("component").alias("x")), "a")
-                   .join(self.labels.select(F.col("id").alias("b"), F.col("component").alias("y")), "b")
-                   .filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-        merged = components(self.labels.select(F.col("component").alias("id")).distinct(), between)
-        self.labels = pin(self.labels.join(merged.withColumnRenamed("component", "c").withColumnRenamed(
-            "id", "component"), "component").select("id", F.col("c").alias("component")), "labels")
+        """Take new links in: with the forest of those before, they give the next."""
+        if self.links is not None:
+            links = links.select("a", "b").unionAll(self.links.select("id", "component"))
+        self.links = linked(links)
 
     def unfinished(self, members: DataFrame) -> DataFrame:
         """Members of the keys that hold several components: key, rep, n,
         component and the key's largest component."""
-        labelled = members.join(self.labels.withColumnRenamed("id", "rep"), "rep")
+        labelled = self.labelled(members)
         sums = (labelled.groupBy("key", "component").agg(F.count("*").alias("k")).groupBy("key").agg(
             F.count("*").alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
             .filter("parts > 1"))
@@ -296,31 +395,38 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, chunks: int = 10, width: int = 5, max_distance: int = 25,
-                    small_key: int = 16, block: int = 256,
-                    max_known: int = 1 << 20) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id, kept."""
-    rows = c.id_and_text(docs.withColumn(id_col, docs[id_col].cast("long")), id_col, text_col)
+                    small_key: int = 16, block: int = 256, block_bytes: int = 1 << 25) -> DataFrame:
+    """One row per document row: doc_id, text_hash (``xxhash64`` of the text),
+    n_shingles, component_id (the smallest id reachable), kept (the id is that
+    one), and keeper: the row has the smallest (id, text_hash) of its component,
+    which only repeated rows share."""
+    rows = c.id_and_text(docs.withColumn(id_col, docs[id_col].cast("long")), id_col, text_col).withColumn(
+        "text_hash", F.xxhash64("text"))
     flips = np.random.default_rng(77041).integers(0, c.MASK64, chunks * width, dtype=np.uint64)
     factors = np.random.default_rng(90001).integers(0, c.MASK64, chunks * width, dtype=np.uint64) | np.uint64(1)
     scanned = pin(rows.mapInArrow(_profiles(shingle, flips, factors), _PROFILE), "profiles")
-    digest = ["n_shingles", "digest_a", "digest_b"]
+    digest, least = ["n_shingles", "digest_a", "digest_b"], F.min(F.struct("doc_id", "text_hash")).alias("least")
     reps = pin(scanned.filter("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(
-        F.min("doc_id").alias("rep"), F.max("signature").alias("signature"))
-        .withColumnRenamed("n_shingles", "n"), "reps")
+        least, F.max("signature").alias("signature")).withColumnRenamed("n_shingles", "n").withColumn(
+        "rep", F.monotonically_increasing_id()), "reps")
     keys = reps.select("rep", "n", "signature").mapInArrow(_keys(chunks, width), "key long, rep long, n long")
     hubs = keys.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("size"))
     members = pin(keys.join(hubs.filter("size > 1"), "key").select("key", "rep", "n", "hub", "size"), "members")
     small, large = members.filter(F.col("size") <= small_key), members.filter(F.col("size") > small_key)
-    search = _Search(rows, reps, shingle, percent, max_distance, max_known)
+    search = _Search(rows, reps, shingle, percent, max_distance)
     search.try_pairs(large.filter("rep != hub.rep").select(
         F.col("rep").alias("a"), F.col("hub.rep").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb")
     ).unionAll(_pairs(small, small).filter("a < b")))
     left = search.unfinished(large.select("key", "rep", "n"))
     if not left.isEmpty():
-        search.try_blocks(left, chunks, width, block)
-    groups = reps.join(search.labels.withColumnRenamed("id", "rep"), "rep").select(
-        F.col("n").alias("n_shingles"), "digest_a", "digest_b", "component")
-    own = scanned.join(groups, digest, "left").withColumn(
-        "component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-    return own.select("doc_id", "n_shingles", "component_id",
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        search.try_blocks(left, chunks, width, block, block_bytes)
+    named = search.labelled(reps.select("rep", F.col("n").alias("n_shingles"), "digest_a", "digest_b", "least"))
+    firsts = named.groupBy("component").agg(F.min("least").alias("first"))
+    groups = named.join(firsts, "component").select(*digest, "first")
+    own = scanned.drop("signature").join(groups, digest, "left")
+    alone = F.col("doc_id").isNull() | F.col("first").isNull()
+    component = F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return own.select(
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        (alone | (F.struct("doc_id", "text_hash") == F.col("first"))).alias("keeper"))

@@ -1,13 +1,15 @@
 """Substring dedup, near-duplicates and decontamination against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.decontaminate import contamination
-from tallyhouse.llm.near_dup import components, near_duplicates
+from tallyhouse.llm.near_dup import components, forest, linked, near_duplicates
 from tallyhouse.llm.substring_dedup import remove_repeats
 from tests.llm.helpers import ITEM_WORD, LOWER, WORD, odd_documents, texts, window_dict
 
@@ -113,6 +115,58 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 0 if i < 20 else 20 if i <= 30 else i for i in range(40)}
 
 
+def test_components_over_many_tasks(spark):
+    """A long chain in random order over 40 tasks, by passes alone and with rounds of hooking."""
+    rnd = random.Random(4)
+    edges = [(i, i + 1) for i in range(0, 3000) if i % 100] + [(rnd.randrange(4000, 4500), rnd.randrange(4000, 4500)) for _ in range(300)]
+    rnd.shuffle(edges)
+    label = {}
+
+    def find(x):
+        while label.setdefault(x, x) != x:
+            x = label[x]
+        return x
+    for x, y in edges:
+        x, y = sorted((find(x), find(y)))
+        label[y] = x
+    want = {x: find(x) for x in label if find(x) != x}
+    table = spark.createDataFrame(edges, "a long, b long").repartition(40)
+    for how in ({}, {"task_edges": 100}, {"task_edges": 40, "patience": 0.0}):
+        assert {r["id"]: r["component"] for r in linked(table, **how).collect()} == want
+    a, b = forest(np.array([5, 9, 7, 1]), np.array([9, 5, 1, 1]))
+    assert dict(zip(a.tolist(), b.tolist())) == {9: 5, 7: 1}
+
+
+def test_near_duplicates_of_one_id_with_two_texts(spark):
+    """Every row out once, each judged by its own text; one keeper a component."""
+    t = " ".join(f"t{i}" for i in range(60))
+    rows = [(1, "a b c d e"), (1, "f g h i j"), (2, "z y x"), (1, t), (3, t), (3, "unlike all others here"),
+            (4, t + " more"), (4, t), (7, "p q r s t u v"), (7, "p q r s t u v"), (None, t), (None, t)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), small_key=1).collect()
+    assert len(got) == len(rows)
+    shown = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"], r["keeper"]) for r in got)
+    assert shown == Counter([(1, 1, 1, True, True), (1, 1, 1, True, True), (2, 1, 2, True, True), (1, 56, 1, True, True),
+                             (3, 56, 1, False, False), (3, 1, 3, True, True), (4, 57, 1, False, False),
+                             (4, 56, 1, False, False), (7, 3, 7, True, True), (7, 3, 7, True, True),
+                             (None, 56, None, True, True), (None, 56, None, True, True)])
+
+
+def test_near_duplicates_of_a_large_group(spark):
+    """600 variants of one text among unrelated rows: crowded keys, brute-force components."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(f"u{rnd.randrange(5000)}" for _ in range(30))) for i in range(200)]
+    for i in range(600):
+        words = list(base)
+        for _ in range(rnd.randrange(2, 6)):
+            words[rnd.randrange(60)] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((1000 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    _, label = brute_components(rows, 2, 80)
+    got = near_duplicates(docs, shingle=2, block=32, block_bytes=1 << 13).collect()
+    assert len(got) == len(rows) and {r["doc_id"]: r["component_id"] for r in got} == label
+
+
 def test_empty_tables(spark):
     none = odd_documents(spark).limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
