@@ -46,30 +46,26 @@ _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _encoders: dict[str, Callable[[str], bytes]] = {}
 
 
-def _byte_of() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for:
-    printable Latin-1 characters are themselves, the others follow from U+0100."""
-    same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [x for x in range(256) if x not in set(same)]
-    return {chr(x): x for x in same} | {chr(0x100 + i): x for i, x in enumerate(rest)}
-
-
 def encoder(path: str) -> Callable[[str], bytes]:
-    """A text to its token ids as little-endian unsigned 32-bit integers.
+    """A text to its token ids as little-endian unsigned 32-bit integers, as the
+    ``tokenizers`` library gives them: strings of added tokens are those tokens.
 
-    The vocabulary is read from the ``tokenizers`` file.  In a byte-level
-    vocabulary whose ids follow the order of its merges the ids are the merge
-    ranks, so the faster of the two libraries gives the same ids."""
+    Where the ids follow the order of the merges, they are the ranks that a faster
+    library merges by; this is looked up, and any other vocabulary is encoded by
+    ``byte_pair``."""
     if path not in _encoders:
         from tiktoken import Encoding
-        from tokenizers import Tokenizer
-        byte_of = _byte_of()
-        vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
-        ranks = {bytes(byte_of[x] for x in word): i for word, i in vocabulary.items()
-                 if all(x in byte_of for x in word)}
-        ranks.pop(b"<|endoftext|>", None)
-        encode = Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        _encoders[path] = lambda text: np.array(encode(text), "<u4").tobytes()
+
+        from tallyhouse.llm.byte_pair import Encoder, Vocabulary
+        v = Vocabulary(path)
+        if (np.diff(v.product) > 0).all() and (not len(v.product) or v.first.max() < v.product[0]):
+            known = [bytes(v.bytes[a:a + n]) for a, n in zip(v.starts, v.lengths)]
+            ranks = {w: i for i, w in enumerate(known) if w and i not in v.added.values()}
+            encode = Encoding(path, pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=v.added).encode
+            _encoders[path] = lambda text: np.array(encode(text, allowed_special="all"), "<u4").tobytes()
+        else:
+            use = Encoder(path)
+            _encoders[path] = lambda text: use.encode([text])[0].astype("<u4").tobytes()
     return _encoders[path]
 
 

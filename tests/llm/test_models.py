@@ -178,9 +178,9 @@ def test_pages_equal_their_articles(spark):
 # ---------------------------------------------------------------------- packing
 def test_ids_are_those_of_the_tokenizer():
     model = Tokenizer.from_file(VOCABULARY)
-    model.encode_special_tokens = True
     odd = ["", " ", "a  b\n\n c\t", "'s don't I'LL", "naïve café 中文字 🙂", "x" * 5000, "1234 ²³ Ⅷ", "\x85\x1c​᠎ a",
-           "<|endoftext|> end"]
+           "<|endoftext|> end",
+           "a <|endoftext|> b<|endoftext|><|endoftext", "<|endoftext|>"]
     for t in odd:
         assert np.frombuffer(encoder(VOCABULARY)(t), "<u4").tolist() == model.encode(t, add_special_tokens=False).ids
 

@@ -81,3 +81,16 @@ def test_contaminated_rows_go_by_their_text(spark):
     assert got.columns == docs.columns
     assert {(r["doc_id"], r["text"]) for r in got.collect()} == {x for x in rows if item not in (x[1] or "")}
     assert got.count() == 5
+
+
+def test_one_id_with_two_texts_loses_no_clean_row(spark):
+    """(3, T) is a copy of (1, T); (3, U) is a copy of nothing and stays, as do rows without an id."""
+    t, u = (" ".join(f"{x}{i}" for i in range(60)) for x in "tu")
+    rows = [(1, t), (3, t), (3, u), (4, t + " more"), (5, u + " other end"), (5, u), (None, t), (None, t), (6, "short"),
+            (6, "short"), (7, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "text_hash": F.lit(5), "keeper": F.lit("x"), "n_chars": F.length("text").cast("long")})
+    got = corpus_pipeline.near_dup(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    assert kept == sorted([(1, t), (3, u), (None, t), (None, t), (6, "short"), (7, None), (None, None)], key=str)
