@@ -5,14 +5,17 @@ but the last return the columns of ``documents``:
 
 1. ``quality``: failing lines are removed; documents that the rules reject go;
 2. ``near_dup``: of each group of near-duplicates (five-word shingles,
-   similarity 0.8 or more) the document with the smallest id stays;
+   similarity 0.8 or more) the document with the smallest id stays (of several
+   texts under that id, the one with the smallest hash);
 3. ``decontaminate``: documents that share ten consecutive words with a test
    item go (an item of fewer words is one window), each row judged by its text;
 4. ``secrets``: secrets are replaced by a mark; the documents stay;
 5. ``pack``: the texts are tokenised and packed into sequences.
 
 A stage that changes a text also sets its ``n_chars``.  Rows that repeat an id
-with the same columns are one document and one of them stays.  An empty
+with the same text are one document and one of them stays; rows that share an
+id but not the text are judged each by its own.  Rows without an id are never
+near-duplicates; the other stages treat them like any row.  An empty
 ``documents`` table gives an empty result.
 """
 
@@ -52,23 +55,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = pin(near_duplicates(docs).groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.min("kept").alias("kept")).filter("not kept or n > 1"), "judged")
-    kept = docs.join(judged.filter(~F.col("kept")).select("doc_id"), "doc_id", "left_anti")
-    repeated = judged.filter("kept and doc_id is not null").select("doc_id")
-    if not repeated.isEmpty():  # rows that repeat an id: equal rows are one
-        kept = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionAll(
-            kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).distinct())
+    # a verdict belongs to a row's id and text, so of one id with two texts each is judged
+    judged = pin(near_duplicates(docs).groupBy("doc_id", "text_hash").agg(
+        F.count("*").alias("n"), F.min("keeper").alias("keeper")).filter("doc_id is not null and (not keeper or n > 1)"),
+        "judged")
+    hashed = docs.select("*", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias(_HASH))
+    named = [F.col("doc_id").alias("i"), F.col("text_hash").alias("h")]
+    same = lambda d, j: (d["doc_id"].cast("long") == j["i"]) & (d[_HASH] == j["h"])
+    gone = judged.filter(~F.col("keeper")).select(*named)
+    kept = hashed.join(gone, same(hashed, gone), "left_anti")
+    repeated = judged.filter("keeper").select(*named)
+    if not repeated.isEmpty():  # rows that repeat id and text: one of them stays
+        more = kept.join(repeated, same(kept, repeated), "left_semi").dropDuplicates(["doc_id", _HASH])
+        kept = kept.join(repeated, same(kept, repeated), "left_anti").unionAll(more)
     return kept.select(*docs.columns)
 
 
+_HASH = "hash of the text"
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    # the verdict is the text's alone, so its digest tells the rows, with or without an id
-    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    judged = contamination(docs.select(digest.alias("digest"), "text"), benchmark, id_col="digest")
-    hit = pin(judged.filter("contaminated").select(F.col("doc_id").alias("digest")).distinct(), "contaminated")
-    return docs.join(hit, digest == hit["digest"], "left_anti").select(*docs.columns)
+    # the row rides through the scan, so no text is shuffled and an id is not needed
+    judged = contamination(_carried(docs), benchmark, id_col="row")
+    return judged.filter(~F.col("contaminated")).select("doc_id.*").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
