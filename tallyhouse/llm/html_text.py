@@ -11,7 +11,9 @@ Every page is handled by itself, in one pass, with no shuffle.
 Defined cases: a null or empty page has no text; a page cut off inside a tag
 or comment loses that tag only; unclosed elements end with the element around
 them; character references are decoded as browsers do, unknown ones stay;
-pages without any main block give an empty text; repeated rows are extracted
+class names count as furniture only as whole names or with parts that say where;
+an article inside comments, a sidebar or a menu is part of them; pages without
+any main block give an empty text; repeated rows are extracted
 each; columns other than the three named are not read.
 """
 
@@ -86,6 +88,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("script style noscript template iframe svg math object audio video canvas".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 FURNITURE = frozenset("nav header footer aside form menu dialog head select button textarea fieldset".split())
+# elements that may hold an article although they are furniture by themselves
+WEAK = frozenset("form header fieldset".split())
+# the page and its article keep their text whatever their class says
+NEVER = frozenset("html body main article".split())
 FURNITURE_NAMES = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
@@ -96,20 +102,39 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)|[^<]++|<", re.S)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\shidden(?=[\s>/=]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _SENTENCE = re.compile(r"[.!?…。！？][\"'»”’)]*$")
-
-
-def _furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE:
-        return True
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    names = " ".join(x or y or z for x, y, z in _NAMED.findall(attributes)).lower()
-    return bool(names) and not FURNITURE_NAMES.isdisjoint(re.split(r"[\s_-]+", names))
+# parts of compound names that say where a name belongs, not what it describes
+_PLACES = frozenset("site page main top bottom left right global primary secondary post article js u c l is the "
+                    "block box area section wrapper container inner list item content bar links".split())
+
+
+def _named(value: str) -> bool:
+    """Whether a class, id or role is the name of page furniture: the whole name, or
+    a compound whose other parts only say where (``site-header``, ``comment-list``).
+    ``no-sidebar``, ``page-with-header`` and ``market-share`` are other names."""
+    for name in value.lower().split():
+        parts = [p for p in re.split(r"[_-]+", name) if p]
+        known = [p in FURNITURE_NAMES for p in parts]
+        if any(known) and all(k or p in _PLACES for k, p in zip(known, parts)):
+            return True
+    return False
+
+
+def _furniture(tag: str, attributes: str) -> int:
+    """2 if an element is furniture by its tag, a name of its own, or hidden; 1 if
+    by a tag that may hold an article; else 0."""
+    if tag in FURNITURE - WEAK:
+        return 2
+    named = False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), values[0] or values[1] or values[2]
+        if (name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true"
+                or name == "style" and _NONE.search(value)):
+            return 2
+        named |= name in ("class", "id", "role") and tag not in NEVER and _named(value)
+    return 2 if named else int(tag in WEAK)
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
@@ -117,7 +142,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
     encloses it, for every block of a page with a word."""
     found: list[tuple[str, int, int, bool, bool, bool]] = []
     # open elements: name, furniture, article, heading, in a link, dropped
-    top = ("", False, False, False, False, False)
+    top = ("", 0, False, False, False, False)
     stack, parts, state, at = [top], [], top, 0
 
     def close() -> None:
@@ -126,7 +151,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             words = references.unescape("".join(t for t, _ in parts)).split()
             if words:
                 linked = sum(len(references.unescape(t).split()) for t, link in parts if link)
-                found.append((" ".join(words), len(words), min(linked, len(words)), state[1], state[2], state[3]))
+                found.append((" ".join(words), len(words), min(linked, len(words)), bool(state[1]), state[2], state[3]))
             parts.clear()
 
     end = len(page)
@@ -157,11 +182,11 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             continue
         _, furniture, article, heading, link, dropped = state
         named = _furniture(tag, attributes)
-        if tag in ("article", "main") and not named:
-            furniture, article, heading = False, True, False
+        if tag in ("article", "main") and max(furniture, named) < 2:
+            furniture, article, heading = 0, True, False  # inside comments or a sidebar it stays furniture
         elif tag == "header" and article and not furniture:
-            named = False  # the heading of an article
-        state = (tag, furniture or named, article, heading or tag in HEADINGS, link or tag == "a",
+            named = 0 if named < 2 else named  # the heading of an article
+        state = (tag, max(furniture, named), article, heading or tag in HEADINGS, link or tag == "a",
                  dropped or tag in DROPPED)
         stack.append(state)
         if tag in RAW:

@@ -7,13 +7,18 @@ components of near-duplicates (op10), eigenvectors (op11) and BPE (op12).
 
 from __future__ import annotations
 
-from tallyhouse.llm.quality_rules import BOILERPLATE
+from tallyhouse.llm.quality_rules import BOILERPLATE, ENTRY_WORDS, MENU_LINES, SHORT_LINE
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_PUNCTUATION = r"!-/:-@\[-`{-~"
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_BOILERPLATE = " OR ".join(f"contains(lower(line), '{x}')" for x in BOILERPLATE)
+_PHRASE = " OR ".join(f"contains(lower(line), '{x}')" for x in BOILERPLATE)
+_PHRASE_WORDS = " + ".join(f"CAST(length(lower(line)) - length(replace(lower(line), '{x}', '')) AS DOUBLE) / {len(x)} * {len(x.split())}"
+                           for x in BOILERPLATE)
+_BOILERPLATE = f"(({_PHRASE}) AND (n <= {SHORT_LINE} OR ({_PHRASE_WORDS}) * 5 >= n))"
+_END = r"[.!?:;,…。！？][\"''»”’)\]]*[\x20\x09-\x0D]*$"
 
 
 def _only(text: str, inside: str) -> str:
@@ -55,9 +60,13 @@ win AS (SELECT doc_id, p, array_to_string(ws[p:p + 2], ' ') AS k FROM (
 twice AS (SELECT doc_id, k FROM win GROUP BY doc_id, k HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT q) AS n FROM (
   SELECT doc_id, unnest(range(p, p + 3)) AS q FROM win JOIN twice USING (doc_id, k)) GROUP BY doc_id),
-raw AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-lines AS (SELECT doc_id, line, regexp_extract_all(line, '{_WORD}') AS lw, len(lw) AS n FROM raw WHERE len(regexp_extract_all(line, '{_WORD}')) > 0),
-judged AS (SELECT doc_id, line, n, (n >= 5 AND (
+raw AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
+worded AS (SELECT doc_id, line, pos, regexp_extract_all(line, '{_WORD}') AS lw, len(lw) AS n FROM raw WHERE len(regexp_extract_all(line, '{_WORD}')) > 0),
+entries AS (SELECT *, n <= {ENTRY_WORDS} AND NOT regexp_matches(line, '{_END}') AS entry FROM worded),
+runs AS (SELECT *, count(*) FILTER (entry) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {MENU_LINES - 1} FOLLOWING)
+  = {MENU_LINES} AS begins FROM entries),
+lines AS (SELECT *, bool_or(begins) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {MENU_LINES - 1} PRECEDING AND CURRENT ROW) AS menu FROM runs),
+judged AS (SELECT doc_id, line, n, menu OR (n >= 3 AND 2 * {_only('line', _PUNCTUATION)} > length(array_to_string(lw, ''))) OR (n >= 5 AND (
   ({_only('line', 'A-Z')} >= 6 AND {_only('line', 'A-Z')} > CAST(0.6 AS DOUBLE) * {_only('line', 'A-Za-z')})
   OR {_only('line', '#*$%&|<>')} > CAST(0.5 AS DOUBLE) * n
   OR len(list_filter(lw, lambda x: x IN ('|', '>', '»', '·', '/'))) * 3 >= n

@@ -1,7 +1,9 @@
 """Line-first cleaning of documents, in DataFrame functions only.
 
-Each line of a text is judged by itself: symbol-laden lines, shouted lines,
-lines that repeat one word, menu lines and boilerplate lines fail.  Failing
+Each line of a text is judged by itself: symbol-laden lines, lines of
+punctuation, shouted lines, lines that repeat one word, menu lines and
+boilerplate lines fail, and so do the lines of a vertical menu: a run of short
+lines none of which ends as a sentence does.  Failing
 lines are removed, and a document that loses more than ``max_lost`` of its
 words that way is rejected, next to the base limits (too short, or mostly
 repeated three-word windows).
@@ -31,6 +33,9 @@ BOILERPLATE = ("all rights reserved", "cookie policy", "privacy policy", "terms
                "terms of service", "enable javascript", "click here", "sign up for our newsletter",
                "is licensed under", "lorem ipsum", "powered by")
 SHORT_LINE = 20  # words up to which one phrase makes a line boilerplate
+ENTRY_WORDS, MENU_LINES = 3, 6  # words of a menu entry at most, and lines of a menu at least
+PUNCTUATION = "!-/:-@\\[-`{-~"
+SENTENCE_END = r"[.!?:;,…。！？][\"'»”’)\]]*[\x20\x09-\x0D]*$"
 
 
 def only(text: Column, inside: str) -> Column:
@@ -84,6 +89,9 @@ def line_fails(line: Column, words: Column, max_symbols: float = 0.5,
     def menu(n: Column) -> Column:
         return F.size(F.filter(words, lambda x: x.isin("|", ">", "»", "·", "/"))) * 3 >= n
 
+    def punctuation(n: Column) -> Column:
+        return (n >= 3) & (2 * F.length(only(line, PUNCTUATION)) > F.length(F.array_join(words, "")))
+
     def repeats(n: Column) -> Column:
         return (n >= 15) & (F.size(F.array_distinct(words)) <= 3)
 
@@ -96,7 +104,22 @@ def line_fails(line: Column, words: Column, max_symbols: float = 0.5,
             (n <= SHORT_LINE) | (phrase_words(low) * 5 >= n)))
 
     return let(F.size(words), lambda n: ((n >= 5) & (
-        shouted() | many_symbols(n) | menu(n) | repeats(n))) | boilerplate(n))
+        shouted() | many_symbols(n) | menu(n) | repeats(n))) | punctuation(n) | boilerplate(n))
+
+
+def in_vertical_menu(entries: Column, lines: int = MENU_LINES) -> Column:
+    """For flags of short lines without a sentence end (an array): which of them
+    stand in a run of at least ``lines``."""
+    def begins(e: Column, i: Column) -> Column:
+        return reduce(lambda a, b: a & b, (F.coalesce(F.get(e, i + k), F.lit(False)) for k in range(lines)))
+
+    def near(first: Column) -> Column:
+        return F.transform(first, lambda x, i: reduce(or_, (
+            F.coalesce(F.get(first, i - k), F.lit(False)) for k in range(lines))))
+
+    none = F.transform(entries, lambda x: F.lit(False))
+    return F.when(F.size(F.filter(entries, lambda x: x)) < lines, none).otherwise(
+        let(F.transform(entries, lambda x, i: begins(entries, i)), near))
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -108,9 +131,10 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         x.alias("line"), word_list(x).alias("words"))), lambda e: F.size(e["words"]) > 0)
 
     def judged(parts: Column, words: Column) -> Column:
-        marks = F.transform(parts, lambda e: F.struct(
+        entries = F.transform(parts, lambda e: (F.size(e["words"]) <= ENTRY_WORDS) & ~e["line"].rlike(SENTENCE_END))
+        marks = let(let(entries, in_vertical_menu), lambda menu: F.transform(parts, lambda e, i: F.struct(
             e["line"].alias("line"), F.size(e["words"]).alias("n"),
-            line_fails(e["line"], e["words"]).alias("fails")))
+            (F.get(menu, i) | line_fails(e["line"], e["words"])).alias("fails"))))
         return let(marks, lambda m: F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),

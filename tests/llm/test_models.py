@@ -149,7 +149,18 @@ MAIN = "This is the first sentence of a longer paragraph, which says something a
     (f"<article><p>{MAIN}</p><aside>{MAIN}</aside><form><p>{MAIN}</p></form></article>", MAIN),
     (f"<article><p>a &lt;b&gt; &amp; c&#33;\n\n  d &copy e</p><script>if (a<b) '<p>{MAIN}</p>'</script></article>", "a <b> & c! d © e"),
     (f"<article><p title='a > b'>{MAIN}</p><p>cut <b", f"{MAIN} cut"),
-    (f"<p>{MAIN}<p hidden>{MAIN}</p>", MAIN)])
+    (f"<p>{MAIN}<p hidden>{MAIN}</p>", MAIN),
+    # names are matched whole
+    (f"<body class='no-sidebar'><div id=content><p>{MAIN}</p></div></body>", MAIN),
+    (f"<div class='page-with-header'><p>{MAIN}</p></div>", MAIN),
+    (f"<article><p class='market-share search-results'>{MAIN}</p><p title='display:none'>{MAIN}</p></article>", f"{MAIN} {MAIN}"),
+    (f"<article><p>{MAIN}</p><div class='share-buttons ad'>{MAIN}</div><div id=comment-list>{MAIN}</div></article>", MAIN),
+    (f"<div class='site-header'>{MAIN}</div><p style='color:red; display: none'>{MAIN}</p><article><p>{MAIN}</p></article>", MAIN),
+    # nested articles are judged by what encloses them
+    (f"<article><p>{MAIN}</p></article><section id=comments><article><p>{MAIN}</p></article></section>", MAIN),
+    (f"<main><p>{MAIN}</p><aside><article><p>{MAIN}</p></article></aside></main>", MAIN),
+    (f"<div class=related><div><article><p>{MAIN}</p></article></div></div><article><p>{MAIN}</p></article>", MAIN),
+    (f"<form><div><article><p>{MAIN}</p></article></div></form>", MAIN)])
 def test_main_text_of_a_page(spark, page, want):
     assert html_text.main_text(page, tree(spark)) == want
 

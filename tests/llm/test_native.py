@@ -160,3 +160,32 @@ def test_long_lines_that_mention_a_boilerplate_phrase_stay(spark):
         list(cases.items()), "doc_id long, text string")).collect()}
     assert got[1]["kept"] and got[1]["n_lost_words"] == 0 and got[1]["clean_text"] == one_line
     assert got[2]["kept"] and got[2]["clean_text"] == "\n".join([long_part, *good])
+
+
+def test_lines_of_punctuation_and_vertical_menus_fail(spark):
+    from tallyhouse.llm.oracle import ORACLE
+    from tallyhouse.llm.queries import op8_quality_rules
+    prose = "This is a sentence of the text that goes on for some time, as prose does. " * 5
+    menu = "\n".join(["Home", "About us", "Our products", "Shop", "Contact page", "Log in", "Help"])
+    long_line = " ".join(f"word{i}" for i in range(230)) + " under our terms of use and privacy policy we say so."
+    rows = [(1, f"{prose}\n... !!! --- ???\n{prose}"), (2, f"{menu}\n{prose}"), (3, f"Home\nAbout us\n{prose}\nShop\nHelp"),
+            (4, long_line), (5, "click here\n" + prose), (6, menu + "\n" + prose.replace(" ", "\n")), (7, None), (8, "\n\n"),
+            (9, "one\n\ntwo\n \nthree\n\nfour\nfive\n\nsix\n" + prose), (10, "# $ % ! ? ( )\n" + prose)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in clean_lines(docs).collect()}
+    lost = {i: r["n_lost_words"] for i, r in got.items()}
+    assert lost[1] == 4 and lost[2] == 11 and lost[3] == 0 and lost[4] == 0 and lost[5] == 2 and lost[9] == 6 and lost[10] == 7
+    assert got[4]["kept"] and got[1]["clean_text"] == f"{prose}\n{prose}" and got[2]["clean_text"] == prose
+    import os
+    import tempfile
+
+    from tests.oracle_check import digest
+    folder = tempfile.mkdtemp(prefix="rules-")
+    docs.coalesce(1).write.parquet(os.path.join(folder, "documents.parquet"))
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    cur = con.execute(ORACLE["op8_quality_rules"])
+    df = op8_quality_rules(spark, folder)
+    names = [d[0] for d in cur.description]
+    assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(names, cur.fetchall())[0]
