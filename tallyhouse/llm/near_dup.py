@@ -146,12 +146,12 @@ def _compare_blocks(chunks: int, width: int, percent: int, max_distance: int):
             n, m = outside.column("n").to_numpy(), members.column("n").to_numpy()
             ids, others = outside.column("rep").to_numpy(), members.column("rep").to_numpy()
             label, other = (t.column("component").to_numpy().copy() for t in (outside, members))
-            first, last = np.minimum(n[:, None], m[None, :]), np.maximum(n[:, None], m[None, :])
-            close = (_distances(left, right) <= max_distance) & (100 * first >= percent * last)
+            close = _distances(left, right) <= max_distance
             keys = [np.stack(list(_key_columns(x, chunks, width)), 1) for x in (left, right)]
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in members.column("hashes")]
             for i, own in enumerate(outside.column("hashes")):
-                near = np.flatnonzero(close[i] & (other != label[i]))
+                near = np.flatnonzero(close[i] & (other != label[i])
+                                      & (100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])))
                 if len(near):
                     shared = keys[0][i] == keys[1][near]
                     near = near[keys[0][i][shared.argmax(1)] == key[0].as_py()]
@@ -395,7 +395,7 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, chunks: int = 10, width: int = 5, max_distance: int = 25,
-                    small_key: int = 16, block: int = 256, block_bytes: int = 1 << 25) -> DataFrame:
+                    small_key: int = 16, block: int = 1024, block_bytes: int = 1 << 25) -> DataFrame:
     """One row per document row: doc_id, text_hash (``xxhash64`` of the text),
     n_shingles, component_id (the smallest id reachable), kept (the id is that
     one), and keeper: the row has the smallest (id, text_hash) of its component,
