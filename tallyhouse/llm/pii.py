@@ -2,30 +2,39 @@
 
 Patterns find e-mail addresses, IP addresses, card numbers and phone numbers.
 They are the protected entities.  Which other terms give an entity away is
-estimated from the corpus, after the information-theoretic model: with
-document frequencies, the disclosure of entity e by term t is their pointwise
-mutual information log2(p(e,t) / (p(e) p(t))), and t exceeds the threshold if
-that is at least ``alpha`` times the information content -log2 p(e) of the
-entity itself.  A term counts as co-occurring in the ``reach`` words around a
-mention; equal surroundings (copies of a passage) count once, and at least
-``min_contexts`` different ones are asked for.  Document frequencies of
-entities and terms cover all documents.
-
-Terms that exceed the threshold are spans of kind ``term``.  In the sanitised
-text a pattern gives way to its kind, a term with a digit is generalised to
-NUMBER, a capitalised one to NAME, and others are removed.
-
-DataFrame functions only.  Group sizes: entities and terms are aggregated by
-partial counts, and no group is gathered but the spans of one text.
+estimated from the corpus, after the information-theoretic model: the
+disclosure of entity e by term t is their pointwise mutual information
+log2(p(e,t) / (p(e) p(t))), and t exceeds the threshold if that is at least
+``alpha`` times the information content -log2 p(e) of the entity itself.  All
+three probabilities count documents, over all documents: those with the
+entity, with the term, with both anywhere in them.  ``min_documents`` is the
+evidence asked for: an estimate from fewer shared documents is none (in one
+document alone, each word that is found nowhere else would reveal everything).
+A term is a run of three or more letters or digits, compared in lower case; a
+run inside a match of a pattern is part of the entity and no term.
+
+Terms that exceed the threshold for an entity are spans of kind ``term``,
+wherever they stand in a document with that entity.  In the sanitised text a
+pattern gives way to its kind, a term with a digit is generalised to NUMBER, a
+capitalised one to NAME, and others are removed.
+
+DataFrame functions only.  Counting pairs: as both together are at most the
+documents with e, a term in more than N^(1-alpha) * df(e)^alpha documents can
+not reach the threshold and meets e nowhere; entities that stand in the same
+documents are one class, and so are terms, and only classes are paired.  All
+counts are partial before they are shuffled, and what is gathered by row is
+the terms and spans of one text.
 
 Defined cases: a null or empty text has no spans; matches that fail their
 check are dropped and not searched again; kinds may overlap; repeated rows are
-searched each, but equal surroundings count once; other columns are not read;
-an empty table gives an empty result.
+documents of their own, each searched and counted; an entity in every document
+has no content and nothing reveals it; other columns are not read; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +48,7 @@ TERM = r"[\p{L}\p{N}]{3,}"
 _M, _OTHER = "\ue000", "\ue001"  # stands for an inner dot or separator, one for one
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _SPANS = "array<struct<start:int,end:int,kind:int>>"
+_BLOCK = 128  # terms that are searched for spans together
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -119,87 +129,143 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*kinds)).cast(_SPANS)
 
 
-def _around(text: Column, span: Column, reach: int, chars: int) -> Column:
-    """The terms within ``reach`` terms (and ``chars`` characters) of a span:
-    their hash, start and end.  A term cut by the character limit is left out."""
-    left_at = F.greatest(span["start"] - chars, F.lit(0))
-
-    def terms(part: Column, shift: Column) -> Column:
-        return F.transform(matches(part, TERM), lambda s: F.struct(
-            F.xxhash64(F.lower(_part(part, s))).alias("term"),
-            (s["start"] + shift).alias("start"), (s["end"] + shift).alias("end")))
+def _replaced(text: Column, spans: Column, label: Callable[[Column], Column]) -> Column:
+    """The text with each span replaced by its label (overlaps become one)."""
+    def step(acc: Column, s: Column) -> Column:
+        return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(
+            F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), label(s))).alias("out"))
+        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
 
-    left = let(F.substring(text, left_at + 1, span["start"] - left_at), lambda p: F.filter(
-        terms(p, left_at), lambda t: (t["start"] > left_at) | (left_at == 0)))
-    right = let(F.substring(text, span["end"] + 1, F.lit(chars)), lambda p: F.filter(
-        terms(p, span["end"]), lambda t: t["end"] < span["end"] + chars))
-    return F.concat(let(left, lambda a: F.slice(a, F.greatest(F.size(a) - reach + 1, F.lit(1)), reach)),
-                    F.slice(right, 1, reach))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
 
 
 def sanitised(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its label (overlaps become one)."""
+    """The text with each span replaced by what it is generalised to."""
     def label(s: Column) -> Column:
         word = _part(text, s)
-        names = reduce(lambda rest, k: F.when(s["kind"] == k, F.lit(f"[{KINDS[k].upper()}]")).otherwise(rest),
-                       range(len(KINDS)), F.when(word.rlike("[0-9]"), F.lit("[NUMBER]")).when(
-                           word.rlike(r"^\p{Lu}"), F.lit("[NAME]")).otherwise(F.lit("")))
-        return names
+        return reduce(lambda rest, k: F.when(s["kind"] == k, F.lit(f"[{KINDS[k].upper()}]")).otherwise(rest),
+                      range(len(KINDS)), F.when(word.rlike("[0-9]"), F.lit("[NUMBER]")).when(
+                          word.rlike(r"^\p{Lu}"), F.lit("[NAME]")).otherwise(F.lit("")))
 
-    def step(acc: Column, s: Column) -> Column:
-        return F.when(s["start"] >= acc["at"], F.struct(
-            s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                                           label(s)).alias("out"))
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
+    return _replaced(text, spans, label)
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of its spans, at unchanged positions."""
+    return F.when(F.size(spans) == 0, text).otherwise(_replaced(
+        text, spans, lambda s: F.repeat(F.lit(" "), s["end"] - s["start"])))
+
+
+def _hashed(word: Column) -> Column:
+    return F.xxhash64(F.lower(word))
+
+
+def _terms(text: Column) -> Column:
+    """Hashes of the distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), _hashed))
+
+
+def _term_spans(text: Column, wanted: Column) -> Column:
+    """The spans of the terms whose hash is wanted, found block by block: a
+    list that grows by one in each step is copied each time, so it is kept short."""
+    def in_block(words: Column, gaps: Column, start: Column) -> Column:
+        def step(acc: Column, pair: Column) -> Column:
+            left = acc["at"] + F.length(pair["gap"])
+            right = left + F.length(pair["word"])
+            return F.struct(right.alias("at"), F.when(
+                F.array_contains(wanted, _hashed(pair["word"])), F.concat(acc["out"], F.array(F.struct(
+                    left.alias("start"), right.alias("end"), F.lit(len(KINDS)).alias("kind"))))
+            ).otherwise(acc["out"]).alias("out"))
+
+        zero = F.struct(start.alias("at"), F.array().cast(_SPANS).alias("out"))
+        pairs = F.zip_with(words, gaps, lambda w, g: F.struct(w.alias("word"), g.alias("gap")))
+        return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+
+    def walk(words: Column, gaps: Column) -> Column:
+        def block(of: Column, i: Column) -> Column:
+            return F.slice(of, i * _BLOCK + 1, F.least(F.lit(_BLOCK), F.size(words) - i * _BLOCK))
+
+        def length(i: Column) -> Column:
+            joined = F.concat(block(words, i), block(gaps, i))
+            return F.aggregate(joined, F.lit(0), lambda a, x: a + F.length(x))
+
+        numbers = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / _BLOCK).cast("int"))
+        starts = F.aggregate(F.transform(numbers, length), F.array(F.lit(0)),
+                             lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        return let(starts, lambda at: F.flatten(F.transform(
+            numbers, lambda i: in_block(block(words, i), block(gaps, i), F.get(at, i)))))
+
+    return let(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda words: F.when(
+        F.size(words) == 0, F.array().cast(_SPANS)).otherwise(
+        let(F.split(text, TERM, -1), lambda gaps: walk(words, gaps))))
+
+
+def _revealing_terms(found: DataFrame, docs: DataFrame, alpha: float, min_documents: int) -> DataFrame | None:
+    """The terms of each row that exceed the threshold for an entity of it:
+    row, wanted (hashes).  None where no entity has evidence enough."""
+    where = F.bit_xor(F.xxhash64("row"))  # with a count: the same for the same set of rows
+    mentions = found.select("row", F.explode("entities").alias("entity"))
+    entities = (mentions.groupBy("entity").agg(F.count("*").alias("e_df"), where.alias("rows"))
+                .filter(F.col("e_df") >= min_documents)
+                .select("entity", "e_df", F.xxhash64("e_df", "rows").alias("e_class")))
+    held = pin(mentions.join(entities, "entity").select("row", "e_class", "e_df").distinct(), "held")
+    top = held.agg(F.max("e_df")).first()[0]
+    if top is None:
+        return None
+    total = float(found.count())
+
+    def reach(e_df: Column) -> Column:
+        return F.lit(total ** (1 - alpha) * (1 + 1e-9)) * F.pow(e_df.cast("double"), F.lit(alpha))
+
+    said = (found.join(held.select("row").distinct(), "row", "left_semi")
+            .select("row", F.explode("terms").alias("term")))
+    beside = (said.groupBy("term").agg(F.count("*").alias("m_df"), where.alias("rows"))
+              .filter((F.col("m_df") >= min_documents) & (F.col("m_df") <= reach(F.lit(top)))))
+    everywhere = (docs.select(F.explode(_terms(F.col("text"))).alias("term"), F.lit(1).alias("n"))
+                  .unionAll(found.select(F.explode("inside").alias("term"), F.lit(-1).alias("n")))
+                  .groupBy("term").agg(F.sum("n").alias("t_df"))
+                  .filter((F.col("t_df") >= min_documents) & (F.col("t_df") <= reach(F.lit(top)))))
+    candidates = pin(beside.join(everywhere, "term").select(
+        "term", "t_df", F.xxhash64("t_df", "m_df", "rows").alias("t_class")), "candidates")
+    spoken = pin(said.join(candidates, "term").select("row", "term", "t_class", "t_df"), "spoken")
+    met = (held.join(spoken.select("row", "t_class", "t_df").distinct(), "row")
+           .filter(F.col("t_df") <= reach(F.col("e_df"))))
+    content = -F.log2(F.col("e_df") / total)
+    revealing = pin(
+        met.groupBy("e_class", "t_class", "e_df", "t_df").agg(F.count("*").alias("together"))
+        .filter((F.col("together") >= min_documents) & (F.col("e_df") < total) & (
+            F.log2(F.col("together") * total / F.col("e_df") / F.col("t_df")) >= alpha * content))
+        .select("e_class", "t_class"), "revealing")
+    classes = met.join(revealing, ["e_class", "t_class"], "left_semi").select("row", "t_class").distinct()
+    return spoken.join(classes, ["row", "t_class"], "left_semi").groupBy("row").agg(
+        F.collect_set("term").alias("wanted"))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.75,
-                       min_contexts: int = 3, reach: int = 8, chars: int = 160) -> DataFrame:
+                       min_documents: int = 3) -> DataFrame:
     """One row per input row: doc_id, base and spans (arrays of start, end,
     kind; kind ``len(KINDS)`` is a term), sanitised_text (null: unchanged)."""
-    rows = id_and_text(docs, id_col, text_col).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
-    mention = F.transform("base", lambda s: F.struct(
-        F.xxhash64(s["kind"], F.lower(_part(F.col("text"), s))).alias("entity"),
-        _around(F.col("text"), s, reach, chars).alias("near")))
-    found = pin(rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "base",
-        F.when(F.size("base") > 0, F.col("text")).alias("text"),
-        F.when(F.size("base") > 0, mention).alias("mentions")), "mentions")
-
-    near = found.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", "m.near")
-    contexts = near.select("entity", F.array_sort(F.array_distinct(F.transform(
-        "near", lambda t: t["term"]))).alias("terms")).distinct()
-    pairs = pin(contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(
-        F.count("*").alias("together")).filter(F.col("together") >= min_contexts), "cooccurrence")
-    revealing = found.sparkSession.createDataFrame([], "entity long, term long")
-    if not pairs.isEmpty():
-        words = F.regexp_extract_all(F.lower("text"), F.lit(f"({TERM})"), F.lit(1))
-        term_df = (id_and_text(docs, id_col, text_col)
-                   .select(F.explode(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))).alias("term"))
-                   .groupBy("term").agg(F.count("*").alias("term_df")))
-        entity_df = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("entity_df"))
-        total = float(found.count())
-        scored = (pairs.join(term_df, "term").join(entity_df, "entity")
-                  .withColumn("pmi", F.log2(F.least("together", "term_df", "entity_df") * total
-                                            / F.col("entity_df") / F.col("term_df")))
-                  .withColumn("content", -F.log2(F.col("entity_df") / total)))
-        revealing = pin(scored.filter((F.col("content") > 0) & (F.col("pmi") >= alpha * F.col("content")))
-                        .select("entity", "term"), "revealing")
-    terms = (near.select("row", "entity", F.explode("near").alias("t"))
-             .select("row", "entity", F.col("t.term").alias("term"), F.col("t.start").alias("start"),
-                     F.col("t.end").alias("end"))
-             .join(revealing, ["entity", "term"], "left_semi")
-             .groupBy("row").agg(F.collect_set(F.struct(
-                 "start", "end", F.lit(len(KINDS)).alias("kind"))).alias("terms")))
-    return (found.join(terms, "row", "left")
-            .withColumn("spans", F.sort_array(F.concat("base", F.coalesce(
-                F.col("terms").cast(_SPANS), F.array().cast(_SPANS)))))
-            .select("doc_id", "base", "spans", F.when(
-                F.size("spans") > 0, sanitised(F.col("text"), F.col("spans"))).alias("sanitised_text")))
+    docs = id_and_text(docs, id_col, text_col)
+    rows = docs.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
+    hit = F.size("base") > 0
+    entity = F.transform("base", lambda s: F.xxhash64(s["kind"], F.lower(_part(F.col("text"), s))))
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", *[
+        F.when(hit, value).alias(name) for name, value in (
+            ("text", F.col("text")), ("entities", F.array_distinct(entity)),
+            ("terms", _terms(_masked(F.col("text"), F.col("base")))))])
+    found = pin(rows.withColumn("inside", F.when(F.col("text").isNotNull(), F.array_except(
+        _terms(F.col("text")), "terms"))), "mentions")
+    wanted = _revealing_terms(found, docs, alpha, min_documents)
+    if wanted is None:
+        marked = found.withColumn("spans", F.col("base"))
+    else:
+        marked = found.join(wanted, "row", "left").withColumn("spans", F.when(
+            F.col("wanted").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", _term_spans(
+                _masked(F.col("text"), F.col("base")), F.col("wanted"))))))
+    return marked.select("doc_id", "base", "spans", F.when(
+        F.size("spans") > 0, sanitised(F.col("text"), F.col("spans"))).alias("sanitised_text"))
 
 
 def count_of(spans: str, kind: int) -> Column:

@@ -1,5 +1,6 @@
 """Quality rules, personal data and secrets."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -106,6 +107,64 @@ def test_terms_that_reveal_an_entity(spark):
     assert got[402]["sanitised_text"] == "write to [EMAIL]"
 
 
+RUN = re.compile(r"[^\W_]{3,}")
+
+
+def brute_terms(rows, alpha=0.75, least=3):
+    """Spans of the revealing terms by row, from the definition."""
+    masked, entities = [], []
+    for t in rows:
+        spans = [x.split(":") for x in brute_spans(t).split(",") if x]
+        entities.append({(k, t[int(a):int(b)].lower()) for k, a, b in spans})
+        for _, a, b in spans:
+            t = t[:int(a)] + " " * (int(b) - int(a)) + t[int(b):]
+        masked.append(t)
+    terms = [{w.lower() for w in RUN.findall(t)} for t in masked]
+    e_df, t_df = Counter(e for x in entities for e in x), Counter(w for x in terms for w in x)
+    both = Counter((e, w) for x, y in zip(entities, terms) for e in x for w in y)
+    total = len(rows)
+
+    def reveals(e, w):
+        n = both[e, w]
+        return n >= least and e_df[e] < total and (
+            math.log2(n * total / e_df[e] / t_df[w]) >= -alpha * math.log2(e_df[e] / total))
+
+    return [[(m.start(), m.end()) for m in RUN.finditer(t) if any(reveals(e, m[0].lower()) for e in x)]
+            for t, x in zip(masked, entities)]
+
+
+def test_revealing_terms_equal_brute_force(spark):
+    random.seed(11)
+    names, common = [f"Name{i}" for i in range(30)], [f"common{i}" for i in range(40)]
+    rows = []
+    for _ in range(500):
+        words = random.choices(common, k=random.randint(0, 30)) + random.choices(["", "\u00e9t\u00e9", "ab", "zed"], k=2)
+        for k in random.sample(range(30), random.choice([0, 0, 0, 1, 2])):
+            words += [f"n{k % 12}@mail.example.com"] + [names[k]] * random.choice([0, 1, 1, 3])
+            words += ["255.1.0." + str(k % 5)] * (k % 7 == 0)
+        random.shuffle(words)
+        rows.append(" ".join(words))
+    far = [f"Gregoria {' '.join(random.choices(common, k=200))} n40@mail.example.com gregoria" for _ in range(30)]
+    copies = ["one Wilhelmina in forty equal texts of n41@mail.example.com"] * 40
+    rows += far + copies + ["", "n40@mail.example.com", " ".join(f"Gregoria w{i}" for i in range(3000)) + " n40@mail.example.com"]
+    want = brute_terms(rows)
+    got = dict(find_personal_data(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+               .select("doc_id", "spans").collect())
+    for i, spans in enumerate(want):
+        assert [(s["start"], s["end"]) for s in got[i] if s["kind"] == len(KINDS)] == spans, rows[i]
+    assert all(want[500:570]) and want[-1] and 0 < sum(map(bool, want[:500])) < 500
+
+
+def test_name_inside_an_entity_is_no_term(spark):
+    rows = [f"zed wrote it, number{i}, ask zed@mail.example.com" for i in range(5)]
+    rows += [f"see zed@mail.example.com, item{i}" for i in range(5)] + [f"nothing here{i}" for i in range(200)]
+    got = dict(find_personal_data(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+               .select("doc_id", "sanitised_text").collect())
+    # "wrote" and "ask" stand only beside the address too; "zed" inside the address is part of it
+    assert got[0] == "  it, number0,  [EMAIL]" and got[7] == " [EMAIL], item2"
+    assert brute_terms(rows)[0] == [(0, 3), (4, 9), (23, 26)]
+
+
 def test_personal_data_on_odd_rows(spark):
     docs = odd_documents(spark)
     got = find_personal_data(docs).select("doc_id", spans_text(F.col("base")).alias("b")).collect()
