@@ -13,7 +13,7 @@ import uuid
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import StringType
@@ -191,3 +191,52 @@ def as_of_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,
     out = df.join(d, cond, how)
     return out.select(*[F.col(c) for c in df.columns if c not in take.values()],
                       *[F.col(f"__d_{c}").alias(name) for c, name in take.items()])
+
+
+def as_of_join_by_month(df: DataFrame, dim: DataFrame, left_key: str, right_key: str, at,
+                        take: Mapping[str, str], how: str = "inner",
+                        start: str = VALID_FROM, end: str = VALID_TO) -> DataFrame:
+    """``as_of_join`` for keys with very many versions (a price that changes
+    every day), where comparing each row with all versions of its key would grow
+    with the square of the key.
+
+    Versions are cut by key and month: a month holds those that begin in it and
+    the one carried over from before, if it is still valid.  A row is joined on
+    (key, month), so it meets at most one version a day and the carried one, and a
+    key's versions spread over tasks by month.  Only one version per month goes
+    into the window that carries them on, so its groups are bounded by the
+    calendar; versions are carried into months that have rows, no others.
+
+    Versions of a key must be disjoint; an empty one (its end before its start)
+    matches nothing.  Rows without a key or a date match nothing, and stay if
+    ``how`` is ``left``.
+    """
+    at_col: Column = F.col(at) if isinstance(at, str) else at
+    names = [f"__d_{c}" for c in take]
+    versions = (dim.select(F.col(right_key).alias("__dk"), F.trunc(start, "month").alias("__dm"),
+                           F.col(start).alias("__ds"), F.col(end).alias("__de"),
+                           *[F.col(c).alias(n) for c, n in zip(take, names)])
+                .where("__dk IS NOT NULL AND __ds IS NOT NULL AND (__de IS NULL OR __de >= __ds)"))
+    held = F.struct("__ds", "__de", *names)
+    last = versions.groupBy("__dk", "__dm").agg(F.max_by(held, "__ds").alias("__last"))
+    asked = (df.select(F.col(left_key).alias("__dk"), F.trunc(at_col, "month").alias("__dm"))
+             .where("__dk IS NOT NULL AND __dm IS NOT NULL").distinct().withColumn("__asked", F.lit(True)))
+    before = Window.partitionBy("__dk").orderBy("__dm").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (last.join(asked, ["__dk", "__dm"], "full_outer")
+               .withColumn("__v", F.last("__last", ignorenulls=True).over(before))
+               .where("__asked AND __v IS NOT NULL AND (__v.__de IS NULL OR __v.__de >= __dm)")
+               .select("__dk", "__dm", "__v.*"))
+    slices = versions.unionByName(carried)
+    rows = df.withColumns({"__at": at_col, "__am": F.trunc(at_col, "month")})
+    out = rows.join(slices, (rows[left_key] == slices["__dk"]) & (rows["__am"] == slices["__dm"])
+                    & (rows["__at"] >= slices["__ds"])
+                    & (slices["__de"].isNull() | (rows["__at"] <= slices["__de"])), how)
+    return out.select(*[F.col(c) for c in df.columns if c not in take.values()],
+                      *[F.col(n).alias(name) for n, name in zip(names, take.values())])
+
+
+def versions_of(changes: DataFrame, key: str, day: str) -> DataFrame:
+    """Dated values (one row per key and day) as versions: each is valid from its
+    day to the day before the key's next one, the last without an end."""
+    next_day = F.lead(day).over(Window.partitionBy(key).orderBy(day))
+    return changes.withColumns({VALID_FROM: F.col(day), VALID_TO: F.date_sub(next_day, 1)}).drop(day)

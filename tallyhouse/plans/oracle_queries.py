@@ -159,6 +159,18 @@ FROM stg_purchases""", "stg_purchases"),
 FROM stg_sales s JOIN dim_product p ON p.product_id = s.product_id
   AND {parse('s.sale_date')} >= p.valid_from AND (p.valid_to IS NULL OR {parse('s.sale_date')} <= p.valid_to)
 WHERE s.stg_status = {_VALID}""", "stg_sales", "dim_product"),
+    "asof_product_by_month": sql(f"""SELECT s.sale_line_id, s.product_id, s.sale_day, p.product_key,
+       p.sale_price AS list_price, p.valid_from AS version_from
+FROM (SELECT *, {parse('sale_date')} AS sale_day FROM stg_sales WHERE stg_status = {_VALID}) s
+ASOF JOIN (SELECT * FROM dim_product WHERE valid_to IS NULL OR valid_to >= valid_from) p
+  ON s.product_id = p.product_id AND s.sale_day >= p.valid_from
+WHERE p.valid_to IS NULL OR s.sale_day <= p.valid_to""", "stg_sales", "dim_product"),
+    "asof_purchase_price": sql(f"""SELECT s.sale_line_id, s.product_id, s.sale_day, p.price AS purchase_price,
+       p.day AS purchased_on
+FROM (SELECT *, {parse('sale_date')} AS sale_day FROM stg_sales WHERE stg_status = {_VALID}) s
+ASOF LEFT JOIN (SELECT product_id, {parse('purchase_date')} AS day, max(unit_price) AS price
+                FROM stg_purchases WHERE stg_status = {_VALID} GROUP BY 1, 2) p
+  ON s.product_id = p.product_id AND s.sale_day >= p.day""", "stg_sales", "stg_purchases"),
     "campaign_on_date": sql("""SELECT s.sale_id, s.sale_date,
        (SELECT min(c.campaign_id) FROM src_campaigns c WHERE s.sale_date BETWEEN c.start_date AND c.end_date)
          AS active_campaign_id

@@ -348,6 +348,35 @@ def asof_product(spark, sf_dir):
                       "version_from")
 
 
+@query("asof_product_by_month")
+def asof_product_by_month(spark, sf_dir):
+    from tallyhouse.functions.dates import parse_date
+    from tallyhouse.operators.rules import valid
+    from tallyhouse.operators.scd2 import as_of_join_by_month
+    w = _w(spark, sf_dir)
+    s = valid(w.stg_sales).withColumn("sale_day", parse_date("sale_date"))
+    out = as_of_join_by_month(s, w.dim_product, "product_id", "product_id", "sale_day",
+                              {"product_key": "product_key", "sale_price": "list_price",
+                               "valid_from": "version_from"})
+    return out.select("sale_line_id", "product_id", "sale_day", "product_key", "list_price",
+                      "version_from")
+
+
+@query("asof_purchase_price")
+def asof_purchase_price(spark, sf_dir):
+    """What each sold product last cost on the day of its sale: a version per
+    product and day of purchase."""
+    from tallyhouse.functions.dates import parse_date
+    from tallyhouse.operators.rules import valid
+    from tallyhouse.operators.scd2 import as_of_join_by_month, versions_of
+    w = _w(spark, sf_dir)
+    prices = (valid(w.stg_purchases).groupBy("product_id", parse_date("purchase_date").alias("day"))
+              .agg(F.max("unit_price").alias("price")))
+    s = valid(w.stg_sales).select("sale_line_id", "product_id", parse_date("sale_date").alias("sale_day"))
+    return as_of_join_by_month(s, versions_of(prices, "product_id", "day"), "product_id", "product_id", "sale_day",
+                               {"price": "purchase_price", "valid_from": "purchased_on"}, how="left")
+
+
 @query("campaign_on_date")
 def campaign_on_date(spark, sf_dir):
     """The campaign active on each sale date (lowest id when several are).
