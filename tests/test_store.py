@@ -174,3 +174,25 @@ def test_files_added_to_the_input_are_read(spark, tmp_path):
     spark.range(4).write.mode("append").parquet(str(folder / "nation.parquet"))
     two = Warehouse.shared(spark, str(folder))
     assert two is not one and two.src.t("nation").count() == 7
+
+
+def test_a_checked_step_runs_its_plan_once_and_commits_nothing_if_the_check_fails(spark):
+    base, made = scratch_path(spark, "checked"), spark.sparkContext.accumulator(0)
+
+    def build(w):
+        df = spark.range(10).repartition(2)
+
+        def seen(batches):
+            for b in batches:
+                made.add(b.num_rows)
+                yield b
+        return df.mapInArrow(seen, "id long")
+
+    def step(bad):
+        return [Step("t", "3-facts", build, check=lambda w, df: df.where(F.col("id") > bad))]
+
+    assert [r["status"] for r in run_pipeline(spark, "/nonexistent", base, step(9)).collect()] == [C.SUCCEEDED]
+    assert made.value == 10
+    assert [r["status"] for r in run_pipeline(spark, "/nonexistent", base, step(5)).collect()] == [C.FAILED]
+    store = Store(spark, base)
+    assert store.latest().number == 1 and len(commits(spark, f"{store.path('t')}/_commits")) == 1
