@@ -33,7 +33,7 @@ def outer_sales(w: Warehouse, project_start: str) -> DataFrame:
     lines = _change(lines, "store_id", 73, F.lit(OTHER_STORE), "sale_line_id")
     lines = _change(lines, "salesperson_id", 89, F.col("salesperson_id") + UNKNOWN_ID_OFFSET, "sale_line_id")
     raw = E.join_sale_lines(E.sale_headers(w.landed_sales), lines, w.loaded_at, keep_unmatched=True)
-    flagged, extra = V.optional_sales_rules(w.src.stores(), w.src.salespeople(), raw, project_start)
+    flagged, extra = V.optional_sales_rules(w.ref_stores, w.src.salespeople(), raw, project_start)
     return V.validate_sales(flagged, w.src.customers(), w.src.products(), w.run_date, extra_rules=extra)
 
 
@@ -49,7 +49,7 @@ def outer_inventory(w: Warehouse) -> DataFrame:
     """Inventory of unknown products and stores."""
     rows = _change(w.src.daily_inventory(), "store_id", 53, F.lit(OTHER_STORE), "product_id")
     rows = _change(rows, "product_id", 41, F.col("product_id") + UNKNOWN_ID_OFFSET, "product_id")
-    return V.validate_inventory_strict(E.extract_inventory(rows, w.loaded_at), w.src.products(), w.src.stores(),
+    return V.validate_inventory_strict(E.extract_inventory(rows, w.loaded_at), w.src.products(), w.ref_stores,
                                        CALENDAR_START, w.run_date)
 
 
@@ -72,7 +72,7 @@ def outer_goals(w: Warehouse) -> DataFrame:
     month = F.col("month").cast("int")
     rows = rows.unionByName(rows.where(month % 5 == 0)).withColumn(
         "month", F.when((month == 12) & (F.col("category_id") == 1), F.lit("13")).otherwise(F.col("month")))
-    return V.validate_goals_strict(E.extract_goals(rows, w.loaded_at), w.src.stores(), w.src.categories(),
+    return V.validate_goals_strict(E.extract_goals(rows, w.loaded_at), w.ref_stores, w.src.categories(),
                                    GOAL_CATEGORY_MAP, 1995, 2001, ["store_id", "category_name", "goal_value"])
 
 
@@ -86,7 +86,7 @@ def outer_purchases(w: Warehouse, project_start: str) -> DataFrame:
     lines = _change(lines, "purchase_id", 97, F.col("purchase_id") + UNKNOWN_ID_OFFSET, "purchase_line_id")
     headers = _change(w.src.purchases(), "store_id", 83, F.lit(OTHER_STORE), "purchase_id")
     raw = E.extract_purchases(headers, lines, w.src.suppliers(), w.loaded_at, keep_unmatched=True)
-    return V.validate_purchases_strict(raw, w.src.suppliers(), w.src.stores(), w.src.products(), project_start,
+    return V.validate_purchases_strict(raw, w.src.suppliers(), w.ref_stores, w.src.products(), project_start,
                                        w.run_date)
 
 
