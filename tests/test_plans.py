@@ -55,3 +55,46 @@ def test_verdicts_of_two_grains_meet_in_rule_order(spark):
     out = settle(judged(judged(df, {1: Rule("h1", F.lit(False)), 4: Rule("h4", F.col("h"))}, "a"),
                         {3: Rule("l3", F.col("l")), 9: Rule("l9", F.lit(False))}, "b"), ["a", "b"])
     assert {r["id"]: r["stg_message"] for r in out.collect()} == {1: "l3", 2: "h4", 3: "l3", 4: None, 5: None}
+
+
+def test_purchase_lines_are_not_shuffled_on_their_supplier(spark, no_broadcast):
+    w = Warehouse.shared(spark, SMALL)
+    s = w.src
+    by_line = validate.validate_purchases(extracts.extract_purchases(
+        s.purchases(), s.purchase_lines(), s.suppliers(), w.loaded_at), s.suppliers())
+    by_grain = validate.validate_purchase_lines(w.judged_purchases, w.landed_purchase_lines, w.loaded_at)
+    assert exchanges(by_grain) == [] and by_line.columns == by_grain.columns
+    both = [sorted(map(str, df.collect())) for df in (by_line, by_grain)]
+    assert both[0] == both[1] and both[0]
+
+
+def test_a_feed_is_not_dealt_out_by_its_few_stores(spark):
+    """The estimate for the stores as derived is the product of their inputs; the table
+    written once is seen to be small."""
+    w = Warehouse.shared(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        keys = exchanges(w.stg_adjustments_from(w.src.adjustments_csv_rows()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not any("store_id" in k and "product_id" not in k for k in keys)
+
+
+def test_the_session_is_fitted_to_the_input(spark):
+    from tallyhouse import session
+    have = {k: spark.conf.get(k, None) for k in [*session.SIZED, session._INITIAL]}
+    try:
+        for k in have:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5m")
+        session.fit_session(spark, 8 * session._MB * 3)
+        assert session.shuffle_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "5m"  # what the session sets stands
+        assert spark.conf.get("spark.sql.sources.fileCompressionFactor") == "8.0"
+        session.fit_session(spark, 8 * session._MB * 900)
+        assert session.shuffle_partitions(spark) == 900
+        session.fit_session(spark, 8 * session._MB * 50)
+        assert session.shuffle_partitions(spark) == 900
+    finally:
+        for k, v in have.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
