@@ -148,14 +148,14 @@ def _compare_blocks(chunks: int, width: int, percent: int, max_distance: int):
             label, other = (t.column("component").to_numpy().copy() for t in (outside, members))
             close = _distances(left, right) <= max_distance
             keys = [np.stack(list(_key_columns(x, chunks, width)), 1) for x in (left, right)]
-            sets = [np.frombuffer(x.as_py(), np.uint64) for x in members.column("hashes")]
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in members.column("hashes")]
             for i, own in enumerate(outside.column("hashes")):
                 near = np.flatnonzero(close[i] & (other != label[i])
                                       & (100 * np.minimum(m, n[i]) >= percent * np.maximum(m, n[i])))
                 if len(near):
                     shared = keys[0][i] == keys[1][near]
                     near = near[keys[0][i][shared.argmax(1)] == key[0].as_py()]
-                own = np.frombuffer(own.as_py(), np.uint64)
+                own = np.frombuffer(own.as_buffer(), np.uint64)
                 while len(near):
                     now, near = near[:32], near[32:]
                     both = c.in_sorted(np.concatenate([sets[k] for k in now]), own)
@@ -203,7 +203,7 @@ def _confirmed(percent: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("ha"), batch.column("hb")):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -230,7 +230,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The edges of a task as a forest, in bounded memory: a forest that has grown
     beyond ``_NODES`` is handed on and a new one begun."""
-    a, b, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+    a, b, waiting, held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
     def grown() -> tuple[np.ndarray, np.ndarray]:
         new = [(x.column("a").to_numpy(), x.column("b").to_numpy()) for x in waiting]
@@ -242,8 +242,9 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         waiting.append(batch)
-        if sum(map(len, waiting)) >= max(_NODES // 4, len(a)):
-            a, b = grown()
+        held += len(batch)
+        if held >= max(_NODES // 4, len(a)):
+            (a, b), held = grown(), 0
             if len(a) > _NODES:
                 yield rows()
                 a, b = a[:0], b[:0]
@@ -372,7 +373,10 @@ class _Search:
             _compare_blocks(chunks, width, self.percent, self.max_distance), "a long, b long"))
 
     def _link(self, links: DataFrame) -> None:
-        """Take new links in: with the forest of those before, they give the next."""
+        """Take new links in: with the forest of those before, they give the next.
+        They are written first: a task that went on from a confirmed link to the
+        forest would hold two workers of Python at once."""
+        links = pin(links, "links")
         if self.links is not None:
             links = links.select("a", "b").unionAll(self.links.select("id", "component"))
         self.links = linked(links)
@@ -393,6 +397,7 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         "a", "b", "na", "nb")
 
 
+@c.small_batches
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, chunks: int = 10, width: int = 5, max_distance: int = 25,
                     small_key: int = 16, block: int = 1024, block_bytes: int = 1 << 25) -> DataFrame:

@@ -189,3 +189,25 @@ def test_decontamination_across_row_boundaries(spark):
     for known in (1 << 20, 0):
         got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in contamination(docs, bench, max_known=known).collect()}
         assert got == {**{i: (10, ["1"]) for i in (0, 1, 2, 3, 8, 9)}, **{i: (3, ["2"]) for i in (4, 5, 6)}, 7: (0, [])}
+
+
+def test_near_duplicates_gets_small_arrow_batches(spark, monkeypatch):
+    from tallyhouse.llm import common, near_dup
+    key, steps, pin = "spark.sql.execution.arrow.maxRecordsPerBatch", [], near_dup.pin
+
+    def pinned(df, name):
+        steps.append((name, int(spark.conf.get(key))))
+        return pin(df, name)
+    monkeypatch.setattr(near_dup, "pin", pinned)
+    rows = [(i, " ".join(f"w{i // 40}x{j}" for j in range(60)) + f" tail{i}") for i in range(80)]
+    docs, before = spark.createDataFrame(rows, "doc_id long, text string"), spark.conf.get(key)
+    for session, bound in ((before, common.BATCH_ROWS), ("7", 7), ("0", common.BATCH_ROWS)):
+        spark.conf.set(key, session)
+        try:
+            got = near_duplicates(docs)
+            assert spark.conf.get(key) == session
+        finally:
+            spark.conf.set(key, before)
+        assert {r["component_id"] for r in got.collect()} == {0, 40}
+        assert {n for _, n in steps} == {bound} and {"profiles", "sets", "pairs", "links"} <= {x for x, _ in steps}
+        steps.clear()
