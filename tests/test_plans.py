@@ -98,3 +98,54 @@ def test_the_session_is_fitted_to_the_input(spark):
     finally:
         for k, v in have.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_inventory_and_adjustments_meet_unsorted(spark, no_broadcast):
+    """The side with one row a month, product and store is hashed; neither is sorted."""
+    inv = spark.createDataFrame(
+        [("VALID", "1996-03-05", 1, 1, 10, 10, 0, 0, 1), ("VALID", "1996-03-05", 1, 1, 10, 10, 0, 0, 1),
+         ("VALID", "1996-03-09", None, 1, 5, 5, 0, 0, 2), ("REJECTED", "1996-04-01", 1, 1, 5, 5, 0, 0, 3)],
+        "stg_status string, inv_date string, product_id long, store_id int, opening int, closing int, units_in int, "
+        "units_out int, inventory_id long")
+    adj = spark.createDataFrame(
+        [("VALID", "1996", "3", 1, 1, 4), ("VALID", "1996", "3", 1, 1, -1), ("VALID", "1996", "4", 1, 1, 7),
+         ("VALID", "1996", "4", 1, 1, 7), ("VALID", "x", "4", 1, 1, 9), ("VALID", "1996", "3", None, 1, 2)],
+        "stg_status string, year string, month string, product_id long, store_id int, adjustment int")
+    product = spark.sql("SELECT 1L product_id, 11L product_key, DATE '1990-01-01' valid_from, CAST(NULL AS DATE) valid_to")
+    store = spark.sql("SELECT 1 store_id, 21L store_key")
+    base = facts.inventory_base(inv, adj, product, store)
+    orphans = facts.inventory_orphans(inv, adj, product, store)
+    for df, kind in ((base, "LeftOuter"), (orphans, "LeftAnti")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"ShuffledHashJoin .*{kind}", plan)
+    assert [(r["date_key"], r["closing"], r["manual_adjustment"]) for r in base.collect()] == [(19960305, 13, 3)] * 2
+    assert [(r["date_key"], r["closing"]) for r in orphans.collect()] == [(19960401, 7)] * 2
+
+
+def test_buckets_are_written_without_a_sort(spark, tmp_path):
+    """A task writes one bucket, so its rows need no sort; each bucket is one file
+    and joins still shuffle nothing; the session's own setting stands."""
+    from tallyhouse import session
+    from tallyhouse.operators.keys import pin_bucketed
+    key = next(iter(session.UNSORTED))
+    rows = spark.range(0, 3000).select((F.col("id") % 700).alias("k"), "id").union(
+        spark.createDataFrame([(None, -1), (None, -2)], "k long, id long"))
+    a = pin_bucketed(rows, "k", "a", str(tmp_path), 5)
+    b = pin_bucketed(rows, "k", "b", str(tmp_path), 5)
+    assert spark.conf.get(key, None) is None
+    table = a.inputFiles()[0].split("/")[-2]
+    spec = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert spec["Num Buckets"] == "5" and spec.get("Sort Columns", "[]") == "[]"
+    assert len(a.inputFiles()) <= 6  # one per bucket, and one without rows at most
+    assert sorted(map(str, a.collect())) == sorted(map(str, rows.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b.withColumnRenamed("id", "other"), "k")
+        assert exchanges(joined) == [] and joined.count() == 700 * 16 + 200 * (25 - 16)
+        spark.conf.set(key, "0")
+        with session.scoped(spark, session.UNSORTED):
+            assert spark.conf.get(key) == "0"
+        assert spark.conf.get(key) == "0"
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
