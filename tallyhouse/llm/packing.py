@@ -210,6 +210,8 @@ def _place(placed: list[Placement], capacity: int):
     return place
 
 
+@c.small_reads
+@c.small_batches  # what runs after the return sends rows of seven integers
 def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = 2048) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
@@ -222,7 +224,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     counts = np.zeros(capacity + 1, np.int64)
     for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``capacity`` rows
         counts[r["length"]] = r["n"]
-    ranked = pieces.join(starts, ["task", "length"]).select(
+    # a sort would take pages of many MB in every task; hashed are at most the few starts of its share
+    ranked = pieces.join(starts.hint("shuffle_hash"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
     return ranked.mapInArrow(_place(plan(counts, capacity), capacity),
                              "doc_id long, piece int, start long, length long, ids_crc32 long, "

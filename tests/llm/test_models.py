@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyhouse.llm import html_text
+from tallyhouse.llm import common, html_text, packing
 from tallyhouse.llm.common import remainder
 from tallyhouse.llm.context_model import log_kt, score_texts
 from tallyhouse.llm.packing import encoder, pack_documents, plan
@@ -221,6 +221,29 @@ def test_every_token_has_one_place(spark):
     assert pack_documents(docs.limit(0), VOCABULARY).count() == 0
 
 
+def test_packing_holds_little_in_a_task(spark, monkeypatch):
+    """Texts are read and sent in small batches, the pieces are not sorted for the
+    join with their starts, and the session's settings are put back."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    asked, pin, before = [], packing.pin, [spark.conf.get(k) for k in keys]
+
+    def seen(df, name):
+        asked.append([int(spark.conf.get(k)) for k in keys])
+        return pin(df, name)
+
+    monkeypatch.setattr(packing, "pin", seen)
+    docs = spark.createDataFrame([(i % 7, "a b c " * (i % 40)) for i in range(1200)], "doc_id long, text string")
+    got = pack_documents(docs, VOCABULARY, capacity=64)
+    assert asked == [[common.BATCH_ROWS] * 2]
+    assert [spark.conf.get(k) for k in keys] == before
+    plan_text = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan_text and "SortMergeJoin" not in plan_text
+    rows, of = got.collect(), common.id_and_text(docs)
+    assert sum(r["length"] for r in rows) == of.count() + sum(
+        len(encoder(VOCABULARY)(r["text"])) // 4 for r in of.collect())
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.integers(3, 40), st.dictionaries(st.integers(1, 40), st.integers(1, 60), max_size=12))
 def test_plan_places_every_length(capacity, lengths):
