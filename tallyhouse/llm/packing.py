@@ -222,7 +222,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = by_task.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     counts = np.zeros(capacity + 1, np.int64)
-    for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``capacity`` rows
+    for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most ``capacity`` rows
         counts[r["length"]] = r["n"]
     # a sort would take pages of many MB in every task; hashed are at most the few starts of its share
     ranked = pieces.join(starts.hint("shuffle_hash"), ["task", "length"]).select(
